@@ -337,3 +337,249 @@ FROM r WHERE rank < 3"""
 
 SQL["w3_argmax"] = "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax " \
                    "FROM embeddings"
+
+# ---------------------------------------------------------------------------------------------------
+# E / G1-G3 / A12: dictionaries and lookups
+
+from .oracle_views import FAKE_PREDICTIONS, LINES_KEYED  # noqa: E402
+
+SQL["e1_attach_labels"] = "SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+
+SQL["e3_encode_lookup"] = with_(INVOICE_LINES) + \
+    "SELECT Inv_Id, CAST(dense_rank() OVER (ORDER BY Vendor_Code) - 1 AS INTEGER) AS vendor_idx FROM invoice_lines"
+
+_HALVES = LINES_KEYED + """,
+fit AS (SELECT * FROM lines_keyed WHERE l_partkey % 3 = 0),
+new AS (SELECT * FROM lines_keyed WHERE l_partkey % 3 <> 0),
+dict AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx
+         FROM (SELECT DISTINCT Item_Description AS v FROM fit))"""
+
+SQL["g2_transform_dictionary"] = with_(_HALVES) + """SELECT n.Inv_Id, CAST(coalesce(d.idx, 0) AS DOUBLE) AS desc_idx
+FROM new n LEFT JOIN dict d ON n.Item_Description = d.v"""
+
+SQL["g2_unseen_vendors"] = with_(LINES_KEYED + """,
+cut AS (SELECT max(l_suppkey) * CAST(0.8 AS DOUBLE) AS c FROM lineitem),
+fit AS (SELECT k.* FROM lines_keyed k WHERE l_suppkey < (SELECT c FROM cut)),
+new AS (SELECT k.* FROM lines_keyed k WHERE l_suppkey >= (SELECT c FROM cut)),
+dict AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS idx FROM (SELECT DISTINCT Vendor_Code AS v FROM fit))""") + \
+    """SELECT n.Inv_Id, CAST(coalesce(d.idx, 0) AS DOUBLE) AS vendor_idx
+FROM new n LEFT JOIN dict d ON n.Vendor_Code = d.v"""
+
+SQL["e5_known_values"] = with_(_HALVES) + \
+    "SELECT Inv_Id, Item_Description FROM new WHERE Item_Description IN (SELECT v FROM dict)"
+SQL["e5_unseen_values"] = with_(_HALVES) + \
+    "SELECT Inv_Id, Item_Description FROM new WHERE Item_Description NOT IN (SELECT v FROM dict)"
+
+_CLASS_DICT = """cdict AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx
+  FROM (SELECT DISTINCT y_true AS v FROM fake_predictions))"""
+
+SQL["e4_decode_labels"] = with_(FAKE_PREDICTIONS, _CLASS_DICT) + """SELECT p.Inv_Id, d.idx AS pred_idx, d2.v AS pred_label
+FROM fake_predictions p LEFT JOIN cdict d ON p.y_pred = d.v LEFT JOIN cdict d2 ON d.idx = d2.idx"""
+
+
+def _dict_sql(col: str) -> str:
+    return (f"SELECT '{col}' AS column_name, v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx "
+            f"FROM (SELECT DISTINCT {col} AS v FROM invoice_lines WHERE {col} IS NOT NULL)")
+
+
+SQL["g1_fit_dictionary"] = with_(INVOICE_LINES) + "\nUNION ALL\n".join(
+    _dict_sql(c) for c in ("Vendor_Code", "GL_Code", "Product_Category"))
+
+SQL["a12_label_mapping"] = with_(INVOICE_LINES) + """SELECT CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx, v AS label
+FROM (SELECT DISTINCT Product_Category AS v FROM invoice_lines)"""
+
+SQL["g3_scaler"] = with_(INVOICE_LINES, "st AS (SELECT avg(Inv_Amt) AS m, stddev_pop(Inv_Amt) AS s FROM invoice_lines)") + \
+    """SELECT Inv_Id, round((Inv_Amt - (SELECT m FROM st)) / (SELECT CASE WHEN s = 0 THEN 1.0 ELSE s END FROM st), 6)
+  AS amount_scaled FROM invoice_lines"""
+
+# ---------------------------------------------------------------------------------------------------
+# G4-G7 over documents
+
+_TERMS = f"""docs_clean AS (SELECT doc_id, {clean_text_sql('text')} AS c FROM documents),
+toks AS (SELECT doc_id, list_filter(string_split(c, ' '), lambda t: length(t) >= 2) AS t FROM docs_clean),
+grams AS (SELECT doc_id, list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS g
+          FROM toks),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(g) AS term FROM grams) GROUP BY doc_id, term),
+stats AS (SELECT term, CAST(sum(tf) AS BIGINT) AS count, count(*) AS df FROM tf GROUP BY term),
+nd AS (SELECT count(*) AS n FROM documents),
+kept AS (SELECT s.* FROM stats s WHERE df >= 2 AND df <= CAST(0.95 AS DOUBLE) * (SELECT n FROM nd)
+         ORDER BY count DESC, term ASC LIMIT 5000),
+vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df,
+                 ln((1.0 + (SELECT n FROM nd)) / (1.0 + df)) + 1.0 AS idf FROM kept)"""
+
+SQL["g4_tokens"] = with_(f"docs_clean AS (SELECT doc_id, {clean_text_sql('text')} AS c FROM documents)") + \
+    "SELECT doc_id, CAST(len(list_filter(string_split(c, ' '), lambda t: length(t) >= 2)) AS INTEGER) AS n_tokens " \
+    "FROM docs_clean"
+SQL["g5_ngrams"] = with_(_TERMS) + "SELECT term, count, df FROM stats"
+SQL["g6_fit_vocabulary"] = with_(_TERMS) + "SELECT term, idx, df, round(idf, 9) AS idf FROM vocab"
+SQL["g7_tfidf"] = with_(_TERMS) + """SELECT doc_id, term, idx,
+  round(tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY doc_id)), 6) AS weight
+FROM tf JOIN vocab USING (term)"""
+
+# ---------------------------------------------------------------------------------------------------
+# H: splits
+
+SQL["h1_stratified_split"] = with_(INVOICE_LINES, """r AS (
+  SELECT Inv_Id, row_number() OVER (PARTITION BY Product_Category ORDER BY md5('42|' || Inv_Id), Inv_Id) - 1 AS r,
+         count(*) OVER (PARTITION BY Product_Category) AS n
+  FROM invoice_lines)""") + "SELECT Inv_Id, r < round(CAST(0.2 AS DOUBLE) * n) AS is_val FROM r"
+
+SQL["h2_random_split"] = with_(INVOICE_LINES, """r AS (
+  SELECT Inv_Id, row_number() OVER (ORDER BY md5('42|' || Inv_Id), Inv_Id) - 1 AS r, count(*) OVER () AS n
+  FROM invoice_lines)""") + "SELECT Inv_Id, r < floor(CAST(0.2 AS DOUBLE) * n) AS is_val FROM r"
+
+# ---------------------------------------------------------------------------------------------------
+# F / W1 / K3: profiling
+
+_LINE_COLS = ("Inv_Id", "Vendor_Code", "GL_Code", "Inv_Amt", "Item_Description", "Product_Category")
+_SPARK_TYPES = {"Inv_Amt": "double"}
+
+SQL["f1_shape"] = with_(INVOICE_LINES) + "SELECT count(*) AS n_rows, 6 AS n_cols FROM invoice_lines"
+SQL["f2_null_counts"] = with_(INVOICE_LINES_NULLS) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM invoice_lines_nulls"
+    for c in _LINE_COLS)
+SQL["f3_n_unique"] = with_(INVOICE_LINES_NULLS) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM invoice_lines_nulls" for c in _LINE_COLS)
+SQL["f6_column_info"] = with_(INVOICE_LINES_NULLS) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{_SPARK_TYPES.get(c, 'string')}' AS dtype, count({c}) AS non_null "
+    f"FROM invoice_lines_nulls" for c in _LINE_COLS)
+
+
+def _value_counts_sql(cte: str, src: str, col: str, n: int | None) -> str:
+    lim = f" LIMIT {n}" if n else ""
+    return with_(cte) + (f"SELECT {col} AS value, count(*) AS count FROM {src} WHERE {col} IS NOT NULL "
+                         f"GROUP BY {col} ORDER BY count DESC, value ASC{lim}")
+
+
+SQL["f4_value_counts"] = _value_counts_sql(INVOICE_LINES_NULLS, "invoice_lines_nulls", "Vendor_Code", 5)
+SQL["f4_value_counts_class"] = _value_counts_sql(INVOICE_LINES_NULLS, "invoice_lines_nulls", "Product_Category", None)
+SQL["f13_top_categories"] = _value_counts_sql(INVOICE_LINES, "invoice_lines", "Product_Category", 20)
+SQL["k3_predicted_distribution"] = _value_counts_sql(FAKE_PREDICTIONS, "fake_predictions", "y_pred", 10)
+SQL["f13_general_categories"] = with_(f"g AS (SELECT {general_category_sql('text')} AS general_category FROM documents)") + \
+    "SELECT general_category AS value, count(*) AS count FROM g GROUP BY 1 ORDER BY count DESC, value ASC"
+
+SQL["f5_describe"] = with_(INVOICE_LINES_NULLS) + """SELECT count(Inv_Amt) AS count, round(avg(Inv_Amt), 6) AS mean,
+  round(stddev_samp(Inv_Amt), 6) AS std, round(min(Inv_Amt), 6) AS min,
+  round(quantile_cont(Inv_Amt, 0.25), 6) AS q25, round(quantile_cont(Inv_Amt, 0.5), 6) AS q50,
+  round(quantile_cont(Inv_Amt, 0.75), 6) AS q75, round(max(Inv_Amt), 6) AS max
+FROM invoice_lines_nulls"""
+
+SQL["f7_histogram"] = with_(INVOICE_LINES_NULLS, """d AS (SELECT Inv_Amt AS x FROM invoice_lines_nulls WHERE Inv_Amt IS NOT NULL),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM d),
+c AS (SELECT CASE WHEN hi = lo THEN 1
+                  ELSE least(CAST(floor((x - lo) * (CAST(50 AS DOUBLE) / (hi - lo))) AS INTEGER) + 1, 50) END AS bin,
+             count(*) AS n
+      FROM d, b GROUP BY 1),
+g AS (SELECT CAST(unnest(range(1, 51)) AS INTEGER) AS bin, lo, hi FROM b)""") + \
+    """SELECT g.bin, round(lo + (g.bin - 1) * ((hi - lo) / CAST(50 AS DOUBLE)), 6) AS lo,
+  round(lo + g.bin * ((hi - lo) / CAST(50 AS DOUBLE)), 6) AS hi, coalesce(c.n, 0) AS count
+FROM g LEFT JOIN c ON g.bin = c.bin"""
+
+SQL["f8_box_stats"] = with_(INVOICE_LINES_NULLS, """d AS (SELECT Inv_Amt AS x FROM invoice_lines_nulls WHERE Inv_Amt IS NOT NULL),
+q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3 FROM d)""") + \
+    """SELECT round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
+  round(min(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)), 6) AS lower_whisker,
+  round(max(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)), 6) AS upper_whisker,
+  count(*) FILTER (WHERE NOT (x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1))) AS n_outliers,
+  round(q3 - q1, 6) AS iqr
+FROM d, q GROUP BY q1, med, q3"""
+
+SQL["f9_examples_top3"] = with_(INVOICE_LINES, """c AS (SELECT Product_Category AS category, count(*) AS n FROM invoice_lines
+      GROUP BY 1 ORDER BY n DESC, category ASC LIMIT 3),
+r AS (SELECT Product_Category AS category, Inv_Id, Item_Description,
+             row_number() OVER (PARTITION BY Product_Category ORDER BY Inv_Id) AS rn FROM invoice_lines)""") + \
+    """SELECT r.category, c.n, CAST(r.rn AS INTEGER) AS rn, r.Inv_Id, r.Item_Description
+FROM r JOIN c USING (category) WHERE r.rn <= 2"""
+
+SQL["f9_examples_general"] = with_(f"""t AS (SELECT doc_id, {general_category_sql('text')} AS category,
+  substring(text, 1, 100) || '...' AS preview FROM documents),
+c AS (SELECT category, count(*) AS n FROM t GROUP BY 1),
+r AS (SELECT category, doc_id, preview, row_number() OVER (PARTITION BY category ORDER BY doc_id) AS rn FROM t)""") + \
+    """SELECT r.category, c.n, CAST(r.rn AS INTEGER) AS rn, r.doc_id, r.preview FROM r JOIN c USING (category)
+WHERE r.rn <= 3"""
+
+
+def _word_freq_sql(cte: str, src: str, col: str, n: int) -> str:
+    return with_(cte, f"""w AS (SELECT unnest(regexp_split_to_array(trim(regexp_replace(lower({col}), '[^a-z\\s]', ' ', 'g')),
+  '\\s+')) AS word FROM {src} WHERE {col} IS NOT NULL)""") + \
+        f"SELECT word, count(*) AS count FROM w WHERE word <> '' GROUP BY word ORDER BY count DESC, word ASC LIMIT {n}"
+
+
+SQL["f10_word_frequency"] = _word_freq_sql("docs AS (SELECT * FROM documents)", "docs", "text", 30)
+SQL["f13_top_words"] = _word_freq_sql(INVOICE_LINES_NULLS, "invoice_lines_nulls", "Item_Description", 20)
+
+SQL["f11_class_distribution"] = with_(INVOICE_LINES) + """SELECT label, n, min(n) OVER () AS min_count,
+  CAST(sum(CASE WHEN n < 2 THEN 1 ELSE 0 END) OVER () AS BIGINT) AS n_classes_lt2
+FROM (SELECT Product_Category AS label, count(*) AS n FROM invoice_lines GROUP BY 1)"""
+
+SQL["f12_head"] = with_(INVOICE_LINES) + """SELECT Inv_Id, Vendor_Code, GL_Code, round(Inv_Amt, 6) AS Inv_Amt, Item_Description,
+  Product_Category FROM invoice_lines ORDER BY Inv_Id LIMIT 5"""
+
+SQL["w1_top_k"] = with_(INVOICE_LINES) + \
+    "SELECT Inv_Id, round(Inv_Amt, 6) AS Inv_Amt FROM invoice_lines ORDER BY Inv_Amt DESC, Inv_Id ASC LIMIT 10"
+
+# ---------------------------------------------------------------------------------------------------
+# J / I6 over prediction tables
+
+
+def _per_class_sql(src: str, name: str = "pcm") -> str:
+    return f"""{name}_c AS (
+  SELECT label, sum(tp) AS tp, sum(t) AS support, sum(p) AS predicted FROM (
+    SELECT y_true AS label, 1 AS t, 0 AS p, CASE WHEN y_true = y_pred THEN 1 ELSE 0 END AS tp FROM {src}
+    UNION ALL SELECT y_pred, 0, 1, 0 FROM {src}) GROUP BY label),
+{name} AS (
+  SELECT label, CAST(tp AS DOUBLE) AS tp, CAST(support AS BIGINT) AS support, CAST(predicted AS BIGINT) AS predicted,
+    CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS precision,
+    CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS recall,
+    CASE WHEN support + predicted > 0 THEN 2.0 * CAST(tp AS DOUBLE) / (support + predicted) ELSE 0.0 END AS f1
+  FROM {name}_c)"""
+
+
+_ACC = "CAST(avg(CASE WHEN y_true = y_pred THEN 1 ELSE 0 END) AS DOUBLE)"
+
+SQL["j1_accuracy"] = with_(FAKE_PREDICTIONS) + f"SELECT round({_ACC}, 6) AS accuracy FROM fake_predictions"
+SQL["j2_f1"] = with_(FAKE_PREDICTIONS, _per_class_sql("fake_predictions")) + \
+    "SELECT round(avg(f1), 6) AS f1_macro, round(sum(f1 * support) / sum(support), 6) AS f1_weighted FROM pcm"
+SQL["j3_classification_report"] = with_(FAKE_PREDICTIONS, _per_class_sql("fake_predictions")) + f"""SELECT label,
+  round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM pcm
+UNION ALL SELECT 'accuracy', round(a, 6), round(a, 6), round(a, 6), s
+  FROM (SELECT (SELECT {_ACC} FROM fake_predictions) AS a, CAST(sum(support) AS BIGINT) AS s FROM pcm)
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+  CAST(sum(support) AS BIGINT) FROM pcm
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+  CAST(sum(support) AS BIGINT) FROM pcm"""
+SQL["j5_confusion_matrix"] = with_(FAKE_PREDICTIONS) + \
+    "SELECT y_true, y_pred, count(*) AS n FROM fake_predictions GROUP BY y_true, y_pred"
+SQL["j6_log_loss"] = with_(_SOFTMAX, "lp AS (SELECT s.prob FROM s JOIN embeddings e ON s.vec_id = e.vec_id AND s.idx = e.label)") + \
+    "SELECT round(avg(-ln(least(greatest(prob, 1e-15), 1 - 1e-15))), 6) AS log_loss FROM lp"
+
+_MODEL_B = """model_b AS (
+  SELECT Inv_Id, y_true,
+    CASE WHEN starts_with(md5(Inv_Id), '0') OR starts_with(md5(Inv_Id), '1')
+         THEN 'CLASS-' || CAST(1200 + (CAST(regexp_extract(y_true, '(\\d+)$', 1) AS INTEGER) - 1200 + 1) % 36 AS VARCHAR)
+         ELSE y_true END AS y_pred
+  FROM fake_predictions)"""
+_RESULTS = with_(FAKE_PREDICTIONS, _MODEL_B, _per_class_sql("fake_predictions", "pa"), _per_class_sql("model_b", "pb"),
+                 f"""results AS (
+  SELECT 'model_a' AS model, 1 AS train_order, (SELECT {_ACC} FROM fake_predictions) AS accuracy,
+    (SELECT sum(f1 * support) / sum(support) FROM pa) AS f1_weighted, (SELECT avg(f1) FROM pa) AS f1_macro,
+    'moved=md5 0' AS params
+  UNION ALL
+  SELECT 'model_b', 2, (SELECT {_ACC} FROM model_b), (SELECT sum(f1 * support) / sum(support) FROM pb),
+    (SELECT avg(f1) FROM pb), 'moved=md5 0-1')""")
+SQL["j4_compare_models"] = _RESULTS + """SELECT model, train_order, round(accuracy, 6) AS accuracy,
+  round(f1_weighted, 6) AS f1_weighted, round(f1_macro, 6) AS f1_macro, params FROM results"""
+SQL["i6_select_best"] = _RESULTS + """SELECT model, train_order, round(accuracy, 6) AS accuracy,
+  round(f1_weighted, 6) AS f1_weighted, round(f1_macro, 6) AS f1_macro, params FROM results
+WHERE f1_weighted > 0 ORDER BY f1_weighted DESC, train_order ASC LIMIT 1"""
+
+# ---------------------------------------------------------------------------------------------------
+# A: projections behind the sinks
+
+SQL["a8_submission"] = with_(FAKE_PREDICTIONS) + "SELECT Inv_Id, y_pred AS Product_Category FROM fake_predictions"
+SQL["a9_export_categorized"] = with_(INVOICE_LINES) + f"""SELECT Inv_Id, Vendor_Code, GL_Code, round(Inv_Amt, 6) AS Inv_Amt,
+  Item_Description, {general_category_sql('Item_Description')} AS General_Category, Product_Category
+FROM invoice_lines"""
+SQL["a13_scan_labels"] = with_(INVOICE_LINES) + \
+    "SELECT count(*) AS n_rows, count(DISTINCT Product_Category) AS n_classes FROM invoice_lines"

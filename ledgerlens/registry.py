@@ -315,3 +315,332 @@ def w3_argmax(spark, d):
 def k7_softmax(spark, d):
     e = _logits(spark, d).select("vec_id", F.posexplode(arrays.softmax("embedding")).alias("idx", "prob"))
     return rnd(e, 9)
+
+
+# ---------------------------------------------------------------------------------------------------
+# E / G1-G3 / A12: lookups and dictionaries
+
+from .operators import encode, evaluate, joins, profile, split  # noqa: E402
+
+
+@query("e1_attach_labels")
+def e1_attach_labels(spark, d):
+    """Documents left-joined to their quality labels by key."""
+    q = fx.doc_quality(spark, d)
+    return q.select("doc_id", "quality")
+
+
+@query("e3_encode_lookup")
+def e3_encode_lookup(spark, d):
+    lines = fx.invoice_lines(spark, d)
+    dic = encode.fit_dictionary(lines, "Vendor_Code")
+    return encode.encode_lookup(lines, "Vendor_Code", dic, "vendor_idx").select("Inv_Id", "vendor_idx")
+
+
+def _halves(spark, d):
+    """(fit, new): lines of every third part fit a dictionary; the other lines are looked up in it."""
+    k = fx.lines_keyed(spark, d)
+    return k.where(F.col("l_partkey") % 3 == 0), k.where(F.col("l_partkey") % 3 != 0)
+
+
+@query("g2_transform_dictionary")
+def g2_transform_dictionary(spark, d):
+    """Description dictionary fitted on every third part, applied to the other lines (unseen -> 0)."""
+    fit, new = _halves(spark, d)
+    dic = encode.fit_dictionary(fit, "Item_Description")
+    return encode.transform_dictionary(new, "Item_Description", dic, "desc_idx").select("Inv_Id", "desc_idx")
+
+
+@query("g2_unseen_vendors")
+def g2_unseen_vendors(spark, d):
+    """G2 on the held-out suppliers: every vendor is unseen, so every index is 0."""
+    fit, new = fx.lines_unseen(spark, d)
+    dic = encode.fit_dictionary(fit, "Vendor_Code")
+    return encode.transform_dictionary(new, "Vendor_Code", dic, "vendor_idx").select("Inv_Id", "vendor_idx")
+
+
+@query("e4_decode_labels")
+def e4_decode_labels(spark, d):
+    p = fx.fake_predictions(spark, d)
+    classes = encode.fit_dictionary(p, "y_true")
+    idx = encode.encode_lookup(p, "y_pred", classes, "pred_idx")
+    return encode.decode_labels(idx, "pred_idx", classes, "pred_label").select("Inv_Id", "pred_idx", "pred_label")
+
+
+@query("e5_known_values")
+def e5_known_values(spark, d):
+    fit, new = _halves(spark, d)
+    return encode.known_values(new, "Item_Description", encode.fit_dictionary(fit, "Item_Description")).select(
+        "Inv_Id", "Item_Description")
+
+
+@query("e5_unseen_values")
+def e5_unseen_values(spark, d):
+    fit, new = _halves(spark, d)
+    return encode.unseen_values(new, "Item_Description", encode.fit_dictionary(fit, "Item_Description")).select(
+        "Inv_Id", "Item_Description")
+
+
+@query("g1_fit_dictionary")
+def g1_fit_dictionary(spark, d):
+    lines = fx.invoice_lines(spark, d)
+    parts = [encode.fit_dictionary(lines, c).select(F.lit(c).alias("column_name"), "value", "idx")
+             for c in ("Vendor_Code", "GL_Code", "Product_Category")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("a12_label_mapping")
+def a12_label_mapping(spark, d):
+    lines = fx.invoice_lines(spark, d)
+    return encode.fit_dictionary(lines, "Product_Category").select("idx", F.col("value").alias("label"))
+
+
+@query("g3_scaler")
+def g3_scaler(spark, d):
+    lines = fx.invoice_lines(spark, d)
+    return rnd(lines.select("Inv_Id", encode.scale_column(lines, "Inv_Amt").alias("amount_scaled")))
+
+
+# ---------------------------------------------------------------------------------------------------
+# Tokens, n-grams, vocabulary, TF-IDF over every document text
+
+
+def _doc_tf(spark, d):
+    return encode.doc_terms(table(spark, d, "documents"), "doc_id", "text", 2)
+
+
+def _vocab(spark, d):
+    docs_t = table(spark, d, "documents")
+    n = docs_t.agg(F.count(F.lit(1))).scalar()
+    return encode.fit_vocabulary(_doc_tf(spark, d), n, 5000, 2, 0.95)
+
+
+@query("g4_tokens")
+def g4_tokens(spark, d):
+    t = table(spark, d, "documents")
+    return t.select("doc_id", F.size(text.tokens(text.clean_text("text"))).alias("n_tokens"))
+
+
+@query("g5_ngrams")
+def g5_ngrams(spark, d):
+    """Corpus count and document frequency of every 1-2-gram."""
+    return encode.term_stats(_doc_tf(spark, d))
+
+
+@query("g6_fit_vocabulary")
+def g6_fit_vocabulary(spark, d):
+    return rnd(_vocab(spark, d), 9)
+
+
+@query("g7_tfidf")
+def g7_tfidf(spark, d):
+    return rnd(encode.tfidf(_doc_tf(spark, d), _vocab(spark, d), "doc_id"), 6)
+
+
+# ---------------------------------------------------------------------------------------------------
+# H: splits
+
+
+@query("h1_stratified_split")
+def h1_stratified_split(spark, d):
+    lines = fx.invoice_lines(spark, d)
+    return split.stratified_split(lines, "Product_Category", "Inv_Id", 0.2, 42).select("Inv_Id", "is_val")
+
+
+@query("h2_random_split")
+def h2_random_split(spark, d):
+    lines = fx.invoice_lines(spark, d)
+    return split.random_split(lines, "Inv_Id", 0.2, 42).select("Inv_Id", "is_val")
+
+
+# ---------------------------------------------------------------------------------------------------
+# F / W1 / K3: profiling
+
+
+def _lines_nulls(spark, d):
+    return fx.invoice_lines_nulls(spark, d)
+
+
+@query("f1_shape")
+def f1_shape(spark, d):
+    return profile.shape(fx.invoice_lines(spark, d))
+
+
+@query("f2_null_counts")
+def f2_null_counts(spark, d):
+    return profile.null_counts(_lines_nulls(spark, d))
+
+
+@query("f3_n_unique")
+def f3_n_unique(spark, d):
+    return profile.n_unique(_lines_nulls(spark, d))
+
+
+@query("f4_value_counts")
+def f4_value_counts(spark, d):
+    return profile.value_counts(_lines_nulls(spark, d), "Vendor_Code", 5)
+
+
+@query("f4_value_counts_class")
+def f4_value_counts_class(spark, d):
+    return profile.value_counts(_lines_nulls(spark, d), "Product_Category")
+
+
+@query("f5_describe")
+def f5_describe(spark, d):
+    return rnd(profile.describe(_lines_nulls(spark, d), "Inv_Amt"))
+
+
+@query("f6_column_info")
+def f6_column_info(spark, d):
+    return profile.column_info(_lines_nulls(spark, d))
+
+
+@query("f7_histogram")
+def f7_histogram(spark, d):
+    return rnd(profile.histogram(_lines_nulls(spark, d), "Inv_Amt", 50))
+
+
+@query("f8_box_stats")
+def f8_box_stats(spark, d):
+    return rnd(profile.box_stats(_lines_nulls(spark, d), "Inv_Amt"))
+
+
+@query("f9_examples_top3")
+def f9_examples_top3(spark, d):
+    """two example lines for each of the three largest classes."""
+    return profile.examples_per_group(fx.invoice_lines(spark, d), "Product_Category", 2, "Inv_Id", top=3,
+                                      text_col="Item_Description")
+
+
+@query("f9_examples_general")
+def f9_examples_general(spark, d):
+    """three example documents for every general category of the document texts, with counts."""
+    t = table(spark, d, "documents").select("doc_id", text.general_category("text").alias("general_category"),
+                                            text.preview("text", 100).alias("preview"))
+    return profile.examples_per_group(t, "general_category", 3, "doc_id", text_col="preview")
+
+
+@query("f10_word_frequency")
+def f10_word_frequency(spark, d):
+    return profile.word_frequency(table(spark, d, "documents"), "text", 30)
+
+
+@query("f11_class_distribution")
+def f11_class_distribution(spark, d):
+    return profile.class_distribution(fx.invoice_lines(spark, d), "Product_Category")
+
+
+@query("f12_head")
+def f12_head(spark, d):
+    return rnd(profile.head(fx.invoice_lines(spark, d), 5, "Inv_Id"))
+
+
+@query("f13_top_categories")
+def f13_top_categories(spark, d):
+    return profile.bar_data(fx.invoice_lines(spark, d), "Product_Category", "Item_Description")["top_categories"]
+
+
+@query("f13_top_words")
+def f13_top_words(spark, d):
+    return profile.bar_data(_lines_nulls(spark, d), "Product_Category", "Item_Description")["top_words"]
+
+
+@query("f13_general_categories")
+def f13_general_categories(spark, d):
+    return profile.bar_data(table(spark, d, "documents"), "lang", "text")["general_categories"]
+
+
+@query("w1_top_k")
+def w1_top_k(spark, d):
+    return rnd(profile.top_k(fx.invoice_lines(spark, d).select("Inv_Id", "Inv_Amt"), "Inv_Amt", 10, "Inv_Id"))
+
+
+@query("k3_predicted_distribution")
+def k3_predicted_distribution(spark, d):
+    return profile.value_counts(fx.fake_predictions(spark, d), "y_pred", 10)
+
+
+# ---------------------------------------------------------------------------------------------------
+# J / I6: evaluation of prediction tables
+
+
+def _preds(spark, d):
+    return fx.fake_predictions(spark, d)
+
+
+@query("j1_accuracy")
+def j1_accuracy(spark, d):
+    return rnd(evaluate.accuracy(_preds(spark, d)))
+
+
+@query("j2_f1")
+def j2_f1(spark, d):
+    return rnd(evaluate.f1_scores(_preds(spark, d)))
+
+
+@query("j3_classification_report")
+def j3_classification_report(spark, d):
+    return rnd(evaluate.classification_report(_preds(spark, d)))
+
+
+@query("j5_confusion_matrix")
+def j5_confusion_matrix(spark, d):
+    return evaluate.confusion_matrix(_preds(spark, d))
+
+
+@query("j6_log_loss")
+def j6_log_loss(spark, d):
+    """Cross-entropy of softmax(embedding) against each vector's label."""
+    e = _logits(spark, d).select("label", arrays.softmax("embedding").alias("prob"))
+    return rnd(evaluate.log_loss(e, "prob", "label"))
+
+
+def _second_model(spark, d):
+    p = _preds(spark, d)
+    num = F.regexp_extract("y_true", r"(\d+)$", 1).cast("int")
+    moved = F.concat(F.lit("CLASS-"), (F.lit(1200) + (num - 1200 + 1) % 36).cast("string"))
+    h = F.md5("Inv_Id")
+    return p.select("Inv_Id", "y_true",
+                    F.when(h.startswith("0") | h.startswith("1"), moved).otherwise(F.col("y_true")).alias("y_pred"))
+
+
+def _results(spark, d):
+    return evaluate.compare_models([
+        evaluate.model_summary("model_a", 1, _preds(spark, d), params={"moved": "md5 0"}),
+        evaluate.model_summary("model_b", 2, _second_model(spark, d), params={"moved": "md5 0-1"}),
+    ])
+
+
+@query("j4_compare_models")
+def j4_compare_models(spark, d):
+    return rnd(_results(spark, d))
+
+
+@query("i6_select_best")
+def i6_select_best(spark, d):
+    return rnd(evaluate.select_best(_results(spark, d)))
+
+
+# ---------------------------------------------------------------------------------------------------
+# A: projections behind the sinks
+
+
+@query("a8_submission")
+def a8_submission(spark, d):
+    from .sources.writers import submission
+    return submission(_preds(spark, d).withColumnRenamed("y_pred", "Predicted_Category"))
+
+
+@query("a9_export_categorized")
+def a9_export_categorized(spark, d):
+    from .sources.writers import categorized
+    lines = fx.invoice_lines(spark, d)
+    return rnd(categorized(lines.withColumn("General_Category", text.general_category("Item_Description"))))
+
+
+@query("a13_scan_labels")
+def a13_scan_labels(spark, d):
+    """Rows and classes of a label table (Inv_Id, Product_Category)."""
+    labels = fx.invoice_lines(spark, d).select("Inv_Id", "Product_Category")
+    return labels.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("Product_Category").alias("n_classes"))
