@@ -2,10 +2,17 @@
 
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` sends every row of a
 group to one task, and an unpartitioned window sends the whole table to one.
-Here rows are range-partitioned on (group, order) instead, so a hot group is
-spread over many tasks by its order key. Each task numbers its rows locally;
-a small table of per-(task, group) counts gives each task its offset. That
-table has at most (#partitions + #groups) rows.
+Two exact, deterministic replacements:
+
+* ``hash_rank_within`` (order by a uniform hash, e.g. md5 for splits): rows are
+  bucketed by the leading hex digits of the hash. A window per (group, bucket)
+  numbers rows locally; a small table of per-(group, bucket) counts gives each
+  bucket its offset. A hot group is spread over 16**digits buckets. Bucket
+  membership depends only on values, so re-evaluation gives the same ranks.
+* ``row_number_within`` (any total order): range-partition on (group, order),
+  number rows per task, add per-(task, group) offsets. Partition ids depend on
+  sampling, so the tagged rows are checkpointed (reliable, shared folder)
+  before the offsets are joined back.
 """
 
 from __future__ import annotations
@@ -13,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = (partition id << 33) + row position
 
 
@@ -23,32 +32,51 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return max(1, int(conf))
 
 
+def _offsets(counts: DataFrame, group_cols, order_col: str, n_col: str) -> DataFrame:
+    """Rows of the same group in earlier segments (a window over the small count table)."""
+    w = Window.partitionBy(*group_cols).orderBy(order_col) if group_cols else Window.orderBy(order_col)
+    prev = F.sum(n_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return counts.withColumn("_off", F.coalesce(prev, F.lit(0)))
+
+
+def hash_rank_within(df: DataFrame, group_cols, hash_col: str, tie_col: str, out: str = "rank", digits: int = 3,
+                     groups_bounded: bool = True) -> DataFrame:
+    """Add ``out`` = 0-based rank within the group, ordered by (hash_col, tie_col).
+
+    ``hash_col`` is a lowercase hex digest. The count table has at most
+    groups * 16**digits rows; it is broadcast when the group count is bounded.
+    """
+    group_cols = list(group_cols)
+    x = df.withColumn("_b", F.conv(F.substring(hash_col, 1, digits), 16, 10).cast("int"))
+    keys = group_cols + ["_b"]
+    counts = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    offs = _offsets(counts, group_cols, "_b", "_n").select(*keys, "_off")
+    local = F.row_number().over(Window.partitionBy(*keys).orderBy(hash_col, tie_col)) - 1
+    ranked = x.withColumn("_local", local)
+    offs = F.broadcast(offs) if groups_bounded else offs
+    return (ranked.join(offs, on=keys, how="inner")
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
+            .drop("_b", "_off", "_local"))
+
+
 def row_number_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
                       partitions: int | None = None, groups_bounded: bool = True) -> DataFrame:
     """Add ``out`` = 0-based position of each row within its group, ordered by ``order_cols``.
 
-    ``order_cols`` must make the order total (append a unique key) for a
-    deterministic result. ``group_cols`` may be empty: a global rank.
-    ``groups_bounded``: the group count is small (classes, not ids), so the
-    segment table (<= partitions + groups rows) is broadcast and the big side is
-    not shuffled again; otherwise AQE picks the join from runtime sizes.
+    ``order_cols`` must make the order total (append a unique key). The tagged
+    rows are checkpointed once, so both uses below see the same partition ids.
     """
     group_cols = list(group_cols)
-    order_cols = list(order_cols)
-    keys = group_cols + order_cols
+    keys = group_cols + list(order_cols)
     n = _num_partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
+    ranked = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    tagged = ranked.withColumn("_mid", F.monotonically_increasing_id())
+    tagged = cut_lineage(tagged.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS)))
     seg_keys = ["_pid"] + group_cols
     segs = tagged.groupBy(*seg_keys).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    # Offsets: rows of the same group in earlier partitions. Small table (<= partitions + groups rows).
-    w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
-    segs = segs.withColumn("_off", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                              F.lit(0)))
-    segs = segs.select(*seg_keys, "_first", "_off")
-    if groups_bounded:
-        segs = F.broadcast(segs)
+    # Segments per partition are contiguous in range order: at most partitions + groups rows.
+    segs = _offsets(segs, group_cols, "_pid", "_n").select(*seg_keys, "_first", "_off")
+    segs = F.broadcast(segs) if groups_bounded else segs
     joined = tagged.join(segs, on=seg_keys, how="inner")
     return joined.withColumn(out, F.col("_mid") - F.col("_first") + F.col("_off")).drop(
         "_mid", "_pid", "_first", "_off")

@@ -1,9 +1,9 @@
 """Train/validation splits (H1, H2), reproducible and independent of partitioning.
 
 Membership comes from md5(seed | key), so the same rows land in validation
-whatever the partition layout. Ranks use ``row_number_within`` (range
-partitioned), so a class holding a third of the table is still split over
-many tasks.
+whatever the partition layout. Ranks use ``hash_rank_within`` (hash-prefix
+buckets), so a class holding a third of the table is still split over many
+tasks, and re-evaluation gives the same split.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import row_number_within
+from .ranking import hash_rank_within
 
 
 def split_hash(key: str, seed: int = 42):
@@ -30,17 +30,17 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     min_count = counts.agg(F.min("_n")).first()[0]  # one scalar decides the plan
     if min_count is not None and min_count >= 2:
-        ranked = row_number_within(h, [label], ["_h", key], out="_r")
+        ranked = hash_rank_within(h, [label], "_h", key, out="_r")
         ranked = ranked.join(F.broadcast(counts), label)  # one row per class
         is_val = F.col("_r") < F.round(F.lit(test_size) * F.col("_n"))
         return ranked.withColumn(out, is_val).drop("_h", "_r", "_n")
     n = df.agg(F.count(F.lit(1))).scalar()
-    ranked = row_number_within(h, [], ["_h", key], out="_r")
+    ranked = hash_rank_within(h, [], "_h", key, out="_r")
     return ranked.withColumn(out, F.col("_r") < F.ceil(F.lit(test_size) * n)).drop("_h", "_r")
 
 
 def random_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, out: str = "is_val") -> DataFrame:
     """H2: floor(test_size * n) rows with the smallest hash go to validation, unstratified."""
     n = df.agg(F.count(F.lit(1))).scalar()
-    ranked = row_number_within(df.withColumn("_h", split_hash(key, seed)), [], ["_h", key], out="_r")
+    ranked = hash_rank_within(df.withColumn("_h", split_hash(key, seed)), [], "_h", key, out="_r")
     return ranked.withColumn(out, F.col("_r") < F.floor(F.lit(test_size) * n)).drop("_h", "_r")

@@ -583,3 +583,5 @@ SQL["a9_export_categorized"] = with_(INVOICE_LINES) + f"""SELECT Inv_Id, Vendor_
 FROM invoice_lines"""
 SQL["a13_scan_labels"] = with_(INVOICE_LINES) + \
     "SELECT count(*) AS n_rows, count(DISTINCT Product_Category) AS n_classes FROM invoice_lines"
+
+SQL["k6_score_with"] = "SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[])), 6) AS score FROM embeddings"
