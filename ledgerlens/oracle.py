@@ -12,7 +12,7 @@ from .functions.fields import (
     SELLER_PATTERN, TAX_PATTERN, TOTAL_PATTERN,
 )
 from .functions.text import GENERAL_CATEGORY_DEFAULT, GENERAL_CATEGORY_RULES
-from .oracle_views import INVOICE_LINES, INVOICE_LINES_NULLS, INVOICE_TEXT, ORDER_DOCS, with_
+from .oracle_views import INVOICE_LINES, INVOICE_LINES_NULLS, INVOICE_TEXT, ITEM_ORDER, ORDER_DOCS, with_
 
 SQL: dict[str, str] = {}
 
@@ -131,7 +131,7 @@ SQL["b15_text_column"] = _features_sql(False, ["combined_text"])
 
 SQL["c6_items_exploded"] = """WITH items AS (
   SELECT l.l_orderkey AS k,
-         CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) - 1
+         CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY """ + ITEM_ORDER + """) - 1
               AS INTEGER) AS item_pos,
          p.p_name AS description,
          CAST(CAST(l.l_quantity AS DECIMAL(15,2)) AS VARCHAR) AS q,

@@ -31,16 +31,21 @@ invoice_lines_nulls AS (
          Product_Category
   FROM lines_keyed)"""
 
+# Item order: the key, then description, quantity text and price text (the key alone is not unique).
+ITEM_ORDER = ("l.l_linenumber, l.l_partkey, l.l_suppkey, p.p_name, "
+              "CAST(CAST(l.l_quantity AS DECIMAL(15,2)) AS VARCHAR), "
+              "CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) AS VARCHAR)")
+
 ORDER_DOCS = """order_items AS (
   SELECT l.l_orderkey,
          count(*) AS n_items,
-         string_agg(p.p_name, ' ' ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS descs,
+         string_agg(p.p_name, ' ' ORDER BY """ + ITEM_ORDER + """) AS descs,
          sum(l.l_quantity) AS qty,
          sum(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS price_dec,
          CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2)) * CAST(l.l_tax AS DECIMAL(15,2))) AS DECIMAL(15,2)) AS tax_dec,
          CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2)) * CAST(l.l_discount AS DECIMAL(15,2))) AS DECIMAL(15,2))
            AS discount_dec,
-         first(l.l_suppkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS first_suppkey
+         first(l.l_suppkey ORDER BY """ + ITEM_ORDER + """) AS first_suppkey
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY l.l_orderkey),
 order_docs AS (
@@ -59,9 +64,9 @@ INVOICE_TEXT = """text_items AS (
   SELECT l.l_orderkey,
          string_agg(p.p_name || ' ' || CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) || ' pcs ' ||
                     CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) AS VARCHAR), chr(10)
-                    ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS item_lines,
+                    ORDER BY """ + ITEM_ORDER + """) AS item_lines,
          CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2)) * CAST(l.l_tax AS DECIMAL(15,2))) AS DECIMAL(15,2)) AS tax_dec,
-         first(l.l_suppkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS first_suppkey
+         first(l.l_suppkey ORDER BY """ + ITEM_ORDER + """) AS first_suppkey
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY l.l_orderkey),
 invoice_text AS (
