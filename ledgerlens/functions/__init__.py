@@ -1,6 +1,6 @@
 """Column functions: every one returns a Spark ``Column`` built from built-in expressions."""
 
-from .arrays import argmax, softmax, top_k_per_row
+from .arrays import argmax, softmax, softmax_frame, top_k_per_row
 from .dates import date_parts, days_between, parse_date
 from .docs import (
     FEATURE_COLUMNS, all_features, date_features, feature_table, items_exploded, numeric_features,

@@ -301,8 +301,8 @@ def _logits(spark, d):
 
 @query("w2_top_k_per_row")
 def w2_top_k_per_row(spark, d):
-    e = _logits(spark, d).select("vec_id", F.posexplode(arrays.top_k_per_row(arrays.softmax("embedding"), 3))
-                                 .alias("rank", "p"))
+    p = arrays.softmax_frame(_logits(spark, d), "embedding", "prob")
+    e = p.select("vec_id", F.posexplode(arrays.top_k_per_row("prob", 3)).alias("rank", "p"))
     return rnd(e.select("vec_id", "rank", F.col("p.idx").alias("idx"), F.col("p.prob").alias("prob")))
 
 
@@ -313,8 +313,8 @@ def w3_argmax(spark, d):
 
 @query("k7_softmax")
 def k7_softmax(spark, d):
-    e = _logits(spark, d).select("vec_id", F.posexplode(arrays.softmax("embedding")).alias("idx", "prob"))
-    return rnd(e, 9)
+    p = arrays.softmax_frame(_logits(spark, d), "embedding", "p")
+    return rnd(p.select("vec_id", F.posexplode("p").alias("idx", "prob")), 9)
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -592,7 +592,7 @@ def j5_confusion_matrix(spark, d):
 @query("j6_log_loss")
 def j6_log_loss(spark, d):
     """Cross-entropy of softmax(embedding) against each vector's label."""
-    e = _logits(spark, d).select("label", arrays.softmax("embedding").alias("prob"))
+    e = arrays.softmax_frame(_logits(spark, d), "embedding", "prob").select("label", "prob")
     return rnd(evaluate.log_loss(e, "prob", "label"))
 
 
