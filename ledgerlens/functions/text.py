@@ -95,5 +95,13 @@ def ngrams(toks, n_max: int = 2) -> Column:
 
 
 def terms(text, n_max: int = 2) -> Column:
-    """B1 + G4 + G5: the n-gram terms of a raw text."""
+    """B1 + G4 + G5 as one expression (the token array is rebuilt for every use inside ``ngrams``;
+    prefer ``add_terms`` on DataFrames)."""
     return ngrams(tokens(clean_text(text)), n_max)
+
+
+def add_terms(df, text_col: str, out: str = "terms", n_max: int = 2):
+    """B1 + G4 + G5 on a DataFrame: tokens are a column of their own, so cleaning and splitting run once per row
+    (the n-gram expression refers to the token array five times)."""
+    x = df.withColumn("_tok", tokens(clean_text(F.col(text_col))))
+    return x.withColumn(out, ngrams(F.col("_tok"), n_max)).drop("_tok")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import terms
+from ..functions.text import add_terms
 from .ranking import dense_index
 
 # Dictionaries at or under this many rows are broadcast to the lookup side.
@@ -105,8 +105,8 @@ def doc_terms(df: DataFrame, id_col: str, text_col: str, n_max: int = 2) -> Data
     exploded terms, and the (id, term) count and the later per-document norm
     then need no further shuffle.
     """
-    by_doc = df.select(id_col, text_col).repartition(id_col)
-    exploded = by_doc.select(id_col, F.explode(terms(F.col(text_col), n_max)).alias("term"))
+    by_doc = add_terms(df.select(id_col, text_col).repartition(id_col), text_col, "_terms", n_max)
+    exploded = by_doc.select(id_col, F.explode("_terms").alias("term"))
     return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

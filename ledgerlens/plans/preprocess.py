@@ -25,7 +25,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, ngrams, tokens
+from ..functions.text import add_terms
 from ..operators import encode
 
 # Defaults for missing line fields.
@@ -45,7 +45,7 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 def with_terms(df: DataFrame, text_col: str = "Item_Description", out: str = "terms") -> DataFrame:
     """B1 + G4 + G5 as one projection: the 1-2-gram terms of the cleaned description."""
-    return df.withColumn(out, ngrams(tokens(clean_text(F.col(text_col))), 2))
+    return add_terms(df, text_col, out, 2)
 
 
 class NotFittedError(ValueError):

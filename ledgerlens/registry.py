@@ -712,7 +712,7 @@ def _doc_branches(spark, d, max_features: int = 300):
     tf = encode.doc_terms(docs_t, "doc_id", "text", 2)
     vocab = encode.fit_vocabulary(tf, docs_t.agg(F.count(F.lit(1))).scalar(), max_features, 2, 0.95)
     rows = vocab.orderBy("idx").select("term", "idf").collect()  # <= max_features rows
-    x = docs_t.withColumn("terms", text.terms(F.col("text")))
+    x = text.add_terms(docs_t, "text", "terms")
     x = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], "terms", "_tf").transform(x)
     x = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf",
                            outputCol="_raw").transform(x)

@@ -69,9 +69,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Fact-like tables whose rows carry the heavy per-row work (text, JSON, arrays).
+LARGE_TABLES = ("lineitem", "orders", "documents", "pages", "conversations", "events", "embeddings")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the session's parallelism.
+
+    A scan of one large, unsplittable file (one Parquet row group) is a single
+    task; CPU-heavy row-wise work after it would use one core. On a cluster the
+    input already has many partitions and this is a no-op (no extra shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame (Parquet; pruning and pushdown by Catalyst)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table as a DataFrame (Parquet; pruning and pushdown by Catalyst).
+
+    Large tables are spread over at least one partition per core (see ``spread``).
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in LARGE_TABLES else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
