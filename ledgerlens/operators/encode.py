@@ -106,7 +106,9 @@ def doc_terms(df: DataFrame, id_col: str, text_col: str, n_max: int = 2) -> Data
     then need no further shuffle.
     """
     by_doc = add_terms(df.select(id_col, text_col).repartition(id_col), text_col, "_terms", n_max)
-    exploded = by_doc.select(id_col, F.explode("_terms").alias("term"))
+    # explode_outer + null filter: a plain explode makes the optimizer infer size(terms) > 0 and push that
+    # predicate, with the whole n-gram expression inlined, under the repartition (the text would be processed twice).
+    exploded = by_doc.select(id_col, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
     return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
