@@ -47,13 +47,23 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     return ordered.limit(n) if n else ordered
 
 
-def describe(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, sample std, min, 25/50/75 % (exact, linear), max of one numeric column."""
+def _quantile(x, p: float, exact: bool, accuracy: int):
+    """Exact linear-interpolated percentile, or the bounded-memory Greenwald-Khanna sketch."""
+    return F.percentile(x, p) if exact else F.percentile_approx(x, p, accuracy).cast("double")
+
+
+def describe(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+    """count, mean, sample std, min, 25/50/75 %, max of one numeric column.
+
+    ``exact`` quartiles interpolate linearly (as the reference) but keep a
+    value -> count map per group; ``exact=False`` uses ``percentile_approx``
+    (bounded memory, rank error about 1 / accuracy) for very large columns.
+    """
     x = F.col(col).cast("double")
     return df.agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        F.percentile(x, 0.25).alias("q25"), F.percentile(x, 0.5).alias("q50"), F.percentile(x, 0.75).alias("q75"),
-        F.max(x).alias("max"),
+        _quantile(x, 0.25, exact, accuracy).alias("q25"), _quantile(x, 0.5, exact, accuracy).alias("q50"),
+        _quantile(x, 0.75, exact, accuracy).alias("q75"), F.max(x).alias("max"),
     )
 
 
@@ -88,20 +98,21 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
                     F.coalesce("count", F.lit(0).cast("long")).alias("count")))
 
 
-def box_stats(df: DataFrame, col: str) -> DataFrame:
+def box_stats(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """F8: quartiles, IQR, whiskers (furthest points within 1.5 IQR of the box) and outlier count; one row.
 
     Quartiles are exact (linear interpolation); the fences enter the second
     aggregate as scalar subqueries.
     """
     data = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    quart = data.agg(F.percentile("x", 0.25).alias("q1"), F.percentile("x", 0.75).alias("q3"))
+    x = F.col("x")
+    quart = data.agg(_quantile(x, 0.25, exact, accuracy).alias("q1"), _quantile(x, 0.75, exact, accuracy).alias("q3"))
     q1, q3 = quart.select("q1").scalar(), quart.select("q3").scalar()
     lo_f, hi_f = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (F.col("x") >= lo_f) & (F.col("x") <= hi_f)
     return data.agg(
-        F.percentile("x", 0.25).alias("q1"), F.percentile("x", 0.5).alias("median"),
-        F.percentile("x", 0.75).alias("q3"),
+        _quantile(x, 0.25, exact, accuracy).alias("q1"), _quantile(x, 0.5, exact, accuracy).alias("median"),
+        _quantile(x, 0.75, exact, accuracy).alias("q3"),
         F.min(F.when(inside, F.col("x"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("x"))).alias("upper_whisker"),
         F.count(F.when(~inside, F.lit(1))).alias("n_outliers"),
