@@ -585,3 +585,10 @@ SQL["a13_scan_labels"] = with_(INVOICE_LINES) + \
     "SELECT count(*) AS n_rows, count(DISTINCT Product_Category) AS n_classes FROM invoice_lines"
 
 SQL["k6_score_with"] = "SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[])), 6) AS score FROM embeddings"
+
+SQL["f4_value_counts_gl"] = _value_counts_sql(INVOICE_LINES_NULLS, "invoice_lines_nulls", "GL_Code", 5)
+SQL["f4_value_counts_class_top10"] = _value_counts_sql(INVOICE_LINES, "invoice_lines", "Product_Category", 10)
+SQL["j5_confusion_pivot"] = with_(FAKE_PREDICTIONS) + """SELECT y_true,
+  count(*) FILTER (WHERE y_pred = 'CLASS-1200') AS CLASS_1200, count(*) FILTER (WHERE y_pred = 'CLASS-1201') AS CLASS_1201,
+  count(*) FILTER (WHERE y_pred = 'CLASS-1202') AS CLASS_1202, count(*) FILTER (WHERE y_pred = 'CLASS-1203') AS CLASS_1203
+FROM fake_predictions GROUP BY y_true"""

@@ -816,3 +816,21 @@ def k6_score_with(spark, d):
     from .plans.score import score_with
     e = fx.image_branch(spark, d)
     return rnd(score_with(e, _mean_model, "embedding", out="score").select("vec_id", "score"))
+
+
+@query("f4_value_counts_gl")
+def f4_value_counts_gl(spark, d):
+    return profile.value_counts(_lines_nulls(spark, d), "GL_Code", 5)
+
+
+@query("f4_value_counts_class_top10")
+def f4_value_counts_class_top10(spark, d):
+    return profile.value_counts(fx.invoice_lines(spark, d), "Product_Category", 10)
+
+
+@query("j5_confusion_pivot")
+def j5_confusion_pivot(spark, d):
+    """J5 for display: counts per (true class, predicted class) with the first four classes as columns."""
+    labels = ["CLASS-1200", "CLASS-1201", "CLASS-1202", "CLASS-1203"]
+    p = evaluate.confusion_pivot(_preds(spark, d), labels)
+    return p.select("y_true", *[F.col(f"`{c}`").alias(c.replace("-", "_")) for c in labels])

@@ -91,3 +91,13 @@ def test_top_k_per_group_is_limited_before_shuffle(spark):
     ex._jdf.queryExecution().executedPlan()
     s = ex._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in s
+
+
+def test_split_falls_back_to_plain_when_a_class_is_tiny(spark):
+    lines = fx.invoice_lines(spark, SF)
+    one = lines.where("Product_Category = 'CLASS-1210'").orderBy("Inv_Id").limit(1)
+    data = lines.where("Product_Category <> 'CLASS-1210'").unionByName(one)
+    n = data.count()
+    out = split.stratified_split(data, "Product_Category", "Inv_Id")
+    assert out.count() == n
+    assert out.where("is_val").count() == math.ceil(0.2 * n)
