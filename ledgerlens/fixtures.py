@@ -182,9 +182,10 @@ def doc_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents left-joined to labels: quality known for part of the rows."""
+    from .operators.joins import attach_labels
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id", "left")
+    return attach_labels(docs, labels, "doc_id", "left")
 
 
 def fake_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

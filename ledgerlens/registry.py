@@ -326,8 +326,9 @@ from .operators import encode, evaluate, joins, profile, split  # noqa: E402
 @query("e1_attach_labels")
 def e1_attach_labels(spark, d):
     """Documents left-joined to their quality labels by key."""
-    q = fx.doc_quality(spark, d)
-    return q.select("doc_id", "quality")
+    docs_t = table(spark, d, "documents").select("doc_id")
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    return joins.attach_labels(docs_t, labels, "doc_id", "left").select("doc_id", "quality")
 
 
 @query("e3_encode_lookup")

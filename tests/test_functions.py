@@ -3,7 +3,6 @@
 import datetime as dt
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import (

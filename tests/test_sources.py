@@ -3,8 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from ledgerlens import fixtures as fx
 from ledgerlens.functions import feature_table
 from ledgerlens.sources import persist, readers, writers
