@@ -14,10 +14,24 @@ from pyspark.sql import functions as F
 from .ranking import hash_rank_within
 
 
+# Rows per (group, hash bucket) window the split aims for; bounds each window task.
+ROWS_PER_BUCKET = 2_000_000
+# Offset tables up to this many rows are broadcast.
+BROADCAST_OFFSETS = 2_000_000
+
+
 def split_hash(key: str, seed: int = 42):
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
 
 
+def bucket_digits(largest_group: int) -> int:
+    """Hex digits of the hash prefix so that the largest group has about ROWS_PER_BUCKET rows per bucket."""
+    digits = 1
+    while digits < 8 and largest_group / (16 ** digits) > ROWS_PER_BUCKET:
+        digits += 1
+    return digits
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42,
                      out: str = "is_val") -> DataFrame:
     """H1: per class, the round(test_size * n_class) rows with the smallest hash go to validation.
@@ -28,19 +42,24 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     """
     h = df.withColumn("_h", split_hash(key, seed))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    min_count = counts.agg(F.min("_n")).first()[0]  # one scalar decides the plan
-    if min_count is not None and min_count >= 2:
-        ranked = hash_rank_within(h, [label], "_h", key, out="_r")
-        ranked = ranked.join(F.broadcast(counts), label)  # one row per class
+    # Four scalars decide the plan: stratify or not, and how finely to bucket the largest class.
+    st = counts.agg(F.min("_n").alias("lo"), F.max("_n").alias("hi"), F.sum("_n").alias("n"),
+                    F.count(F.lit(1)).alias("k")).first()
+    if st["lo"] is not None and st["lo"] >= 2:
+        digits = bucket_digits(st["hi"])
+        small = st["k"] * 16 ** digits <= BROADCAST_OFFSETS
+        ranked = hash_rank_within(h, [label], "_h", key, out="_r", digits=digits, groups_bounded=small)
+        ranked = ranked.join(F.broadcast(counts) if st["k"] <= BROADCAST_OFFSETS else counts, label)
         is_val = F.col("_r") < F.round(F.lit(test_size) * F.col("_n"))
         return ranked.withColumn(out, is_val).drop("_h", "_r", "_n")
-    n = df.agg(F.count(F.lit(1))).scalar()
-    ranked = hash_rank_within(h, [], "_h", key, out="_r")
-    return ranked.withColumn(out, F.col("_r") < F.ceil(F.lit(test_size) * n)).drop("_h", "_r")
+    n = st["n"] or 0
+    ranked = hash_rank_within(h, [], "_h", key, out="_r", digits=bucket_digits(n))
+    return ranked.withColumn(out, F.col("_r") < F.ceil(F.lit(test_size) * F.lit(n))).drop("_h", "_r")
 
 
 def random_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, out: str = "is_val") -> DataFrame:
     """H2: floor(test_size * n) rows with the smallest hash go to validation, unstratified."""
-    n = df.agg(F.count(F.lit(1))).scalar()
-    ranked = hash_rank_within(df.withColumn("_h", split_hash(key, seed)), [], "_h", key, out="_r")
-    return ranked.withColumn(out, F.col("_r") < F.floor(F.lit(test_size) * n)).drop("_h", "_r")
+    n = df.count()  # one scalar: the validation size and the bucket count
+    ranked = hash_rank_within(df.withColumn("_h", split_hash(key, seed)), [], "_h", key, out="_r",
+                              digits=bucket_digits(n))
+    return ranked.withColumn(out, F.col("_r") < F.floor(F.lit(test_size) * F.lit(n))).drop("_h", "_r")
