@@ -101,3 +101,14 @@ def test_split_falls_back_to_plain_when_a_class_is_tiny(spark):
     out = split.stratified_split(data, "Product_Category", "Inv_Id")
     assert out.count() == n
     assert out.where("is_val").count() == math.ceil(0.2 * n)
+
+
+def test_approximate_quartiles_are_close(spark):
+    lines = fx.invoice_lines(spark, SF)
+    exact = profile.describe(lines, "Inv_Amt").first()
+    approx = profile.describe(lines, "Inv_Amt", exact=False).first()
+    spread = exact["max"] - exact["min"]
+    for q in ("q25", "q50", "q75"):
+        assert abs(exact[q] - approx[q]) <= 0.01 * spread
+    box = profile.box_stats(lines, "Inv_Amt", exact=False).first()
+    assert box["lower_whisker"] >= exact["min"] and box["upper_whisker"] <= exact["max"]
