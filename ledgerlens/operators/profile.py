@@ -47,9 +47,15 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     return ordered.limit(n) if n else ordered
 
 
-def _quantile(x, p: float, exact: bool, accuracy: int):
-    """Exact linear-interpolated percentile, or the bounded-memory Greenwald-Khanna sketch."""
-    return F.percentile(x, p) if exact else F.percentile_approx(x, p, accuracy).cast("double")
+def _quantiles(x, ps, exact: bool, accuracy: int):
+    """Several percentiles from one aggregate (one value map or one sketch): an array of doubles.
+
+    Exact: linear interpolation, as the reference. Otherwise the bounded-memory Greenwald-Khanna sketch.
+    """
+    ps = list(ps)
+    if exact:
+        return F.percentile(x, ps)
+    return F.percentile_approx(x, ps, accuracy).cast("array<double>")
 
 
 def describe(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
@@ -60,11 +66,12 @@ def describe(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_00
     (bounded memory, rank error about 1 / accuracy) for very large columns.
     """
     x = F.col(col).cast("double")
-    return df.agg(
+    agg = df.agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        _quantile(x, 0.25, exact, accuracy).alias("q25"), _quantile(x, 0.5, exact, accuracy).alias("q50"),
-        _quantile(x, 0.75, exact, accuracy).alias("q75"), F.max(x).alias("max"),
+        _quantiles(x, (0.25, 0.5, 0.75), exact, accuracy).alias("_q"), F.max(x).alias("max"),
     )
+    return agg.select("count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+                      F.col("_q")[2].alias("q75"), "max")
 
 
 def column_info(df: DataFrame) -> DataFrame:
@@ -101,22 +108,21 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def box_stats(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """F8: quartiles, IQR, whiskers (furthest points within 1.5 IQR of the box) and outlier count; one row.
 
-    Quartiles are exact (linear interpolation); the fences enter the second
-    aggregate as scalar subqueries.
+    The three quartiles come from one aggregate; that array enters the second
+    aggregate as a single scalar subquery (fences for the whiskers).
     """
     data = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    x = F.col("x")
-    quart = data.agg(_quantile(x, 0.25, exact, accuracy).alias("q1"), _quantile(x, 0.75, exact, accuracy).alias("q3"))
-    q1, q3 = quart.select("q1").scalar(), quart.select("q3").scalar()
+    q = data.agg(_quantiles(F.col("x"), (0.25, 0.5, 0.75), exact, accuracy).alias("q")).scalar()
+    q1, q3 = q[0], q[2]
     lo_f, hi_f = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (F.col("x") >= lo_f) & (F.col("x") <= hi_f)
-    return data.agg(
-        _quantile(x, 0.25, exact, accuracy).alias("q1"), _quantile(x, 0.5, exact, accuracy).alias("median"),
-        _quantile(x, 0.75, exact, accuracy).alias("q3"),
+    w = data.agg(
         F.min(F.when(inside, F.col("x"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("x"))).alias("upper_whisker"),
         F.count(F.when(~inside, F.lit(1))).alias("n_outliers"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
+    )
+    return w.select(q1.alias("q1"), q[1].alias("median"), q3.alias("q3"), "lower_whisker", "upper_whisker",
+                    "n_outliers", (q3 - q1).alias("iqr"))
 
 
 def examples_per_group(df: DataFrame, cat: str, k: int, order_by: str, top: int | None = None,
