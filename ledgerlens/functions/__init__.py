@@ -4,7 +4,7 @@ from .arrays import argmax, softmax, softmax_frame, top_k_per_row
 from .dates import date_parts, days_between, parse_date
 from .docs import (
     FEATURE_COLUMNS, all_features, date_features, feature_table, items_exploded, numeric_features,
-    numeric_vector, parse_invoice_json, text_features,
+    numeric_vector, parse_invoice_frame, parse_invoice_json, text_features,
 )
 from .fields import (
     GERMAN_FUEL_LAZY_TAX, GERMAN_FUEL_RULES, FieldRule, date_field, first_match, invoice_number, line_items,

@@ -17,18 +17,33 @@ from .numbers import parse_number, safe_ratio
 from .text import combined_text
 
 
+_JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
+
+
+def _raw_parse(c) -> Column:
+    return F.from_json(as_col(c), schemas.INVOICE_DOC_WITH_BAD, _JSON_OPTIONS)
+
+
+def _checked(parsed: Column) -> Column:
+    doc = F.struct(*[parsed[f.name].alias(f.name) for f in schemas.INVOICE_DOC.fields])
+    return F.when(parsed.isNotNull() & parsed["_bad"].isNull(), doc)
+
+
 def parse_invoice_json(c) -> Column:
     """JSON text -> invoice struct; malformed text -> null struct (read as an empty document).
 
     The row is always kept. Any corrupt-record flag nulls the whole document so
-    that a half-parsed record never leaks partial fields.
+    that a half-parsed record never leaks partial fields. On DataFrames prefer
+    ``parse_invoice_frame``, which parses in a projection of its own.
     """
-    parsed = F.from_json(
-        as_col(c), schemas.INVOICE_DOC_WITH_BAD,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"},
-    )
-    doc = F.struct(*[parsed[f.name].alias(f.name) for f in schemas.INVOICE_DOC.fields])
-    return F.when(parsed.isNotNull() & parsed["_bad"].isNull(), doc)
+    return _checked(_raw_parse(c))
+
+
+def parse_invoice_frame(df: DataFrame, json_column: str = "json_data", out: str = "_doc", keep=("file_name",)):
+    """B4 on a DataFrame: ``from_json`` runs once per row in its own projection, the corrupt-record check in the next."""
+    carried = [c for c in keep if c in df.columns]
+    parsed = df.select(*carried, _raw_parse(json_column).alias("_parsed"))
+    return parsed.select(*carried, _checked(F.col("_parsed")).alias(out))
 
 
 def _items(doc) -> Column:
@@ -111,10 +126,10 @@ def all_features(doc) -> list[Column]:
 def feature_table(df: DataFrame, json_column: str = "json_data", keep=("file_name",)) -> DataFrame:
     """One feature row per JSON document, carrying ``keep`` columns (e.g. file_name).
 
-    The parse runs in its own projection so it is evaluated once per row.
+    The parse runs in its own projection so ``from_json`` is evaluated once per row.
     """
     carried = [c for c in keep if c in df.columns]
-    parsed = df.select(*carried, parse_invoice_json(json_column).alias("_doc"))
+    parsed = parse_invoice_frame(df, json_column, "_doc", carried)
     return parsed.select(*all_features("_doc"), *carried)
 
 

@@ -81,8 +81,7 @@ def c3_date_features(spark, d):
 
 @query("c6_items_exploded")
 def c6_items_exploded(spark, d):
-    src = fx.invoice_docs_broken(spark, d)
-    parsed = src.select("file_name", docs.parse_invoice_json("json_data").alias("_doc"))
+    parsed = docs.parse_invoice_frame(fx.invoice_docs_broken(spark, d), "json_data", "_doc", ("file_name",))
     return rnd(docs.items_exploded(parsed, "_doc", keep=("file_name",)))
 
 
@@ -139,9 +138,7 @@ def b3_parse_date(spark, d):
 
 @query("b4_parse_invoice_json")
 def b4_parse_invoice_json(spark, d):
-    src = fx.invoice_docs_broken(spark, d)
-    doc = docs.parse_invoice_json("json_data")
-    p = src.select("file_name", doc.alias("_doc"))
+    p = docs.parse_invoice_frame(fx.invoice_docs_broken(spark, d), "json_data", "_doc", ("file_name",))
     return p.select("file_name", F.col("_doc").isNull().alias("is_empty"),
                     F.coalesce(F.size("_doc.items"), F.lit(0)).alias("n_items"),
                     F.col("_doc.invoice.invoice_date").alias("invoice_date"))
