@@ -143,20 +143,20 @@ class FeaturePipeline:
         n_docs = x.agg(F.count(F.lit(1))).scalar()
         vocab = encode.fit_vocabulary(tf, n_docs, self.max_features, self.min_df, self.max_df)
         rows = vocab.orderBy("idx").select("term", "idf").collect()  # <= max_features rows
-        vendor = encode.fit_dictionary(x, "Vendor_Code")
-        gl = encode.fit_dictionary(x, "GL_Code")
-        cls = encode.fit_dictionary(x, label_col) if label_col and label_col in x.columns else None
+        # Dictionaries are checkpointed first (later transforms never recompute the fit), then counted from the
+        # checkpoint; the counts decide whether a dictionary is broadcast.
+        from ..session import cut_lineage
+        vendor = cut_lineage(encode.fit_dictionary(x, "Vendor_Code"))
+        gl = cut_lineage(encode.fit_dictionary(x, "GL_Code"))
+        cls = cut_lineage(encode.fit_dictionary(x, label_col)) if label_col and label_col in x.columns else None
         counts = {"vendor": vendor.count(), "gl": gl.count()}
         if cls is not None:
             counts["class"] = cls.count()
         scaler = encode.fit_scaler(x, "Inv_Amt")
         spark = df.sparkSession
-        # Dictionaries are checkpointed so later transforms never recompute the fit.
-        from ..session import cut_lineage
         return FeaturePipelineModel(
             vocabulary=[r["term"] for r in rows], idf=[float(r["idf"]) for r in rows],
-            vendor_dict=cut_lineage(vendor), gl_dict=cut_lineage(gl),
-            class_dict=cut_lineage(cls) if cls is not None else None,
+            vendor_dict=vendor, gl_dict=gl, class_dict=cls,
             amount_mean=scaler.mean, amount_std=scaler.std, dict_rows=counts,
             settings={"max_features": self.max_features, "min_df": self.min_df, "max_df": self.max_df,
                       "spark_version": spark.version},
