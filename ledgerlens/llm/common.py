@@ -17,12 +17,16 @@ from ledgerlens.session import ensure_checkpoint_dir
 SLICE_CHARS = 1_000_000
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A path of its own below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back (lineage ends there)."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

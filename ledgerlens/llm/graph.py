@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +11,38 @@ from ledgerlens.llm.common import staged
 MAX_ROUNDS = 60
 
 
+class Forest:
+    """Union-find over positions within one task; keeps the links that joined two trees."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def _roots(self) -> np.ndarray:
+        up = self.up
+        while True:
+            nxt = up[up]
+            if (nxt == up).all():
+                self.up = up
+                return up
+            up = nxt
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Join the trees of a[i] and b[i] for every i."""
+        while len(a):
+            up = self._roots()
+            ra, rb = up[a], up[b]
+            apart = np.flatnonzero(ra != rb)
+            if not len(apart):
+                return
+            a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+            hi, lo = np.maximum(ra, rb), np.minimum(ra, rb)
+            # One link for each higher root in a round: no circle can arise.
+            _, first = np.unique(hi, return_index=True)
+            self.up[hi[first]] = lo[first]
+            self.links.extend(zip(a[first].tolist(), b[first].tolist(), strict=True))
+
+
 def _star(edges: DataFrame, by: str) -> DataFrame:
     """``edges`` with each centre's smallest neighbour ``m``; joined, so that a hub's rows can be split."""
     least = edges.groupBy(by).agg(F.min("v").alias("m"))

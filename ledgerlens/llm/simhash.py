@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import slices, staged
-from ledgerlens.llm.graph import components
+from ledgerlens.llm.graph import Forest, components
 
 SHARD = 40_000  # fingerprints that a shard of the tree aims at
 TREE_SAMPLE = 65_536  # fingerprints from which the dealing tree is made, at most
@@ -132,31 +132,9 @@ def route(tree: list | int, fps: np.ndarray, bits: int) -> Iterator[tuple[int, n
         work.append((right, mine[dm > r], other[do > r - bits]))
 
 
-class _Forest:
-    """Union-find over positions that keeps the links which joined two trees."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-        self.links: list[tuple[int, int]] = []
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            rx, ry = self.root(x), self.root(y)
-            if rx != ry:
-                self.up[max(rx, ry)] = min(rx, ry)
-                self.links.append((x, y))
-
-
 def shard_links(fps: np.ndarray, members: int, bits: int) -> list[tuple[int, int]]:
     """Spanning forest of the links among the first ``members`` and between them and the other queries."""
-    forest = _Forest(len(fps))
+    forest = Forest(len(fps))
 
     def grow(mine: np.ndarray, other: np.ndarray) -> None:
         cut = _split(fps[mine]) if len(mine) > LEAF else None

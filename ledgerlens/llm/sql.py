@@ -3,3 +3,62 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+_ESCAPED = "replace(replace({x}, '&', '&amp;'), '<|', '&lt;|')"
+SQL["op5_chat_format"] = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), conv AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(replace({_ESCAPED.format(x='role')}, chr(10), '&nl;')) + length({_ESCAPED.format(x='text')}) + 24)
+      AS formatted_chars
+  FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM conv
+"""
+
+SQL["op4_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9
+), reach AS (
+  SELECT a AS node, least(a, b) AS low FROM link
+  UNION
+  SELECT link.b, reach.low FROM reach JOIN link ON link.a = reach.node
+), degree AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+part AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, coalesce(p.low, e.vec_id) AS component_id,
+  coalesce(p.low, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN part p ON p.node = e.vec_id
+"""
+
+# The table is filled step by step: in step s shard s mod 32 claims the first free slot of its own order.
+_NUMBER = "CAST('0x' || substr(md5({x}), 1, 15) AS BIGINT)"
+SQL["op10_sharding"] = f"""
+WITH RECURSIVE shard AS (
+  SELECT i, format('shard-{{:02d}}', i) AS name FROM range(32) t(i)
+), pref AS (
+  SELECT i, name, {_NUMBER.format(x="name || '|offset'")} % 4093 AS o, {_NUMBER.format(x="name || '|stride'")} % 4092 + 1 AS k
+  FROM shard
+), perm AS (
+  SELECT i, name, list_transform(range(4093), lambda j: (o + j * k) % 4093) AS slots FROM pref
+), fill AS (
+  SELECT 0 AS step, list_transform(range(4093), lambda j: true) AS free, CAST(-1 AS BIGINT) AS slot, '' AS name
+  UNION ALL
+  SELECT n.step + 1, list_transform(n.free, lambda f, at: f AND at <> n.slot + 1), n.slot, n.name
+  FROM (SELECT f.step, f.free, p.name, list_filter(p.slots, lambda s: f.free[s + 1])[1] AS slot
+        FROM fill f JOIN perm p ON p.i = f.step % 32 WHERE f.step < 4093) n
+)
+SELECT d.doc_id, fill.slot, fill.name AS shard
+FROM documents d JOIN fill ON fill.slot = {_NUMBER.format(x="coalesce(CAST(d.doc_id AS VARCHAR), '')")} % 4093
+"""
