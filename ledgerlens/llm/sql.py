@@ -55,7 +55,7 @@ WITH RECURSIVE shard AS (
 ), fill AS (
   SELECT 0 AS step, list_transform(range(4093), lambda j: true) AS free, CAST(-1 AS BIGINT) AS slot, '' AS name
   UNION ALL
-  SELECT n.step + 1, list_transform(n.free, lambda f, at: f AND at <> n.slot + 1), n.slot, n.name
+  SELECT n.step + 1, list_transform(n.free, lambda f, pos: f AND pos <> n.slot + 1), n.slot, n.name
   FROM (SELECT f.step, f.free, p.name, list_filter(p.slots, lambda s: f.free[s + 1])[1] AS slot
         FROM fill f JOIN perm p ON p.i = f.step % 32 WHERE f.step < 4093) n
 )
