@@ -175,19 +175,6 @@ def invoice_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("o_orderkey", F.array_join(F.concat(header, item_lines, footer), "\n").alias("text"))
 
 
-def doc_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents -> (doc_id, text, lang): four-class language data."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-
-
-def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents left-joined to labels: quality known for part of the rows."""
-    from .operators.joins import attach_labels
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return attach_labels(docs, labels, "doc_id", "left")
-
-
 def fake_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(Inv_Id, y_true, y_pred): the true class, moved by one class where md5(Inv_Id) starts with '0'."""
     lines = invoice_lines(spark, sf_dir)

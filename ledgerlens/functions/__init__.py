@@ -3,7 +3,7 @@
 from .arrays import argmax, softmax, softmax_frame, top_k_per_row
 from .dates import date_parts, days_between, parse_date
 from .docs import (
-    FEATURE_COLUMNS, all_features, date_features, feature_table, items_exploded, numeric_features,
+    FEATURE_COLUMNS, add_features, all_features, date_features, feature_table, items_exploded, numeric_features,
     numeric_vector, parse_invoice_frame, parse_invoice_json, text_features,
 )
 from .fields import (
@@ -12,6 +12,6 @@ from .fields import (
 )
 from .numbers import parse_number, safe_ratio
 from .text import (
-    GENERAL_CATEGORY_RULES, clean_text, combined_text, general_category, ngrams, preview, strip_ws, terms,
-    text_length, tokens, word_count,
+    GENERAL_CATEGORY_RULES, clean_text, combined_text, general_category, ngrams, preview, strip_ws, text_length, tokens,
+    word_count,
 )

@@ -123,6 +123,32 @@ def all_features(doc) -> list[Column]:
     return [cols[name].alias(name) for name in FEATURE_COLUMNS]
 
 
+def add_features(df: DataFrame, doc_col: str = "_doc", carried=()) -> DataFrame:
+    """C4 on a DataFrame, in two projections: fields, numbers and dates first, then what is made from them.
+
+    Every source string is parsed once; rates, parts and joined texts refer to columns.
+    """
+    doc = F.col(doc_col)
+    t, n = text_features(doc), numeric_features(doc)
+    names = [f"_f{i}" for i in range(len(carried))]  # carried columns can't clash with ours
+    first = {k: t[k] for k in ("seller_name", "client_name", "invoice_number", "item_descriptions", "num_items", "ocr_text")}
+    first |= {k: n[k] for k in ("total_quantity", "total_items_price", "tax", "discount", "total")}
+    first["_issued"] = parse_date(doc["invoice"]["invoice_date"])
+    first["_due"] = parse_date(doc["invoice"]["due_date"])
+    x = df.select(*[F.col(c).alias(m) for c, m in zip(carried, names)], *[c.alias(k) for k, c in first.items()])
+    parts = date_parts(F.col("_issued"))
+    made = {
+        "combined_text": combined_text("seller_name", "client_name", "item_descriptions"),
+        "avg_item_price": F.when(F.col("num_items") > 0, F.col("total_items_price") / F.col("num_items")).otherwise(F.lit(0.0)),
+        "tax_rate": safe_ratio("tax", "total"), "discount_rate": safe_ratio("discount", "total"),
+        "invoice_year": parts["year"], "invoice_month": parts["month"], "invoice_day": parts["day"],
+        "invoice_weekday": parts["weekday"], "invoice_quarter": parts["quarter"],
+        "days_until_due": days_between("_due", "_issued"),
+    }
+    cols = [made.get(c, F.col(c)).alias(c) if c in made else F.col(c) for c in FEATURE_COLUMNS]
+    return x.select(*cols, *[F.col(m).alias(c) for c, m in zip(carried, names)])
+
+
 def feature_table(df: DataFrame, json_column: str = "json_data", keep=("file_name",)) -> DataFrame:
     """One feature row per JSON document, carrying ``keep`` columns (e.g. file_name).
 
@@ -130,7 +156,7 @@ def feature_table(df: DataFrame, json_column: str = "json_data", keep=("file_nam
     """
     carried = [c for c in keep if c in df.columns]
     parsed = parse_invoice_frame(df, json_column, "_doc", carried)
-    return parsed.select(*all_features("_doc"), *carried)
+    return add_features(parsed, "_doc", carried)
 
 
 def items_exploded(df: DataFrame, doc_column: str = "_doc", keep=("file_name",)) -> DataFrame:

@@ -21,8 +21,8 @@ def clean_text(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Strip leading/trailing whitespace of any kind (``trim`` strips spaces only)."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing Unicode whitespace (``trim`` strips spaces only)."""
+    return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
 
 
 def text_length(c) -> Column:
@@ -31,9 +31,9 @@ def text_length(c) -> Column:
 
 
 def word_count(c) -> Column:
-    """Number of whitespace-separated words; null stays null."""
+    """Number of words separated by Unicode whitespace; null stays null."""
     c = as_col(c)
-    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    words = F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
     return F.when(c.isNull(), F.lit(None).cast("int")).otherwise(F.size(words))
 
 
@@ -94,12 +94,6 @@ def ngrams(toks, n_max: int = 2) -> Column:
     return out
 
 
-def terms(text, n_max: int = 2) -> Column:
-    """B1 + G4 + G5 as one expression (the token array is rebuilt for every use inside ``ngrams``;
-    prefer ``add_terms`` on DataFrames)."""
-    return ngrams(tokens(clean_text(text)), n_max)
-
-
 def add_terms(df, text_col: str, out: str = "terms", n_max: int = 2):
     """B1 + G4 + G5 on a DataFrame: tokens are a column of their own, so cleaning and splitting run once per row
     (the n-gram expression refers to the token array five times)."""

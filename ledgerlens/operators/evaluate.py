@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def accuracy(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """One row (accuracy)."""
@@ -46,21 +48,21 @@ def f1_scores(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") ->
 
 
 def classification_report(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """(label, precision, recall, f1, support) per class plus 'accuracy', 'macro avg', 'weighted avg' rows."""
+    """(label, precision, recall, f1, support) per class plus 'accuracy', 'macro avg', 'weighted avg' rows.
+
+    All rows come from one per-class table: accuracy is sum(tp) / sum(support).
+    The summary rows are one aggregate over it, turned into three rows.
+    """
     pc = per_class(df, y_true, y_pred)
-    classes = pc.select("label", "precision", "recall", "f1", "support")
-    total = F.sum("support")
-    n = pc.agg(total).scalar()
-    acc_v = accuracy(df, y_true, y_pred).scalar()
-    acc = pc.agg(F.lit("accuracy").alias("label"), acc_v.alias("precision"), acc_v.alias("recall"),
-                 acc_v.alias("f1"), total.alias("support"))
-    macro = pc.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
-                   F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), total.alias("support"))
-    wavg = pc.agg(F.lit("weighted avg").alias("label"),
-                  (F.sum(F.col("precision") * F.col("support")) / n).alias("precision"),
-                  (F.sum(F.col("recall") * F.col("support")) / n).alias("recall"),
-                  (F.sum(F.col("f1") * F.col("support")) / n).alias("f1"), total.alias("support"))
-    return classes.unionByName(acc).unionByName(macro).unionByName(wavg)
+    names = ("precision", "recall", "f1")
+    classes = pc.select("label", *names, "support")
+    s = F.sum("support")
+    weighted = [(F.sum(F.col(n) * F.col("support")) / s).alias(f"w_{n}") for n in names]
+    one = pc.agg(s.alias("support"), (F.sum("tp") / s).alias("acc"), *[F.avg(n).alias(f"m_{n}") for n in names], *weighted)
+    rows = F.array(*[F.struct(F.lit(label).alias("label"), *[F.col(src).alias(n) for src, n in zip(cols, names)], F.col("support"))
+                     for label, cols in (("accuracy", ["acc"] * 3), ("macro avg", [f"m_{n}" for n in names]),
+                                         ("weighted avg", [f"w_{n}" for n in names]))])
+    return classes.unionByName(one.select(F.explode(rows).alias("r")).select("r.*"))
 
 
 def confusion_matrix(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
@@ -69,8 +71,19 @@ def confusion_matrix(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pre
         F.count(F.lit(1)).alias("n"))
 
 
-def confusion_pivot(df: DataFrame, labels: list, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """J5 for display: one row per true label, one column per given predicted label."""
+def class_labels(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", limit: int = 1000) -> list[str]:
+    """All labels of both columns in order; more than ``limit`` (columns of a table for display) is an error."""
+    both = df.select(F.explode(F.array(F.col(y_true).cast("string"), F.col(y_pred).cast("string"))).alias("label"))
+    rows = both.where("label IS NOT NULL").distinct().orderBy("label").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} classes: use the long form of the confusion matrix")
+    return [r["label"] for r in rows]
+
+
+def confusion_pivot(df: DataFrame, labels: list | None = None, y_true: str = "y_true",
+                    y_pred: str = "y_pred") -> DataFrame:
+    """J5 for display: one row per true label, one column per predicted label (all labels by default)."""
+    labels = labels or class_labels(df, y_true, y_pred)
     return confusion_matrix(df, y_true, y_pred).groupBy("y_true").pivot("y_pred", labels).sum("n").fillna(0)
 
 
@@ -101,6 +114,13 @@ def compare_models(rows: list[DataFrame]) -> DataFrame:
 
 
 def select_best(results: DataFrame, metric: str = "f1_weighted") -> DataFrame:
-    """The model with the highest metric; on ties the earlier trained wins; the metric must exceed 0."""
-    w = Window.orderBy(F.desc(metric), F.asc("train_order"))  # over one row per model
-    return results.where(F.col(metric) > 0).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    """The model with the highest metric; on ties the earlier trained wins; the metric must exceed 0.
+
+    No model above 0 is an error. The table has one row per model; it is computed once.
+    """
+    results = cut_lineage(results)
+    w = Window.orderBy(F.desc(metric), F.asc("train_order"))
+    best = results.where(F.col(metric) > 0).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    if best.isEmpty():
+        raise ValueError(f"no model has a {metric} above 0")
+    return best

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import general_category
+from .ranking import running_total
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -35,9 +36,15 @@ def n_unique(df: DataFrame, cols=None, approx: bool = False, rsd: float = 0.05)
     cols = list(cols or df.columns)
     if approx:
         row = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
-    else:
-        row = df.agg(*[F.countDistinct(c).alias(c) for c in cols])
-    return _unpivot(row, cols, "n_unique")
+        return _unpivot(row, cols, "n_unique")
+    # One distinct count per column, each over that column alone: counting several at once would
+    # multiply every row by the number of columns before the shuffle.
+    parts = [df.select(c).agg(F.countDistinct(c).alias("n_unique")).select(F.lit(c).alias("column_name"), "n_unique")
+             for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
@@ -47,29 +54,45 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     return ordered.limit(n) if n else ordered
 
 
-def _quantiles(x, ps, exact: bool, accuracy: int):
-    """Several percentiles from one aggregate (one value map or one sketch): an array of doubles.
+def exact_quantiles(data: DataFrame, col: str, ps) -> DataFrame:
+    """One row with ``q``: exact quantiles by linear interpolation, without a one-task sort or value map.
 
-    Exact: linear interpolation, as the reference. Otherwise the bounded-memory Greenwald-Khanna sketch.
+    Values are counted, dealt out by range with a running total of their counts,
+    and only the (at most two) values around each wanted rank are kept.
     """
     ps = list(ps)
+    counted = data.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("x")).agg(
+        F.count(F.lit(1)).alias("n"))
+    ranked = running_total(counted, "x", "n")
+    total = ranked.agg(F.sum("n")).scalar()
+    vals = []
+    for p in ps:
+        pos = (total - 1) * F.lit(float(p))
+        at = [F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("n")), F.col("x")))
+              for r in (F.floor(pos), F.ceil(pos))]
+        vals += [at[0], at[1], F.max(pos - F.floor(pos))]
+    flat = ranked.agg(*[v.alias(f"v{i}") for i, v in enumerate(vals)])
+    return flat.select(F.array(*[F.col(f"v{3 * i}") + (F.col(f"v{3 * i + 1}") - F.col(f"v{3 * i}")) * F.col(f"v{3 * i + 2}")
+                                 for i in range(len(ps))]).alias("q"))
+
+
+def _quantiles(data: DataFrame, col: str, ps, exact: bool, accuracy: int) -> DataFrame:
+    """One row with ``q``. Not exact: the bounded-memory sketch (rank error about 1 / accuracy)."""
     if exact:
-        return F.percentile(x, ps)
-    return F.percentile_approx(x, ps, accuracy).cast("array<double>")
+        return exact_quantiles(data, col, ps)
+    return data.agg(F.percentile_approx(F.col(col).cast("double"), list(ps), accuracy).cast("array<double>").alias("q"))
 
 
 def describe(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max of one numeric column.
 
-    ``exact`` quartiles interpolate linearly (as the reference) but keep a
-    value -> count map per group; ``exact=False`` uses ``percentile_approx``
-    (bounded memory, rank error about 1 / accuracy) for very large columns.
+    ``exact`` quartiles interpolate linearly (as the reference) from distributed
+    running counts; ``exact=False`` uses ``percentile_approx`` (one pass).
     """
     x = F.col(col).cast("double")
-    agg = df.agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        _quantiles(x, (0.25, 0.5, 0.75), exact, accuracy).alias("_q"), F.max(x).alias("max"),
-    )
+    q = _quantiles(df, col, (0.25, 0.5, 0.75), exact, accuracy).scalar()
+    agg = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+                 F.max(x).alias("max")).withColumn("_q", q)
     return agg.select("count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
                       F.col("_q")[2].alias("q75"), "max")
 
@@ -112,7 +135,7 @@ def box_stats(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_0
     aggregate as a single scalar subquery (fences for the whiskers).
     """
     data = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    q = data.agg(_quantiles(F.col("x"), (0.25, 0.5, 0.75), exact, accuracy).alias("q")).scalar()
+    q = _quantiles(data, "x", (0.25, 0.5, 0.75), exact, accuracy).scalar()
     q1, q3 = q[0], q[2]
     lo_f, hi_f = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (F.col("x") >= lo_f) & (F.col("x") <= hi_f)

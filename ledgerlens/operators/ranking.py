@@ -2,17 +2,10 @@
 
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` sends every row of a
 group to one task, and an unpartitioned window sends the whole table to one.
-Two exact, deterministic replacements:
-
-* ``hash_rank_within`` (order by a uniform hash, e.g. md5 for splits): rows are
-  bucketed by the leading hex digits of the hash. A window per (group, bucket)
-  numbers rows locally; a small table of per-(group, bucket) counts gives each
-  bucket its offset. A hot group is spread over 16**digits buckets. Bucket
-  membership depends only on values, so re-evaluation gives the same ranks.
-* ``row_number_within`` (any total order): range-partition on (group, order),
-  number rows per task, add per-(task, group) offsets. Partition ids depend on
-  sampling, so the tagged rows are checkpointed (reliable, shared folder)
-  before the offsets are joined back.
+``row_number_within`` range-partitions on (group, order), numbers rows per task
+and adds per-(task, group) offsets. Partition ids depend on sampling, so the
+tagged rows are checkpointed (reliable, shared folder) before the offsets are
+joined back. ``running_total`` does the same for a cumulative sum.
 """
 
 from __future__ import annotations
@@ -39,26 +32,6 @@ def _offsets(counts: DataFrame, group_cols, order_col: str, n_col: str) -> DataF
     return counts.withColumn("_off", F.coalesce(prev, F.lit(0)))
 
 
-def hash_rank_within(df: DataFrame, group_cols, hash_col: str, tie_col: str, out: str = "rank", digits: int = 3,
-                     groups_bounded: bool = True) -> DataFrame:
-    """Add ``out`` = 0-based rank within the group, ordered by (hash_col, tie_col).
-
-    ``hash_col`` is a lowercase hex digest. The count table has at most
-    groups * 16**digits rows; it is broadcast when the group count is bounded.
-    """
-    group_cols = list(group_cols)
-    x = df.withColumn("_b", F.conv(F.substring(hash_col, 1, digits), 16, 10).cast("int"))
-    keys = group_cols + ["_b"]
-    counts = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    offs = _offsets(counts, group_cols, "_b", "_n").select(*keys, "_off")
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(hash_col, tie_col)) - 1
-    ranked = x.withColumn("_local", local)
-    offs = F.broadcast(offs) if groups_bounded else offs
-    return (ranked.join(offs, on=keys, how="inner")
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_b", "_off", "_local"))
-
-
 def row_number_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
                       partitions: int | None = None, groups_bounded: bool = True) -> DataFrame:
     """Add ``out`` = 0-based position of each row within its group, ordered by ``order_cols``.
@@ -82,6 +55,17 @@ def row_number_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
         "_mid", "_pid", "_first", "_off")
 
 
+def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "before") -> DataFrame:
+    """Add ``out`` = sum of ``value_col`` over the rows before each row in the order of ``order_col`` (unique)."""
+    rows = df.repartitionByRange(_num_partitions(df, None), order_col).sortWithinPartitions(order_col)
+    tagged = cut_lineage(rows.withColumn("_pid", F.spark_partition_id()))
+    parts = tagged.groupBy("_pid").agg(F.sum(value_col).alias("_n"))  # one row per task
+    offs = F.broadcast(_offsets(parts, [], "_pid", "_n").select("_pid", "_off"))
+    local = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    x = tagged.withColumn("_local", F.coalesce(F.sum(value_col).over(local), F.lit(0)))
+    return x.join(offs, "_pid").withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_off", "_local")
+
+
 def dense_index(df: DataFrame, value_col: str, out: str = "idx", partitions: int | None = None) -> DataFrame:
     """Sorted distinct values of ``value_col`` -> (value, 0..n-1), computed without a single-task sort."""
     distinct = df.select(value_col).where(F.col(value_col).isNotNull()).distinct()

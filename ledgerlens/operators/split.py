@@ -1,35 +1,58 @@
 """Train/validation splits (H1, H2), reproducible and independent of partitioning.
 
-Membership comes from md5(seed | key), so the same rows land in validation
-whatever the partition layout. Ranks use ``hash_rank_within`` (hash-prefix
-buckets), so a class holding a third of the table is still split over many
-tasks, and re-evaluation gives the same split.
+Membership comes from md5(seed | key): a class's smallest hashes go to
+validation. Only the hash at the boundary has to be found: rows are counted by
+(class, hash prefix), the prefix that holds the boundary is ranked, and every row
+is then compared with its class's boundary in a map-side join. No payload column
+is shuffled and no class is sorted as a whole.
+
+Every row is kept: null classes form a class of their own, a null key hashes like
+a fixed text. Rows that share a key share their side of the split, so a boundary
+that falls on a repeated key takes all its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import hash_rank_within
+from ..session import cut_lineage
+
+PREFIX_DIGITS = 4  # hex digits counted: 65,536 buckets a class, whatever its size
+# Boundary tables (one row per class, under 200 bytes each) are broadcast up to this many bytes.
+BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 200
+
+
+def split_hash(key: str, seed: int = 42) -> Column:
+    """md5 of seed and key; a null key counts as the text 'null'."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
 
 
-# Rows per (group, hash bucket) window the split aims for; bounds each window task.
-ROWS_PER_BUCKET = 2_000_000
-# Offset tables up to this many rows are broadcast.
-BROADCAST_OFFSETS = 2_000_000
+def _boundaries(h: DataFrame, counts: DataFrame, n_val: Column) -> DataFrame:
+    """(_g, _cut): the largest hash that goes to validation in each class of ``h`` (_g, _h)."""
+    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_g")  # at most 65,536 rows a class
+    c = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    c = c.withColumn("_want", n_val(F.sum("_n").over(whole)) - F.col("_before"))
+    at = c.where((F.col("_want") > 0) & (F.col("_want") <= F.col("_n"))).select("_g", "_p", "_want")
+    rows = h.withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS)).join(
+        at.select(F.col("_g").alias("_g2"), F.col("_p").alias("_p2"), "_want"),
+        F.col("_g").eqNullSafe(F.col("_g2")) & (F.col("_p") == F.col("_p2")))
+    nth = F.row_number().over(Window.partitionBy("_g").orderBy("_h"))
+    return rows.withColumn("_r", nth).where(F.col("_r") == F.col("_want")).select("_g", F.col("_h").alias("_cut"))
 
 
-def split_hash(key: str, seed: int = 42):
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
+def _counts(h: DataFrame) -> DataFrame:
+    return cut_lineage(h.groupBy("_g", F.substring("_h", 1, PREFIX_DIGITS).alias("_p"))
+                       .agg(F.count(F.lit(1)).alias("_n")))
 
 
-def bucket_digits(largest_group: int) -> int:
-    """Hex digits of the hash prefix so that the largest group has about ROWS_PER_BUCKET rows per bucket."""
-    digits = 1
-    while digits < 8 and largest_group / (16 ** digits) > ROWS_PER_BUCKET:
-        digits += 1
-    return digits
+def _plain(df: DataFrame, key: str, seed: int, out: str, h: DataFrame, counts: DataFrame, n_val) -> DataFrame:
+    """One class: the boundary is a single value."""
+    cut = _boundaries(h, counts, n_val).first()
+    side = F.lit(False) if cut is None else split_hash(key, seed) <= F.lit(cut["_cut"])
+    return df.withColumn(out, side)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42,
@@ -40,26 +63,21 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     ceil(test_size * n) rows overall. Class totals may differ by a row or two
     from a library that redistributes rounding remainders to hit an exact total.
     """
-    h = df.withColumn("_h", split_hash(key, seed))
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    # Four scalars decide the plan: stratify or not, and how finely to bucket the largest class.
-    st = counts.agg(F.min("_n").alias("lo"), F.max("_n").alias("hi"), F.sum("_n").alias("n"),
-                    F.count(F.lit(1)).alias("k")).first()
+    h = df.select(F.col(label).alias("_g"), split_hash(key, seed).alias("_h"))
+    counts = _counts(h)
+    per_class = counts.groupBy("_g").agg(F.sum("_n").alias("n"))
+    st = per_class.agg(F.min("n").alias("lo"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).first()
     if st["lo"] is not None and st["lo"] >= 2:
-        digits = bucket_digits(st["hi"])
-        small = st["k"] * 16 ** digits <= BROADCAST_OFFSETS
-        ranked = hash_rank_within(h, [label], "_h", key, out="_r", digits=digits, groups_bounded=small)
-        ranked = ranked.join(F.broadcast(counts) if st["k"] <= BROADCAST_OFFSETS else counts, label)
-        is_val = F.col("_r") < F.round(F.lit(test_size) * F.col("_n"))
-        return ranked.withColumn(out, is_val).drop("_h", "_r", "_n")
-    n = st["n"] or 0
-    ranked = hash_rank_within(h, [], "_h", key, out="_r", digits=bucket_digits(n))
-    return ranked.withColumn(out, F.col("_r") < F.ceil(F.lit(test_size) * F.lit(n))).drop("_h", "_r")
+        cuts = _boundaries(h, counts, lambda n: F.round(F.lit(test_size) * n)).withColumnRenamed("_g", "_g2")
+        cuts = F.broadcast(cuts) if st["k"] * _ROW_BYTES <= BROADCAST_BYTES else cuts
+        joined = df.join(cuts, F.col(label).eqNullSafe(F.col("_g2")), "left")
+        side = F.coalesce(split_hash(key, seed) <= F.col("_cut"), F.lit(False))
+        return joined.withColumn(out, side).drop("_g2", "_cut")
+    one = h.select(F.lit(0).alias("_g"), "_h")
+    return _plain(df, key, seed, out, one, _counts(one), lambda n: F.ceil(F.lit(test_size) * n))
 
 
 def random_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, out: str = "is_val") -> DataFrame:
     """H2: floor(test_size * n) rows with the smallest hash go to validation, unstratified."""
-    n = df.count()  # one scalar: the validation size and the bucket count
-    ranked = hash_rank_within(df.withColumn("_h", split_hash(key, seed)), [], "_h", key, out="_r",
-                              digits=bucket_digits(n))
-    return ranked.withColumn(out, F.col("_r") < F.floor(F.lit(test_size) * F.lit(n))).drop("_h", "_r")
+    h = df.select(F.lit(0).alias("_g"), split_hash(key, seed).alias("_h"))
+    return _plain(df, key, seed, out, h, _counts(h), lambda n: F.floor(F.lit(test_size) * n))

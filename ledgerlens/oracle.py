@@ -314,11 +314,14 @@ SQL["d6_text_to_invoice"] = with_(INVOICE_TEXT, _text_doc_sql("invoice_text", "o
 FROM tf"""
 
 SQL["d7_batch_text_to_invoice"] = with_(
-    "docs AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND trim(text) <> '')",
+    """all_docs AS (SELECT doc_id, text FROM documents UNION ALL SELECT -1 - doc_id,
+      CASE doc_id % 4 WHEN 0 THEN chr(10) || chr(9) WHEN 1 THEN '' WHEN 2 THEN ' ' || chr(160) || chr(8195) || ' ' END
+      FROM documents)""",
+    "docs AS (SELECT doc_id, text FROM all_docs WHERE doc_id >= 0)",
     _text_doc_sql("docs", "doc_id")) + f"""SELECT doc_id, 'parsed' AS status, tf.invoice_number, tf.num_items AS n_items,
   td.total_s AS total FROM tf JOIN td USING (doc_id)
 UNION ALL
-SELECT doc_id, 'quarantined', NULL, NULL, NULL FROM documents WHERE text IS NULL OR trim(text) = ''"""
+SELECT doc_id, 'quarantined', NULL, NULL, NULL FROM all_docs WHERE doc_id < 0"""
 
 # ---------------------------------------------------------------------------------------------------
 # W2 / W3 / K7 over embeddings used as logits
@@ -350,7 +353,7 @@ SQL["e3_encode_lookup"] = with_(INVOICE_LINES) + \
 
 _HALVES = LINES_KEYED + """,
 fit AS (SELECT * FROM lines_keyed WHERE l_partkey % 3 = 0),
-new AS (SELECT * FROM lines_keyed WHERE l_partkey % 3 <> 0),
+new AS (SELECT * FROM lines_keyed),
 dict AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx
          FROM (SELECT DISTINCT Item_Description AS v FROM fit))"""
 
@@ -360,7 +363,7 @@ FROM new n LEFT JOIN dict d ON n.Item_Description = d.v"""
 SQL["g2_unseen_vendors"] = with_(LINES_KEYED + """,
 cut AS (SELECT max(l_suppkey) * CAST(0.8 AS DOUBLE) AS c FROM lineitem),
 fit AS (SELECT k.* FROM lines_keyed k WHERE l_suppkey < (SELECT c FROM cut)),
-new AS (SELECT k.* FROM lines_keyed k WHERE l_suppkey >= (SELECT c FROM cut)),
+new AS (SELECT * FROM lines_keyed),
 dict AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS idx FROM (SELECT DISTINCT Vendor_Code AS v FROM fit))""") + \
     """SELECT n.Inv_Id, CAST(coalesce(d.idx, 0) AS DOUBLE) AS vendor_idx
 FROM new n LEFT JOIN dict d ON n.Vendor_Code = d.v"""
@@ -424,6 +427,11 @@ SQL["h1_stratified_split"] = with_(INVOICE_LINES, """r AS (
          count(*) OVER (PARTITION BY Product_Category) AS n
   FROM invoice_lines)""") + "SELECT Inv_Id, r < round(CAST(0.2 AS DOUBLE) * n) AS is_val FROM r"
 
+SQL["h1_stratified_split_nulls"] = with_(INVOICE_LINES_NULLS, """r AS (
+  SELECT Inv_Id, GL_Code, row_number() OVER (PARTITION BY GL_Code ORDER BY md5('42|' || Inv_Id)) - 1 AS r,
+         count(*) OVER (PARTITION BY GL_Code) AS n
+  FROM invoice_lines_nulls)""") + "SELECT Inv_Id, GL_Code, r < round(CAST(0.2 AS DOUBLE) * n) AS is_val FROM r"
+
 SQL["h2_random_split"] = with_(INVOICE_LINES, """r AS (
   SELECT Inv_Id, row_number() OVER (ORDER BY md5('42|' || Inv_Id), Inv_Id) - 1 AS r, count(*) OVER () AS n
   FROM invoice_lines)""") + "SELECT Inv_Id, r < floor(CAST(0.2 AS DOUBLE) * n) AS is_val FROM r"
@@ -588,7 +596,5 @@ SQL["k6_score_with"] = "SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[]
 
 SQL["f4_value_counts_gl"] = _value_counts_sql(INVOICE_LINES_NULLS, "invoice_lines_nulls", "GL_Code", 5)
 SQL["f4_value_counts_class_top10"] = _value_counts_sql(INVOICE_LINES, "invoice_lines", "Product_Category", 10)
-SQL["j5_confusion_pivot"] = with_(FAKE_PREDICTIONS) + """SELECT y_true,
-  count(*) FILTER (WHERE y_pred = 'CLASS-1200') AS CLASS_1200, count(*) FILTER (WHERE y_pred = 'CLASS-1201') AS CLASS_1201,
-  count(*) FILTER (WHERE y_pred = 'CLASS-1202') AS CLASS_1202, count(*) FILTER (WHERE y_pred = 'CLASS-1203') AS CLASS_1203
-FROM fake_predictions GROUP BY y_true"""
+_PIVOT_COLS = ",\n  ".join(f"count(*) FILTER (WHERE y_pred = 'CLASS-{1200 + i}') AS CLASS_{1200 + i}" for i in range(36))
+SQL["j5_confusion_pivot"] = with_(FAKE_PREDICTIONS) + f"SELECT y_true,\n  {_PIVOT_COLS}\nFROM fake_predictions GROUP BY y_true"

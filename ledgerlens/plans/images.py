@@ -19,6 +19,7 @@ IMAGE_MEAN = (0.485, 0.456, 0.406)
 IMAGE_STD = (0.229, 0.224, 0.225)
 # BT.601 luma weights in 14-bit fixed point (R, G, B), as used for 8-bit gray conversion.
 GRAY_WEIGHTS_Q14 = (4899, 9617, 1868)
+TENSOR_ROWS = 16  # tensors held by a task at once
 
 
 def read_images(spark: SparkSession, path: str, pattern: str = "*.{jpg,png}") -> DataFrame:
@@ -57,28 +58,27 @@ def image_table(spark: SparkSession, path: str, size: int = 224) -> DataFrame:
     mean = np.asarray(IMAGE_MEAN, dtype=np.float32).reshape(3, 1, 1)
     std = np.asarray(IMAGE_STD, dtype=np.float32).reshape(3, 1, 1)
 
+    def tensor(data, h, w, c):
+        rgb = _to_rgb(data, h, w, c)
+        if rgb is None:
+            return None
+        x = _resize_nearest(rgb, size).astype(np.float32) / 255.0
+        return ((x.transpose(2, 0, 1) - mean) / std).reshape(-1)
+
     def convert(batches):
-        for pdf in batches:
-            tensors, corrupt = [], []
-            for data, h, w, c in zip(pdf["data"], pdf["height"], pdf["width"], pdf["n_channels"]):
-                rgb = _to_rgb(data, h, w, c)
-                if rgb is None:
-                    tensors.append(None)
-                    corrupt.append(True)
-                    continue
-                x = _resize_nearest(rgb, size).astype(np.float32) / 255.0
-                x = (x.transpose(2, 0, 1) - mean) / std
-                tensors.append(x.reshape(-1))
-                corrupt.append(False)
-            yield pd.DataFrame({"file_name": pdf["file_name"], "corrupt": corrupt, "height": pdf["height"],
-                                "width": pdf["width"], "image": tensors})
+        for batch in batches:
+            for i in range(0, len(batch), TENSOR_ROWS):  # a few tensors at a time, not a whole batch
+                pdf = batch.iloc[i:i + TENSOR_ROWS]
+                tensors = [tensor(*r) for r in zip(pdf["data"], pdf["height"], pdf["width"], pdf["n_channels"])]
+                yield pd.DataFrame({"file_name": pdf["file_name"], "corrupt": [t is None for t in tensors],
+                                    "height": pdf["height"], "width": pdf["width"], "image": tensors})
 
     return read_images(spark, path).mapInPandas(
         convert, "file_name string, corrupt boolean, height int, width int, image array<float>")
 
 
 def gray_histograms(spark: SparkSession, path: str) -> DataFrame:
-    """256-bin gray-level histogram per readable image: (file_name, bin, count)."""
+    """256-bin gray-level histogram: (file_name, bin, count); an unreadable image is one row with null bin and count."""
     wr, wg, wb = GRAY_WEIGHTS_Q14
 
     def hist(batches):
@@ -88,12 +88,14 @@ def gray_histograms(spark: SparkSession, path: str) -> DataFrame:
                                            pdf["n_channels"]):
                 rgb = _to_rgb(data, h, w, c)
                 if rgb is None:
+                    out.append(pd.DataFrame({"file_name": [name], "bin": pd.array([None], "Int32"),
+                                             "count": pd.array([None], "Int64")}))
                     continue
                 p = rgb.astype(np.int64)
                 gray = (p[:, :, 0] * wr + p[:, :, 1] * wg + p[:, :, 2] * wb + (1 << 13)) >> 14
                 counts = np.bincount(gray.reshape(-1), minlength=256)[:256]
-                out.append(pd.DataFrame({"file_name": name, "bin": np.arange(256, dtype=np.int32),
-                                         "count": counts.astype(np.int64)}))
+                out.append(pd.DataFrame({"file_name": name, "bin": pd.array(np.arange(256), "Int32"),
+                                         "count": pd.array(counts, "Int64")}))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
@@ -127,5 +129,11 @@ def otsu_threshold(hist: DataFrame) -> DataFrame:
 
 
 def image_quality(spark: SparkSession, path: str) -> DataFrame:
-    """L2: Otsu threshold and dark-pixel share per readable image."""
-    return otsu_threshold(gray_histograms(spark, path))
+    """L2: Otsu threshold and dark-pixel share per image; unreadable files keep a row with ``corrupt`` set and nulls."""
+    hist = gray_histograms(spark, path)
+    good = otsu_threshold(hist.where("bin IS NOT NULL")).withColumn("corrupt", F.lit(False))
+    null = F.lit(None)
+    bad = hist.where("bin IS NULL").select(
+        "file_name", null.cast("int").alias("threshold"), null.cast("long").alias("n_pixels"),
+        null.cast("double").alias("dark_share"), F.lit(True).alias("corrupt"))
+    return good.unionByName(bad)

@@ -16,17 +16,16 @@ reference; a StringIndexer would mark them categorical and trip maxBins.
 from __future__ import annotations
 
 import json
-import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import add_terms
 from ..operators import encode
+from ..session import cut_lineage
 
 # Defaults for missing line fields.
 LINE_DEFAULTS = {
@@ -63,29 +62,26 @@ class FeaturePipelineModel:
     class_dict: DataFrame | None
     amount_mean: float
     amount_std: float
-    dict_rows: dict = field(default_factory=dict)
-    settings: dict = field(default_factory=dict)
+    dict_bytes: dict = field(default_factory=dict)
+    settings: dict = field(default_factory=dict)  # text_col, id_col, label_col, split and vocabulary settings
 
     # -- transform -----------------------------------------------------------------------------------
 
     def _ml_model(self) -> PipelineModel:
-        cv = CountVectorizerModel.from_vocabulary(self.vocabulary, inputCol="terms", outputCol="_tf")
-        idf = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_tfidf_raw")
-        norm = Normalizer(p=2.0, inputCol="_tfidf_raw", outputCol="tfidf")
         asm = VectorAssembler(inputCols=["tfidf", "vendor_idx", "gl_idx", "amount_scaled"], outputCol="features")
-        return PipelineModel(stages=[cv, idf, norm, asm])
+        return PipelineModel(stages=[*encode.tfidf_stages(self.vocabulary, self.idf, "terms", "tfidf"), asm])
 
     def transform(self, df: DataFrame, keep_intermediate: bool = False) -> DataFrame:
         """Fill, encode, scale, vectorise. Unknown codes -> index 0."""
-        x = with_terms(fill_defaults(df))
+        label = self.settings.get("label_col", "Product_Category")
+        x = with_terms(fill_defaults(df), self.settings.get("text_col", "Item_Description"))
         x = encode.transform_dictionary(x, "Vendor_Code", self.vendor_dict, "vendor_idx",
-                                        dict_rows=self.dict_rows.get("vendor"))
-        x = encode.transform_dictionary(x, "GL_Code", self.gl_dict, "gl_idx", dict_rows=self.dict_rows.get("gl"))
+                                        size=self.dict_bytes.get("vendor"))
+        x = encode.transform_dictionary(x, "GL_Code", self.gl_dict, "gl_idx", size=self.dict_bytes.get("gl"))
         scaler = encode.Scaler(self.amount_mean, self.amount_std)
         x = x.withColumn("amount_scaled", scaler.transform("Inv_Amt"))
-        if self.class_dict is not None and "Product_Category" in x.columns:
-            x = encode.encode_lookup(x, "Product_Category", self.class_dict, "label",
-                                     dict_rows=self.dict_rows.get("class"))
+        if self.class_dict is not None and label in x.columns:
+            x = encode.encode_lookup(x, label, self.class_dict, "label", size=self.dict_bytes.get("class"))
             x = x.withColumn("label", F.col("label").cast("double"))
         out = self._ml_model().transform(x)
         if not keep_intermediate:
@@ -101,28 +97,28 @@ class FeaturePipelineModel:
     def save(self, path: str) -> None:
         """A10: dictionaries to Parquet, vocabulary/idf/scaler/settings to one JSON document."""
         spark = self.vendor_dict.sparkSession
-        self.vendor_dict.write.mode("overwrite").parquet(os.path.join(path, "vendor_dict"))
-        self.gl_dict.write.mode("overwrite").parquet(os.path.join(path, "gl_dict"))
+        self.vendor_dict.write.mode("overwrite").parquet(f"{path}/vendor_dict")
+        self.gl_dict.write.mode("overwrite").parquet(f"{path}/gl_dict")
         if self.class_dict is not None:
-            self.class_dict.write.mode("overwrite").parquet(os.path.join(path, "class_dict"))
+            self.class_dict.write.mode("overwrite").parquet(f"{path}/class_dict")
         meta = {
             "vocabulary": self.vocabulary, "idf": self.idf, "amount_mean": self.amount_mean,
-            "amount_std": self.amount_std, "dict_rows": self.dict_rows, "settings": self.settings,
+            "amount_std": self.amount_std, "dict_bytes": self.dict_bytes, "settings": self.settings,
             "has_class_dict": self.class_dict is not None,
         }
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
-            os.path.join(path, "meta"))
+            f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeaturePipelineModel:
-        meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
-        class_dict = spark.read.parquet(os.path.join(path, "class_dict")) if meta["has_class_dict"] else None
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        class_dict = spark.read.parquet(f"{path}/class_dict") if meta["has_class_dict"] else None
         return cls(
             vocabulary=meta["vocabulary"], idf=meta["idf"],
-            vendor_dict=spark.read.parquet(os.path.join(path, "vendor_dict")),
-            gl_dict=spark.read.parquet(os.path.join(path, "gl_dict")),
+            vendor_dict=spark.read.parquet(f"{path}/vendor_dict"),
+            gl_dict=spark.read.parquet(f"{path}/gl_dict"),
             class_dict=class_dict, amount_mean=meta["amount_mean"], amount_std=meta["amount_std"],
-            dict_rows=meta["dict_rows"], settings=meta["settings"],
+            dict_bytes=meta["dict_bytes"], settings=meta["settings"],
         )
 
 
@@ -135,45 +131,54 @@ class FeaturePipeline:
     max_df: float = 0.95
     text_col: str = "Item_Description"
     id_col: str = "Inv_Id"
+    test_size: float = 0.2
+    seed: int = 42
 
     def fit(self, df: DataFrame, label_col: str | None = "Product_Category") -> FeaturePipelineModel:
-        """Fit dictionaries, vocabulary and scaler on ``df`` (after filling defaults)."""
+        """Fit dictionaries, vocabulary and scaler on ``df`` (after filling defaults).
+
+        Three passes: term counts, distinct codes of all dictionaries, and one
+        aggregate for row count, mean and deviation.
+        """
         x = fill_defaults(df)
-        tf = encode.doc_terms(x, self.id_col, self.text_col, 2)
-        n_docs = x.agg(F.count(F.lit(1))).scalar()
-        vocab = encode.fit_vocabulary(tf, n_docs, self.max_features, self.min_df, self.max_df)
-        rows = vocab.orderBy("idx").select("term", "idf").collect()  # <= max_features rows
-        # Dictionaries are checkpointed first (later transforms never recompute the fit), then counted from the
-        # checkpoint; the counts decide whether a dictionary is broadcast.
-        from ..session import cut_lineage
-        vendor = cut_lineage(encode.fit_dictionary(x, "Vendor_Code"))
-        gl = cut_lineage(encode.fit_dictionary(x, "GL_Code"))
-        cls = cut_lineage(encode.fit_dictionary(x, label_col)) if label_col and label_col in x.columns else None
-        counts = {"vendor": vendor.count(), "gl": gl.count()}
-        if cls is not None:
-            counts["class"] = cls.count()
-        scaler = encode.fit_scaler(x, "Inv_Amt")
-        spark = df.sparkSession
+        row = x.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("Inv_Amt").cast("double")).alias("m"),
+                    F.stddev_pop(F.col("Inv_Amt").cast("double")).alias("s")).first()
+        stats = encode.term_stats(x, self.text_col, 2)
+        vocab = encode.fit_vocabulary(stats, row["n"], self.max_features, self.min_df, self.max_df)
+        terms, idf = encode.vocabulary_rows(vocab)  # <= max_features rows
+        labelled = bool(label_col and label_col in x.columns)
+        cols = ["Vendor_Code", "GL_Code", *([label_col] if labelled else [])]
+        dicts = encode.fit_dictionaries(x, cols)
+        parts = {n: encode.dictionary_of(dicts, c) for n, c in zip(("vendor", "gl", "class"), cols)}
+        sizes = {r["column_name"]: int(r["b"]) for r in dicts.groupBy("column_name").agg(
+            F.sum(F.octet_length("value") + encode._ENTRY_BYTES).alias("b")).collect()}  # one row per column
         return FeaturePipelineModel(
-            vocabulary=[r["term"] for r in rows], idf=[float(r["idf"]) for r in rows],
-            vendor_dict=vendor, gl_dict=gl, class_dict=cls,
-            amount_mean=scaler.mean, amount_std=scaler.std, dict_rows=counts,
+            vocabulary=terms, idf=idf, vendor_dict=parts["vendor"], gl_dict=parts["gl"],
+            class_dict=parts.get("class"), amount_mean=float(row["m"] or 0.0), amount_std=float(row["s"] or 0.0),
+            dict_bytes={n: sizes.get(c, 0) for n, c in zip(("vendor", "gl", "class"), cols)},
             settings={"max_features": self.max_features, "min_df": self.min_df, "max_df": self.max_df,
-                      "spark_version": spark.version},
+                      "text_col": self.text_col, "id_col": self.id_col, "label_col": label_col,
+                      "test_size": self.test_size, "seed": self.seed, "spark_version": df.sparkSession.version},
         )
 
 
-def prepare_train(df: DataFrame, pipeline: FeaturePipeline | None = None, test_size: float = 0.2, seed: int = 42,
-                  label_col: str = "Product_Category", fit_on: str = "all"):
+def prepare_train(df: DataFrame, pipeline: FeaturePipeline | None = None, test_size: float | None = None,
+                  seed: int | None = None, label_col: str = "Product_Category", fit_on: str = "all"):
     """Fill, fit (on all rows by default, as the reference; ``fit_on='train'`` fits on training rows only),
     encode the class, split (H1). Returns (model, features with ``is_val``, class dictionary)."""
     from ..operators.split import stratified_split
 
     pipeline = pipeline or FeaturePipeline()
+    if test_size is not None or seed is not None:
+        pipeline = replace(pipeline, test_size=pipeline.test_size if test_size is None else test_size,
+                           seed=pipeline.seed if seed is None else seed)
     x = fill_defaults(df)
-    split = stratified_split(x, label_col, pipeline.id_col, test_size, seed)
-    fit_rows = split.where(~F.col("is_val")) if fit_on == "train" else split
-    model = pipeline.fit(fit_rows, label_col)
+    split = stratified_split(x, label_col, pipeline.id_col, pipeline.test_size, pipeline.seed)
+    if fit_on == "train":
+        split = cut_lineage(split)
+        model = pipeline.fit(split.where(~F.col("is_val")), label_col)
+    else:
+        model = pipeline.fit(x, label_col)
     feats = model.transform(split)
     return model, feats, model.class_dict
 

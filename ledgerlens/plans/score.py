@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.arrays import argmax, softmax_frame, top_k_per_row
+from ..functions.arrays import top_k_per_row
 from ..functions.docs import feature_table, numeric_vector
 from ..plans.features import text_to_features
 from .preprocess import FeaturePipelineModel, fill_defaults
@@ -110,15 +110,3 @@ def score_with(df: DataFrame, make_predict_fn, input_col: str, n_outputs: int |
                             input_tensor_shapes=[[input_dim]])
     x = df.withColumn("_in", F.col(input_col).cast("array<float>"))
     return x.withColumn(out, udf("_in")).drop("_in")
-
-
-def logits_to_prediction(df: DataFrame, logits_col: str, class_dict: DataFrame | None = None) -> DataFrame:
-    """K7 + W2 + W3: softmax, argmax class, confidence and top 3 from a logits array."""
-    x = softmax_frame(df, logits_col, "_p").withColumn("_cmap", class_map(class_dict))
-    cmap = F.col("_cmap")
-    idx = argmax("_p")
-    return (x.withColumn("Predicted_Category", F.coalesce(F.element_at(cmap, idx),
-                                                          F.concat(F.lit("CLASS-"), idx.cast("string"))))
-             .withColumn("Confidence", F.array_max("_p"))
-             .withColumn("Top_Predictions", _decode_array(top_k_per_row("_p", 3), cmap))
-             .drop("_p", "_cmap"))

@@ -60,5 +60,3 @@ NUMERIC_VECTOR_ORDER = (
     "tax", "discount", "total", "tax_rate", "discount_rate",
     "invoice_year", "invoice_month", "invoice_day", "invoice_weekday", "invoice_quarter", "days_until_due",
 )
-
-PREDICTION = T.StructType([T.StructField("label", S), T.StructField("prob", T.DoubleType())])

@@ -102,11 +102,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if name in LARGE_TABLES else df
-
-
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register driver tables as temp views under their own names."""
-    for name in names:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if os.path.exists(path):
-            table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -8,7 +8,6 @@ JSON table next to them.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -43,20 +42,18 @@ def save_model(spark: SparkSession, model, path: str, name: str, score: float, r
     """The best model with its name, score and all results."""
     if model is None:
         raise ValueError("no trained model to save")
-    model.write().overwrite().save(os.path.join(path, "model"))
-    meta = {"name": name, "score": float(score), "type": type(model).__name__}
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
-        os.path.join(path, "meta"))
+    model.write().overwrite().save(f"{path}/model")
+    meta = {"name": name, "score": float(score), "type": type(model).__name__, "has_results": results is not None}
     if results is not None:
-        results.coalesce(1).write.mode("overwrite").json(os.path.join(path, "results"))
+        results.coalesce(1).write.mode("overwrite").parquet(f"{path}/results")  # one row per model
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_model(spark: SparkSession, path: str):
     """(model, name, score, results or None)."""
-    meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
-    model = _MODEL_TYPES[meta["type"]].load(os.path.join(path, "model"))
-    rpath = os.path.join(path, "results")
-    results = spark.read.json(rpath) if os.path.exists(rpath) else None
+    meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    model = _MODEL_TYPES[meta["type"]].load(f"{path}/model")
+    results = spark.read.parquet(f"{path}/results") if meta["has_results"] else None
     return model, meta["name"], meta["score"], results
 
 
