@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.fields import GERMAN_FUEL_RULES, german_party_rules
 from .session import table
 
 DEC = "decimal(15,2)"
@@ -189,3 +190,39 @@ def fake_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embeddings -> (vec_id, embedding, label): ten classes over 64 floats."""
     return table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+
+
+# An invented filling station and customer for the German layout.
+GERMAN_SELLER, GERMAN_CLIENT = "Tankhof Lindenau", "Jonas Beck"
+GERMAN_RULES = GERMAN_FUEL_RULES + german_party_rules(
+    GERMAN_SELLER, "Uferweg 7, 04177 Lindenau", GERMAN_CLIENT, "Am Anger 3, 04420 Seehausen")
+
+
+def _comma(cents: Column) -> Column:
+    """Cents as German text: 123456 -> '1234,56'."""
+    return F.concat(F.floor(cents / 100).cast("bigint").cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def german_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, text): every order as a German fuel-station invoice; litres are its summed quantities."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    litres = li.groupBy("l_orderkey").agg((F.sum(F.col("l_quantity").cast(DEC)) * 100).cast("bigint").alias("q"))
+    x = o.join(litres, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", F.coalesce("q", F.lit(0)).alias("q"), "o_orderdate",
+        (F.col("o_totalprice").cast(DEC) * 100).cast("bigint").alias("gross"))
+    x = x.withColumn("vat", F.expr("gross * 19 div 119"))
+    gross, vat, net = _comma(F.col("gross")), _comma(F.col("vat")), _comma(F.col("gross") - F.col("vat"))
+    key, day = F.col("o_orderkey").cast("string"), F.col("o_orderdate")
+    lines = [
+        F.lit(GERMAN_SELLER), F.lit("Uferweg 7, 04177 Lindenau"), F.lit("Herr"), F.lit(GERMAN_CLIENT),
+        F.lit("Am Anger 3, 04420 Seehausen"), F.concat(F.lit("Rechnungsdatum: "), F.date_format(day, "dd.MM.yyyy")),
+        F.concat(F.lit("Rechnungsnr. : "), key, F.lit("/"), F.year(day).cast("string")),
+        F.concat(_comma(F.col("q")), F.lit(" SuperE 5 19,00 % 1,699 "), gross, F.lit(" EUR")),
+        F.concat(F.lit("Gesamtsumme "), gross, F.lit(" EUR")),
+        F.concat(F.lit("5 A:MwSt 19 % "), net, F.lit(" EUR "), vat, F.lit(" EUR "), gross, F.lit(" EUR")),
+        F.concat(F.lit("Summe "), net, F.lit(" EUR "), vat, F.lit(" EUR "), gross, F.lit(" EUR")),
+        F.concat(F.lit("Konto IBAN: DE"), F.lpad(key, 20, "0"), F.lit(" BIC: LINDDE01XXX Bank: Hausbank Lindenau ")),
+        F.concat(F.lit("wird am "), F.date_format(F.date_add(day.cast("date"), 5), "dd.MM.yyyy"), F.lit(" eingezogen.")),
+    ]
+    return x.select("o_orderkey", F.concat_ws("\n", *lines).alias("text"))

@@ -592,9 +592,11 @@ FROM invoice_lines"""
 SQL["a13_scan_labels"] = with_(INVOICE_LINES) + \
     "SELECT count(*) AS n_rows, count(DISTINCT Product_Category) AS n_classes FROM invoice_lines"
 
-SQL["k6_score_with"] = "SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[])), 6) AS score FROM embeddings"
-
 SQL["f4_value_counts_gl"] = _value_counts_sql(INVOICE_LINES_NULLS, "invoice_lines_nulls", "GL_Code", 5)
 SQL["f4_value_counts_class_top10"] = _value_counts_sql(INVOICE_LINES, "invoice_lines", "Product_Category", 10)
 _PIVOT_COLS = ",\n  ".join(f"count(*) FILTER (WHERE y_pred = 'CLASS-{1200 + i}') AS CLASS_{1200 + i}" for i in range(36))
 SQL["j5_confusion_pivot"] = with_(FAKE_PREDICTIONS) + f"SELECT y_true,\n  {_PIVOT_COLS}\nFROM fake_predictions GROUP BY y_true"
+
+from . import oracle_models  # noqa: E402
+
+SQL.update(oracle_models.SQL)

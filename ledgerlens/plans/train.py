@@ -14,10 +14,11 @@ from pyspark.ml.classification import (
     LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.evaluate import accuracy, f1_scores, log_loss
 from ..session import cut_lineage, spread
 
 
@@ -67,8 +68,36 @@ def feature_names(vocab_terms: list[str], extra=("vendor_idx", "gl_idx", "amount
 
 def training_history(model) -> list[tuple[int, float]]:
     """Per-iteration objective of a fitted logistic regression or perceptron."""
-    hist = list(model.summary.objectiveHistory)
-    return [(i, float(v)) for i, v in enumerate(hist)]
+    summary = model.summary() if callable(model.summary) else model.summary
+    return [(i, float(v)) for i, v in enumerate(summary.objectiveHistory)]
+
+
+def train_epochs(train: DataFrame, val: DataFrame, features_col: str, label_col: str, layers: list[int],
+                 epochs: int = 20, steps: int = 5, seed: int = 42):
+    """A perceptron trained ``steps`` iterations an epoch, each epoch from the last one's weights.
+
+    Returns (best model by validation F1, earlier on ties; rows of (epoch, train_loss,
+    val_loss, val_accuracy, val_f1)). Both frames are checkpointed once.
+    """
+    train, val = cut_lineage(spread(train)), cut_lineage(val)
+    weights, best, rows = None, None, []
+    for epoch in range(1, epochs + 1):
+        mlp = MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col, layers=layers, maxIter=steps,
+                                             seed=seed)
+        if weights is not None:
+            mlp = mlp.setInitialWeights(weights)
+        model = mlp.fit(train)
+        weights = model.weights
+        scored = model.transform(val).select(F.col(label_col).alias("y_true"), F.col("prediction").alias("y_pred"),
+                                             vector_to_array("probability").alias("p"))
+        scored = cut_lineage(scored)
+        loss = log_loss(scored, "p", "y_true").first()[0]
+        acc = accuracy(scored).first()[0]
+        f1 = f1_scores(scored).first()["f1_weighted"]
+        rows.append((epoch, training_history(model)[-1][1], float(loss), float(acc), float(f1)))
+        if best is None or f1 > best[0]:
+            best = (f1, model)
+    return best[1], rows
 
 
 @dataclass

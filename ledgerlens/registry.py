@@ -395,12 +395,6 @@ def g1_fit_dictionary(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("a12_label_mapping")
-def a12_label_mapping(spark, d):
-    lines = fx.invoice_lines(spark, d)
-    return encode.fit_dictionary(lines, "Product_Category").select("idx", F.col("value").alias("label"))
-
-
 @query("g3_scaler")
 def g3_scaler(spark, d):
     """The fitted scaler of the pipeline, applied to every line."""
@@ -653,185 +647,6 @@ def a9_export_categorized(spark, d):
     return rnd(categorized(lines.withColumn("General_Category", text.general_category("Item_Description"))))
 
 
-@query("a13_scan_labels")
-def a13_scan_labels(spark, d):
-    """Rows and classes of a label table (Inv_Id, Product_Category)."""
-    labels = fx.invoice_lines(spark, d).select("Inv_Id", "Product_Category")
-    return labels.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("Product_Category").alias("n_classes"))
-
-
-# ---------------------------------------------------------------------------------------------------
-# G8-G11 / I / K: models (rows-only checks; small iteration counts keep the check fast)
-
-
-def _prepared(spark, d, max_features: int = 5000):
-    from .plans.preprocess import FeaturePipeline, prepare_train
-    lines = fx.invoice_lines(spark, d)
-    return prepare_train(lines, FeaturePipeline(max_features=max_features), 0.2, 42)
-
-
-@query("g9_preprocess_features")
-def g9_preprocess_features(spark, d):
-    """Fitted feature vectors of every line: (Inv_Id, is_val, n_features, n_nonzero, label)."""
-    from pyspark.ml.functions import vector_to_array
-    model, feats, _ = _prepared(spark, d)
-    arr = vector_to_array("features")
-    return feats.select("Inv_Id", "is_val", F.size(arr).alias("n_features"),
-                        F.size(F.filter(arr, lambda v: v != 0)).alias("n_nonzero"), "label")
-
-
-@query("i1_train_logistic")
-def i1_train_logistic(spark, d):
-    """I1 + J1/J2: logistic regression on the training rows, scored on the validation rows."""
-    from .plans.score import scored
-    from .plans.train import train_logistic
-    model, feats, classes = _prepared(spark, d)
-    lr = train_logistic(feats.where(~F.col("is_val")), max_iter=50)
-    val = scored(feats.where("is_val"), lr, classes)
-    return val.select("Inv_Id", "Product_Category", "Predicted_Category", "Confidence")
-
-
-@query("i2_train_forest")
-def i2_train_forest(spark, d):
-    from .plans.score import scored
-    from .plans.train import train_forest
-    model, feats, classes = _prepared(spark, d)
-    rf = train_forest(feats.where(~F.col("is_val")), n_trees=20, max_depth=10)
-    val = scored(feats.where("is_val"), rf, classes)
-    return val.select("Inv_Id", "Product_Category", "Predicted_Category", "Confidence")
-
-
-@query("i3_top_importances")
-def i3_top_importances(spark, d):
-    from .plans.train import feature_names, top_importances, train_forest
-    model, feats, _ = _prepared(spark, d)
-    rf = train_forest(feats.where(~F.col("is_val")), n_trees=10, max_depth=8)
-    names = spark.createDataFrame(feature_names(model.vocabulary), "idx int, name string")
-    return top_importances(rf, names, 10)
-
-
-@query("j7_training_history")
-def j7_training_history(spark, d):
-    from .plans.train import train_logistic, training_history
-    model, feats, _ = _prepared(spark, d)
-    lr = train_logistic(feats.where(~F.col("is_val")), max_iter=20)
-    return spark.createDataFrame(training_history(lr), "iteration int, loss double")
-
-
-def _doc_branches(spark, d, max_features: int = 300):
-    """documents -> text branch (TF-IDF vector), numeric branch (length, words), label = language index."""
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-    docs_t = table(spark, d, "documents").select("doc_id", "text", "lang")
-    tf = encode.doc_terms(docs_t, "doc_id", "text", 2)
-    vocab = encode.fit_vocabulary(tf, docs_t.agg(F.count(F.lit(1))).scalar(), max_features, 2, 0.95)
-    rows = vocab.orderBy("idx").select("term", "idf").collect()  # <= max_features rows
-    x = text.add_terms(docs_t, "text", "terms")
-    x = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], "terms", "_tf").transform(x)
-    x = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf",
-                           outputCol="_raw").transform(x)
-    x = Normalizer(p=2.0, inputCol="_raw", outputCol="text_vec").transform(x)
-    x = x.withColumn("numeric_vec", F.array(F.log1p(text.text_length("text").cast("double")),
-                                            F.log1p(text.word_count("text").cast("double"))))
-    langs = encode.fit_dictionary(docs_t, "lang")
-    x = encode.encode_lookup(x, "lang", langs, "label").withColumn("label", F.col("label").cast("double"))
-    return x.drop("terms", "_tf", "_raw"), langs
-
-
-@query("i4_train_fused")
-def i4_train_fused(spark, d):
-    """I4: text + numeric branches of the documents -> language, perceptron 256-128."""
-    from .operators.split import random_split
-    from .plans.score import _score_fused
-    from .plans.train import train_fused
-    x, langs = _doc_branches(spark, d)
-    x = random_split(x, "doc_id", 0.2, 42)
-    fused = train_fused(x.where(~F.col("is_val")), text_col="text_vec", numeric_col="numeric_vec",
-                        use_embedding=False, max_iter=30)
-    return _score_fused(x.where("is_val"), fused, langs).select("doc_id", "lang", "Predicted_Category", "Confidence")
-
-
-@query("i5_train_embedding_only")
-def i5_train_embedding_only(spark, d):
-    """Embedding -> 256 -> label over the image branch."""
-    from .operators.split import random_split
-    from .plans.score import _score_fused
-    from .plans.train import train_embedding_only
-    e = fx.image_branch(spark, d).withColumn("label", F.col("label").cast("double"))
-    e = random_split(e, "vec_id", 0.2, 42)
-    fused = train_embedding_only(e.where(~F.col("is_val")), max_iter=30)
-    return _score_fused(e.where("is_val"), fused, None).select("vec_id", "label", "Predicted_Category", "Confidence")
-
-
-@query("k1_predict_batch")
-def k1_predict_batch(spark, d):
-    """K1: fit on the labelled lines, score the whole line table with nulls (unlabelled view)."""
-    from .plans.score import predict_batch
-    from .plans.train import train_logistic
-    model, feats, _ = _prepared(spark, d)
-    lr = train_logistic(feats.where(~F.col("is_val")), max_iter=30)
-    test = fx.invoice_lines_nulls(spark, d).drop("Product_Category")
-    return predict_batch(test, model, lr)
-
-
-@query("k2_predict_top3")
-def k2_predict_top3(spark, d):
-    from .plans.score import predict_top3
-    from .plans.train import train_logistic
-    model, feats, _ = _prepared(spark, d)
-    lr = train_logistic(feats.where(~F.col("is_val")), max_iter=30)
-    test = fx.invoice_lines(spark, d).drop("Product_Category")
-    out = predict_top3(test, model, lr)
-    return out.select("Inv_Id", "Predicted_Category", "Confidence", F.posexplode("Top_Predictions").alias(
-        "rank", "top")).select("Inv_Id", "Predicted_Category", "Confidence", "rank", "top.label", "top.prob")
-
-
-def _order_status_model(spark, d):
-    """A fused model over JSON-document features predicting the order status (F/O/P)."""
-    from .plans.train import train_fused
-    docs_j = fx.invoice_docs(spark, d)
-    f = docs.feature_table(docs_j, keep=("file_name", "o_orderkey"))
-    f = f.withColumn("numeric_features", docs.numeric_vector(f))
-    status = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    classes = encode.fit_dictionary(status, "o_orderstatus")
-    lab = encode.encode_lookup(f.join(status, "o_orderkey"), "o_orderstatus", classes, "label")
-    lab = lab.withColumn("label", F.col("label").cast("double"))
-    fused = train_fused(lab, numeric_col="numeric_features", use_text=False, use_embedding=False, max_iter=30)
-    return fused, classes
-
-
-@query("k4_predict_from_json")
-def k4_predict_from_json(spark, d):
-    from .plans.score import predict_from_json
-    fused, classes = _order_status_model(spark, d)
-    out = predict_from_json(fx.invoice_docs_broken(spark, d), fused, class_dict=classes)
-    return out.select("file_name", "Predicted_Category", "Confidence")
-
-
-@query("k5_predict_from_text")
-def k5_predict_from_text(spark, d):
-    from .plans.score import predict_from_text
-    fused, classes = _order_status_model(spark, d)
-    out = predict_from_text(fx.invoice_text(spark, d), fused, classes, keep=("o_orderkey",), return_document=True)
-    return out.select("o_orderkey", "Predicted_Category", "Confidence", "json_data")
-
-
-def _mean_model():
-    import numpy as np
-
-    def predict(x):
-        return np.asarray(x, dtype=np.float64).mean(axis=1)
-    return predict
-
-
-@query("k6_score_with")
-def k6_score_with(spark, d):
-    """K6: a user batch model (here: the mean of the vector) over every embedding, in Arrow batches."""
-    from .plans.score import score_with
-    e = fx.image_branch(spark, d)
-    return rnd(score_with(e, _mean_model, "embedding", out="score").select("vec_id", "score"))
-
-
 @query("f4_value_counts_gl")
 def f4_value_counts_gl(spark, d):
     return profile.value_counts(_lines_nulls(spark, d), "GL_Code", 5)
@@ -852,3 +667,6 @@ def j5_confusion_pivot(spark, d):
     cols = [f"CLASS-{1200 + i}" for i in range(36)]
     return p.select("y_true", *[(F.col(f"`{c}`") if c in labels else F.lit(0).cast("long")).alias(c.replace("-", "_"))
                                 for c in cols])
+
+
+from . import registry_io, registry_models  # noqa: E402, F401 - they register their queries above
