@@ -19,6 +19,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from struct import pack
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,37 +29,77 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import slices, texts_of
 
-CACHE_LIMIT = 500_000
+CACHE_LIMIT = 800_000  # words; then the cache starts anew
 STRIPE_BYTES = 32 << 20
+_TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 ROW_GROUP = 1000  # rows of a row group, the unit that indexes and Bloom filters skip
 SCHEMA = "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>"
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, word by word through a cache."""
+    """Ids of whole texts by the tokenizers library, word by word through a cache.
+
+    The tokenizer's own rules make a word of letters one piece and a run of
+    punctuation another, so a word not seen yet is encoded without its trailing ASCII
+    punctuation, which is encoded apart. A word that is all letters, composed and
+    in lower case is left as it is by the normalizer and the splitter; it goes
+    through the same model without them. All other words go through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tok = Tokenizer.from_str(tokenizer_json)
+        self.whole = Tokenizer.from_str(tokenizer_json)
+        self.letters = Tokenizer.from_str(tokenizer_json)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache: dict[bytes, bytes] = {}
 
+    def _encode(self, words: list[bytes]) -> None:
+        """Put the ids of ``words`` into the cache."""
+        plain: list[tuple[bytes, str]] = []
+        other: list[tuple[bytes, str]] = []
+        for w in words:
+            text = w.decode()
+            low = text.lower()
+            # Final sigma is the one letter whose lower case depends on its neighbours.
+            if low.isalpha() and "\u03a3" not in text and is_normalized("NFC", text):
+                plain.append((w, low))
+            else:
+                other.append((w, text))
+        for tok, pairs in ((self.letters, plain), (self.whole, other)):
+            got = tok.encode_batch_fast([t for _, t in pairs], add_special_tokens=False)
+            for (w, _), e in zip(pairs, got, strict=True):
+                ids = e.ids
+                self.cache[w] = pack(f"<{len(ids)}I", *ids)
+
+    def _add(self, missing: set[bytes]) -> None:
+        cache = self.cache
+        cut = []
+        for w in missing:
+            core = w.rstrip(_TAIL)
+            if core and len(core) < len(w) and core[-1:].isalnum() and b"<|" not in w:
+                cut.append((w, core, w[len(core):]))
+        parts = {c for _, c, _ in cut} | {t for _, _, t in cut} | missing.difference(w for w, _, _ in cut)
+        self._encode([w for w in parts if w not in cache])
+        for w, core, tail in cut:
+            cache[w] = cache[core] + cache[tail]
+
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids, without special tokens added."""
-        # ASCII only, as the tokenizer's own lower-casing does to it. Other white space stays inside a word.
-        words = text.encode().lower().replace(b"\n", b" ").replace(b"\t", b" ").replace(b"\r", b" ").split(b" ")
-        found = list(map(self.cache.get, words))
-        if None in found:
-            missing = list({w for w, f in zip(words, found, strict=True) if f is None})
-            if len(self.cache) + len(missing) > CACHE_LIMIT:
+        # ASCII only, as the tokenizer's own lower-casing does to it; not where it could make a special token.
+        # Other white space stays inside a word.
+        raw = text.encode()
+        words = (raw if b"<|" in raw else raw.lower()).split()
+        different = set(words)
+        missing = different.difference(self.cache)
+        if missing:
+            if len(self.cache) + 2 * len(missing) > CACHE_LIMIT:
                 self.cache.clear()
-                missing = list(set(words))
-            got = self.tok.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            for w, e in zip(missing, got, strict=True):
-                self.cache[w] = pack(f"<{len(e)}I", *e.ids)
-            found = list(map(self.cache.__getitem__, words))
-        return b"".join(found)
+                missing = different
+            self._add(missing)
+        return b"".join(map(self.cache.__getitem__, words))
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
