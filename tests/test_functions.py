@@ -6,7 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import (
-    argmax, clean_text, general_category, ngrams, parse_date, parse_invoice_json, parse_number, preview, softmax,
+    argmax, clean_text, general_category, ngrams, parse_date, parse_invoice_json, parse_number, preview, softmax, strip_ws,
     text_features, numeric_features, date_features, tokens, top_k_per_row, word_count,
 )
 
@@ -60,7 +60,8 @@ def test_clean_text_and_tokens(spark):
 
 
 def test_word_count_and_preview(spark):
-    assert run(spark, ["a  b\tc\n", "", None, "  x"], word_count) == [3, 0, None, 1]
+    assert run(spark, ["a  b\tc\n", "", None, "  x", "a\u00a0b\u2003c"], word_count) == [3, 0, None, 1, 3]
+    assert run(spark, ["\u00a0 a b \u2003\n"], strip_ws) == ["a b"]
     assert run(spark, ["abc"], lambda c: preview(c, 2)) == ["ab..."]
 
 
@@ -114,3 +115,20 @@ def test_scores_arrays(spark):
     assert rows[0]["m"] == 1  # first of equal maxima
     assert [p["idx"] for p in rows[0]["t"]] == [2, 1, 3]  # ties: later index first
     assert math.isclose(sum(rows[0]["s"]), 1.0) and rows[1]["s"] == [1.0]
+
+
+def test_field_patterns_on_fixed_texts(spark):
+    """Expected values written by hand, one text for each generic pattern."""
+    from ledgerlens.functions import date_field, invoice_number, line_items, parties, totals
+    numbers = ["Invoice No: 77", "INVOICE #12", "invoice number 5", "Invoice: 9", "inv no 31", "inv # 8", "nothing"]
+    assert run(spark, numbers, invoice_number) == ["77", "12", "5", "9", "31", "8", ""]
+    dates = ["Date: 03/04/2020", "due 1-2-21", "see 12/11/2019 there", "none"]
+    assert run(spark, dates, lambda c: date_field(c, "due")) == ["03/04/2020", "1-2-21", "12/11/2019", ""]
+    assert run(spark, ["Seller:  Acme Ltd \nx"], lambda c: parties(c)["seller_name"]) == ["Acme Ltd"]
+    assert run(spark, ["CLIENT Bob\ny"], lambda c: parties(c)["client_name"]) == ["Bob"]
+    t = ["VAT: $ 3,50\ndiscount 1.00\nGross 20.00", "tax 2.25\nTotal: 9.99", ""]
+    assert run(spark, t, lambda c: totals(c)["tax"]) == ["3,50", "2.25", ""]
+    assert run(spark, t, lambda c: totals(c)["discount"]) == ["1.00", "", ""]
+    assert run(spark, t, lambda c: totals(c)["total"]) == ["20.00", "9.99", ""]
+    items = run(spark, ["bolt 3 pcs 1.20\nnote\nnut 2,5 x 7,00\ncap 4.10"], line_items)[0]
+    assert [(i["quantity"], i["total_price"]) for i in items] == [("3", "1.20"), ("2,5", "7,00"), ("1.00", "4.10")]

@@ -77,7 +77,7 @@ def test_no_python_in_column_plans(spark):
 def test_lookups_are_broadcast_and_filters_pushed(spark):
     lines = fx.invoice_lines(spark, SF)
     d = encode.fit_dictionary(lines, "Vendor_Code")
-    t = encode.transform_dictionary(lines, "Vendor_Code", d, "v", dict_rows=100)
+    t = encode.transform_dictionary(lines, "Vendor_Code", d, "v")
     t.count()
     assert "BroadcastHashJoin" in plan(t)
     p = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_suppkey = 3").select("l_orderkey")
@@ -112,3 +112,103 @@ def test_approximate_quartiles_are_close(spark):
         assert abs(exact[q] - approx[q]) <= 0.01 * spread
     box = profile.box_stats(lines, "Inv_Amt", exact=False).first()
     assert box["lower_whisker"] >= exact["min"] and box["upper_whisker"] <= exact["max"]
+
+
+def test_split_keeps_rows_with_null_class_and_null_key(spark):
+    rows = [("a", f"k{i}") for i in range(10)] + [(None, f"n{i}") for i in range(10)] + [("a", None), (None, None), ("b", "x"), ("b", "y")]
+    df = spark.createDataFrame(rows, "c string, k string")
+    one = split.stratified_split(df, "c", "k")
+    assert one.count() == len(rows) and one.where("is_val IS NULL").count() == 0
+    val = {r.c: r.n for r in one.where("is_val").groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert val.get("a") == 2 and val.get(None) == 2 and val.get("b", 0) == 0
+    two = split.random_split(df, "k")
+    assert two.count() == len(rows) and two.where("is_val").count() == math.floor(0.2 * len(rows))
+
+
+def test_split_sides_agree_for_repeated_keys(spark):
+    df = spark.createDataFrame([("a", f"k{i % 20}") for i in range(100)], "c string, k string")
+    out = split.stratified_split(df, "c", "k")
+    assert out.groupBy("k").agg(F.countDistinct("is_val").alias("n")).where("n > 1").count() == 0
+    assert out.where("is_val").count() == 20
+
+
+def test_split_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "c string, k string")
+    assert split.stratified_split(df, "c", "k").count() == 0 and split.random_split(df, "k").count() == 0
+
+
+def test_split_shuffles_no_payload(spark):
+    lines = fx.invoice_lines(spark, SF).withColumn("payload", F.repeat(F.lit("x"), 100))
+    p = split.stratified_split(lines, "Product_Category", "Inv_Id")._jdf.queryExecution().executedPlan().toString()
+    for line in p.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "payload" not in line
+    assert "Sort [Product_Category" not in p
+
+
+def test_large_dictionary_is_not_broadcast_and_hot_codes_are_split(spark, monkeypatch):
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", 0)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                          "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+        hot = spark.range(0, 60000, 1, 12).select(
+            F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("v"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        t = encode.encode_lookup(hot, "v", encode.fit_dictionary(hot, "v"), "i")
+        assert len(t.collect()) == 60000
+        assert "BroadcastHashJoin" not in plan(t) and "skew=true" in plan(t)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_terms_are_counted_by_row_not_by_id(spark):
+    df = spark.createDataFrame([(1, "red car red"), (1, "red bus"), (2, "red car"), (3, None), (4, "")], "id int, t string")
+    stats = {r["term"]: (r["count"], r["df"]) for r in encode.term_stats(df, "t").collect()}
+    assert stats["red"] == (4, 3) and stats["car"] == (2, 2) and stats["red car"] == (2, 2) and stats["red bus"] == (1, 1)
+    capped = encode.fit_vocabulary(encode.term_stats(df, "t"), 5, 100, 1, 1.0)
+    free = encode.fit_vocabulary(encode.term_stats(df, "t"), 5, None, 1, 1.0)
+    assert sorted(map(tuple, capped.collect())) == sorted(map(tuple, free.collect()))
+    a = encode.tfidf(df, "id", "t", capped, 100)
+    b = encode.tfidf(df, "id", "t", free, None)
+    key = lambda r: (r["id"], r["term"], r["idx"], round(r["weight"], 12))
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_terms_plan_has_no_text_shuffle(spark):
+    p = plan(encode.term_stats(spark.read.parquet(f"{SF}/documents.parquet"), "text"))
+    assert p.count("Exchange") == 1 and "hashpartitioning(term" in p
+
+
+def test_exact_quartiles_without_a_value_map(spark):
+    df = spark.createDataFrame([(float(x),) for x in [5, 1, 4, 4, 9, None or 2, 7, 7, 7, 3]] + [(None,)], "x double")
+    import numpy as np
+    want = np.percentile([5, 1, 4, 4, 9, 2, 7, 7, 7, 3], [25, 50, 75]).tolist()
+    r = profile.describe(df, "x")
+    assert "percentile" not in plan(r)
+    row = r.first()
+    assert [row["q25"], row["q50"], row["q75"]] == want and row["count"] == 10
+    empty = profile.describe(df.where("x > 100"), "x").first()
+    assert empty["count"] == 0 and empty["q50"] is None
+
+
+def test_pipeline_uses_its_own_text_column(spark):
+    rows = [("1", "v", "g", 1.0, "nothing here", "apple pie", "a"), ("2", "v", "g", 2.0, "other words", "apple tart", "b")] * 3
+    df = spark.createDataFrame(rows, "Inv_Id string, Vendor_Code string, GL_Code string, Inv_Amt double, "
+                                     "Item_Description string, Body string, Product_Category string")
+    model = FeaturePipeline(text_col="Body", min_df=1, max_df=1.0).fit(df)
+    assert "apple" in model.vocabulary and "nothing" not in model.vocabulary
+    got = encode.vector_entries(model.transform(df), "tfidf", ["Inv_Id"])
+    assert got.count() > 0
+
+
+def test_no_best_model_is_an_error(spark):
+    import pytest
+    from ledgerlens.operators.evaluate import select_best
+    df = spark.createDataFrame([("a", 1, 0.0), ("b", 2, 0.0)], "model string, train_order int, f1_weighted double")
+    with pytest.raises(ValueError):
+        select_best(df)

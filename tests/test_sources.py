@@ -80,9 +80,13 @@ def test_pipeline_and_model_persistence(spark, tmp):
 
     feats = model.transform(lines)
     lr = train_logistic(feats, max_iter=5)
-    persist.save_model(spark, lr, f"{tmp}/m", "logistic_regression", 0.5)
-    lr2, name, score, _ = persist.load_model(spark, f"{tmp}/m")
-    assert name == "logistic_regression" and score == 0.5
+    persist.save_model(spark, lr, f"file://{tmp}/m", "logistic_regression", 0.5,
+                       spark.createDataFrame([("logistic_regression", 0.5)], "model string, f1 double"))
+    lr2, name, score, results = persist.load_model(spark, f"file://{tmp}/m")
+    assert name == "logistic_regression" and score == 0.5 and results.count() == 1
+    persist.save_model(spark, lr, f"{tmp}/m2", "logistic_regression", 0.5)
+    assert persist.load_model(spark, f"{tmp}/m2")[3] is None
+    assert loaded.settings["text_col"] == "Item_Description" and loaded.settings["seed"] == 42
     p1 = lr.transform(feats).select("prediction").collect()
     p2 = lr2.transform(feats).select("prediction").collect()
     assert p1 == p2
@@ -98,3 +102,20 @@ def test_labels_scan(spark, tmp):
     labels = readers.scan_labels(spark, f"{tmp}/labels.csv")
     s = readers.label_summary(labels).first()
     assert s.n_rows == lines.count() and s.n_classes == lines.select("Product_Category").distinct().count()
+
+
+def test_predictions_csv_keeps_every_column(spark, tmp):
+    df = spark.createDataFrame([("1", [("A", 0.75), ("B", None)], {"k": 1}, 0.75)],
+                               "Inv_Id string, top array<struct<label:string,prob:double>>, m map<string,int>, c double")
+    writers.write_predictions(df, f"{tmp}/pred")
+    row = spark.read.option("header", "true").option("escape", '"').csv(f"{tmp}/pred").first()
+    assert json.loads(row["top"]) == [{"label": "A", "prob": 0.75}, {"label": "B", "prob": None}]
+    assert json.loads(row["m"]) == {"k": 1} and row["c"] == "0.75"
+
+
+def test_lines_with_quoted_line_ends(spark, tmp):
+    path = f"{tmp}/lines.csv"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('Inv_Id,Vendor_Code,GL_Code,Inv_Amt,Item_Description\n1,V,G,2.5,"two\nlines, one cell"\n2,V,G,3.5,plain\n')
+    rows = readers.scan_invoice_lines(spark, path, labelled=False, multi_line=True).collect()
+    assert [r.Inv_Id for r in rows] == ["1", "2"] and rows[0].Item_Description == "two\nlines, one cell"
