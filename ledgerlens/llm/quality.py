@@ -211,8 +211,8 @@ def fit_sample(own: np.ndarray, length: np.ndarray, lines: np.ndarray, y: np.nda
     """Maximum likelihood of the line labels with a small penalty, then the documents' curve."""
     flat = np.zeros(3 * WIDTH + 1)
     share = float((w * y).sum() / w.sum()) if len(y) else 0.5
-    if not 0.0 < share < 1.0:
-        return QualityModel(flat, np.zeros((2, 2)), 0.0, 30.0 if share >= 1.0 else -30.0 if len(y) else 0.0)
+    if not len(y) or not 0.0 < share < 1.0:
+        return QualityModel(flat, np.zeros((2, 2)), 0.0, 30.0 * (2.0 * share - 1.0))
     first, last = _edges(lines)
     yl, wl = np.repeat(y, lines), np.repeat(w, lines)
     # A text counts once, however many lines it has.
@@ -274,11 +274,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                 packed = [bits[b - n:b].tobytes() for b, n in zip(at, lines, strict=True)]
                 size = [length[b - n:b].astype("<i8").tobytes() for b, n in zip(at, lines, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(1), part.column(2), pa.array(packed, pa.binary()), pa.array(size, pa.binary())],
-                    names=["y", "w", "bits", "size"])
+                    [*(part.column(i) for i in range(3)), pa.array(packed, pa.binary()), pa.array(size, pa.binary())],
+                    names=["id", "y", "w", "bits", "size"])
 
     got = rows.select("_id", "_y", "_w", "_text").mapInArrow(
-        features, "y int, w double, bits binary, size binary").toArrow()
+        features, f"id {rows.schema['_id'].dataType.simpleString()}, y int, w double, bits binary, size binary")
+    got = got.toArrow().sort_by("id")
     y, w = got.column("y").to_numpy().astype(np.float64), got.column("w").to_numpy()
     size = [np.frombuffer(s, "<i8") for s in got.column("size").to_pylist()]
     lines = np.array([len(s) for s in size], np.int64)
