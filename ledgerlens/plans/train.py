@@ -29,7 +29,7 @@ def _n_classes(df: DataFrame, label_col: str) -> int:
 def train_logistic(df: DataFrame, features_col: str = "features", label_col: str = "label", max_iter: int = 1000,
                    n_rows: int | None = None, checkpoint: bool = True):
     """Multinomial logistic regression, L2 with C = 1 (regParam = 1 / n), no standardisation."""
-    train = cut_lineage(spread(df.select(features_col, label_col))) if checkpoint else df
+    train = spread(cut_lineage(df.select(features_col, label_col))) if checkpoint else df
     n = n_rows or train.count()
     lr = LogisticRegression(featuresCol=features_col, labelCol=label_col, family="multinomial",
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, maxIter=max_iter)
@@ -39,7 +39,7 @@ def train_logistic(df: DataFrame, features_col: str = "features", label_col: str
 def train_forest(df: DataFrame, features_col: str = "features", label_col: str = "label", n_trees: int = 100,
                  max_depth: int = 20, seed: int = 42, checkpoint: bool = True, max_memory_mb: int = 512):
     """Random forest, sqrt features per split, depth capped at Spark's 30."""
-    train = cut_lineage(spread(df.select(features_col, label_col))) if checkpoint else df
+    train = spread(cut_lineage(df.select(features_col, label_col))) if checkpoint else df
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=n_trees,
                                 maxDepth=min(max_depth, 30), featureSubsetStrategy="sqrt", seed=seed,
                                 maxMemoryInMB=max_memory_mb, cacheNodeIds=True, checkpointInterval=10)
@@ -79,7 +79,7 @@ def train_epochs(train: DataFrame, val: DataFrame, features_col: str, label_col:
     Returns (best model by validation F1, earlier on ties; rows of (epoch, train_loss,
     val_loss, val_accuracy, val_f1)). Both frames are checkpointed once.
     """
-    train, val = cut_lineage(spread(train)), cut_lineage(val)
+    train, val = spread(cut_lineage(train)), cut_lineage(val)
     weights, best, rows = None, None, []
     for epoch in range(1, epochs + 1):
         mlp = MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col, layers=layers, maxIter=steps,
@@ -140,7 +140,7 @@ def train_fused(df: DataFrame, label_col: str = "label", text_col: str | None =
     for c in chosen:
         x = _as_vector(x, c)
     asm = VectorAssembler(inputCols=chosen, outputCol="_fused")
-    x = cut_lineage(spread(asm.transform(x).select("_fused", label_col)))
+    x = spread(cut_lineage(asm.transform(x).select("_fused", label_col)))
     dim = len(x.first()["_fused"])  # input width from one row
     k = n_classes or _n_classes(x, label_col)
     mlp = MultilayerPerceptronClassifier(featuresCol="_fused", labelCol=label_col, layers=[dim, *hidden, k],

@@ -8,6 +8,7 @@ bench only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Checkpoint files go when nothing refers to their table any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir must name a shared folder (e.g. on HDFS or object storage)")
     path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
@@ -86,6 +89,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A scan of one large, unsplittable file (one Parquet row group) is a single
     task; CPU-heavy row-wise work after it would use one core. On a cluster the
     input already has many partitions and this is a no-op (no extra shuffle).
+    For plain scans and checkpointed tables only: asking another plan for its
+    partitions would run its shuffles.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
