@@ -7,7 +7,7 @@ from .docs import (
     numeric_vector, parse_invoice_frame, parse_invoice_json, text_features,
 )
 from .fields import (
-    GERMAN_FUEL_LAZY_TAX, GERMAN_FUEL_RULES, FieldRule, date_field, first_match, invoice_number, line_items,
+    GERMAN_FUEL_LAZY_TAX, GERMAN_FUEL_RULES, FieldRule, date_field, first_match, german_party_rules, invoice_number, line_items,
     parties, template_extract, text_to_invoice, totals,
 )
 from .numbers import parse_number, safe_ratio
