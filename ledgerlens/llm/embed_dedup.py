@@ -31,7 +31,7 @@ from ledgerlens.llm.graph import Forest, components
 
 SAMPLE = 20_000  # vectors that the axes and the boxes are fitted on, at most
 SAMPLE_BYTES = 48 << 20
-TILE = 8192
+TILE = 4096
 TILE_BYTES = 16 << 20
 BLOCK = 1024
 STEPS = (8, 16, 32, 64, 128, 256, 512)  # leading dimensions after which bounds are tested
