@@ -27,9 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, texts_of
+from ledgerlens.llm.common import slices
 
-CACHE_LIMIT = 800_000  # words; then the cache starts anew
+CACHE_LIMIT = 500_000  # words of a generation of the cache; it has two
 STRIPE_BYTES = 32 << 20
 _TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 ROW_GROUP = 1000  # rows of a row group, the unit that indexes and Bloom filters skip
@@ -54,7 +54,8 @@ class WordEncoder:
         self.letters = Tokenizer.from_str(tokenizer_json)
         self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.cache: dict[bytes, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}  # words met lately
+        self.old: dict[bytes, bytes] = {}  # words met before; those met again move back
 
     def _encode(self, words: list[bytes]) -> None:
         """Put the ids of ``words`` into the cache."""
@@ -75,31 +76,39 @@ class WordEncoder:
                 self.cache[w] = pack(f"<{len(ids)}I", *ids)
 
     def _add(self, missing: set[bytes]) -> None:
-        cache = self.cache
-        cut = []
+        if len(self.cache) > CACHE_LIMIT:
+            self.cache, self.old = {}, self.cache
+        cache, old = self.cache, self.old
+        cut, fresh = [], []
         for w in missing:
+            ids = old.get(w)
+            if ids is not None:
+                cache[w] = ids
+                continue
             core = w.rstrip(_TAIL)
             if core and len(core) < len(w) and core[-1:].isalnum() and b"<|" not in w:
                 cut.append((w, core, w[len(core):]))
-        parts = {c for _, c, _ in cut} | {t for _, _, t in cut} | missing.difference(w for w, _, _ in cut)
-        self._encode([w for w in parts if w not in cache])
+            else:
+                fresh.append(w)
+        parts = {c for _, c, _ in cut} | {t for _, _, t in cut}
+        self._encode([w for w in parts.union(fresh) if w not in cache])
         for w, core, tail in cut:
             cache[w] = cache[core] + cache[tail]
 
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids, without special tokens added."""
+    def __call__(self, text: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text given as UTF-8, without special tokens added."""
         # ASCII only, as the tokenizer's own lower-casing does to it; not where it could make a special token.
         # Other white space stays inside a word.
-        raw = text.encode()
-        words = (raw if b"<|" in raw else raw.lower()).split()
-        different = set(words)
-        missing = different.difference(self.cache)
-        if missing:
-            if len(self.cache) + 2 * len(missing) > CACHE_LIMIT:
-                self.cache.clear()
-                missing = different
-            self._add(missing)
-        return b"".join(map(self.cache.__getitem__, words))
+        words = (text if b"<|" in text else text.lower()).split()
+        found = list(map(self.cache.get, words))
+        try:
+            return b"".join(found)
+        except TypeError:  # a word that the cache lacks
+            missing = {w for w, f in zip(words, found, strict=True) if f is None}
+        self._add(missing)
+        look = self.cache.get
+        # A new generation may have begun: then words found before are still at hand in ``found``.
+        return b"".join([look(w) if f is None else f for w, f in zip(words, found, strict=True)])
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -120,17 +129,17 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int, id_co
     with open(tokenizer_path, encoding="utf-8") as f:
         tok = spark.sparkContext.broadcast(f.read())
     tail = np.array([end_id], "<u4").tobytes()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("_text"))
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions("doc_id", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, at, here = _encoder(tok.value), 0, TaskContext.get().partitionId()
+        enc, at, here = _encoder(tok.value), 0, TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, "_text"):
-                got = [encode(t) + tail for t in texts_of(part, "_text")]
+                got = [enc(t or b"") + tail for t in part.column(1).to_pylist()]
                 n = np.array([len(g) // 4 for g in got], np.int64)
                 stops = np.cumsum(n)
-                flat = np.frombuffer(b"".join(got), "<u4").astype(np.int32)
+                flat = np.frombuffer(b"".join(got), "<i4")
                 ids = pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.full(len(n), here, np.int32)), pa.array(at + stops - n), pa.array(n), ids],
@@ -138,7 +147,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int, id_co
                 at += int(n.sum())
 
     (rows.mapInArrow(run, SCHEMA).write
-     .option("compression", "zstd").option("orc.stripe.size", str(STRIPE_BYTES))
+     .option("compression", "snappy").option("orc.stripe.size", str(STRIPE_BYTES))
      .option("orc.row.index.stride", str(ROW_GROUP)).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 

@@ -29,7 +29,7 @@ def test_random_texts_match_the_library(library):
              "'ll", " 's", "́", "E", "<|endoftext|>", "<|ENDOFTEXT|>", "x" * 50, "\x1c", "\x0b", "\x0c", ",", "!!", "ç", "K", "ᆨ", "가"]
     for _ in range(4000):
         t = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
-        assert library.encode(t, add_special_tokens=False).ids == np.frombuffer(enc(t), "<u4").tolist(), t
+        assert library.encode(t, add_special_tokens=False).ids == np.frombuffer(enc(t.encode()), "<u4").tolist(), t
 
 
 def test_query_matches_the_library(spark, sf, library):
@@ -94,12 +94,11 @@ def test_mixing_of_edge_rows(spark, docs):
 
 
 def test_applied_rates_repeat_rows(spark, docs):
-    keyed = docs.withColumn("_k", mixing.row_key("doc_id", "text"))
-    rates = keyed.select("_k").distinct().select(F.col("_k").alias("_key"), F.lit(2.0).alias("rate"))
-    out = mixing.apply_rates(keyed, rates, key_col="_k")
-    assert out.columns == docs.columns and out.count() == 2 * docs.count()
-    half = mixing.apply_rates(keyed, rates.withColumn("rate", F.lit(0.0)), key_col="_k")
-    assert half.count() == 0
+    rates = docs.select(mixing.row_key("doc_id", "text").alias("_key")).distinct().withColumn("rate", F.lit(2.0))
+    clash = docs.withColumn("_key", F.lit("a")).withColumn("_n", F.lit(7)).withColumn("rate", F.lit(0))
+    out = mixing.apply_rates(clash, rates)
+    assert out.columns == clash.columns and out.count() == 2 * docs.count()
+    assert mixing.apply_rates(docs, rates.withColumn("rate", F.lit(0.0))).count() == 0
 
 
 def test_query_keeps_every_document_and_targets(spark, sf):
@@ -128,14 +127,15 @@ def test_table_is_even_and_stable():
 
 
 def test_placement_of_edge_rows_and_written_shards(spark, docs):
-    clash = docs.withColumn("slot", F.lit("x"))
+    clash = docs.withColumn("slot", F.lit("x")).withColumn("shard", F.lit("own"))
     got = sharding.place(clash, ["a", "b", "c"], size=101).collect()
     assert len(got) == docs.count() and {r.shard for r in got} <= {"a", "b", "c"}
     assert len({r.shard for r in got if r.doc_id == 1}) == 1
     path = shared_path(spark)
-    sharding.write_shards(clash, ["a", "b", "c"], path, size=101, tasks_per_shard=2)
+    assert sharding.write_shards(clash, ["a", "b", "c"], path, size=101, tasks_per_shard=2) == "shard_"
     back = spark.read.parquet(path)
-    assert sorted((r.doc_id or -1, r.shard) for r in back.collect()) == sorted((r.doc_id or -1, r.shard) for r in got)
+    assert {r.shard for r in back.collect()} == {"own"}
+    assert sorted((r.doc_id or -1, r.shard_) for r in back.collect()) == sorted((r.doc_id or -1, r.shard) for r in got)
     assert sharding.place(docs.limit(0), ["a"], size=11).count() == 0
 
 
