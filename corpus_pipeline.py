@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated by their rates; targets keep every language's rate at 1 or more."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id")
     rates, _, _, _ = mixing.mix(docs, labelled_domains(docs, labels), least=1.0)
-    return mixing.apply_rates(docs.withColumn("_k", mixing.row_key("doc_id", "text")), rates, key_col="_k")
+    return mixing.apply_rates(docs, rates)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

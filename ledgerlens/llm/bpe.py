@@ -36,7 +36,7 @@ L, N, O, SP_LAST, WS_LAST, WS_MID, AP2, AP3, RESET = range(9)
 # States: what the scan is inside of. BREAK: the next character starts a token.
 BREAK, IN_L, IN_N, IN_O, AFTER_SP, IN_WS, ONE_LEFT, TWO_LEFT = range(8)
 BLOCK = 128
-CACHE_LIMIT = 400_000
+CACHE_LIMIT = 300_000
 LONG_PIECE = 48  # bytes; longer slices are merged one by one with a heap
 
 
@@ -286,13 +286,16 @@ def encode(docs: DataFrame, rank_path: str, text_col: str = "text", keep: tuple[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _merger(ranks.value)
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                got = list(m.encode(texts_of(part, "_text")))
-                cols = [part.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(
-                    [*cols, pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())],
-                    names=[*keep, "ids", "piece_starts"])
+        try:
+            for batch in batches:
+                for part in slices(batch, "_text"):
+                    got = list(m.encode(texts_of(part, "_text")))
+                    cols = [part.column(i) for i in range(len(keep))]
+                    yield pa.RecordBatch.from_arrays(
+                        [*cols, pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())],
+                        names=[*keep, "ids", "piece_starts"])
+        finally:
+            m.cache.clear()  # the worker lives on; the next task may be another operator's
 
     return src.mapInArrow(run, schema)
 

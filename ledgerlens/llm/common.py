@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlens.session import ensure_checkpoint_dir
 
 # Characters held as arrays at once by a task; a longer text is a slice of its own.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
 
 def shared_path(spark: SparkSession) -> str:

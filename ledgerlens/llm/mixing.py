@@ -167,12 +167,13 @@ def copies(rate: Column, key: Column) -> Column:
     return (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("int")
 
 
-def apply_rates(docs: DataFrame, rates: DataFrame, *, key_col: str) -> DataFrame:
-    """The rows of ``docs``, each as many times as its rate asks for; ``key_col`` is dropped."""
+def apply_rates(docs: DataFrame, rates: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, each as many times as the rate of its key asks for."""
+    names = [f"c{i}" for i in range(len(docs.columns))]  # own names: the table's can't clash with ours
+    key = row_key(names[docs.columns.index(id_col)], names[docs.columns.index(text_col)])
     many = rates.select("_key", copies(F.col("rate"), F.col("_key")).alias("_n")).where("_n > 0")
-    cols = [c for c in docs.columns if c != key_col]
-    out = docs.join(many, F.col(key_col) == F.col("_key"))
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select(*cols)
+    out = docs.toDF(*names).withColumn("_k", key).join(many, F.col("_k") == F.col("_key"))
+    return out.select(*names, F.explode(F.array_repeat(F.lit(1), F.col("_n"))).alias("_copy")).select(*names).toDF(*docs.columns)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

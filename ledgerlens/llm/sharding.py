@@ -8,7 +8,7 @@ the table (as many rows as slots, whatever the input) is broadcast. Adding or
 removing a shard moves few other slots.
 
 Null keys hash like the empty text; repeated rows go to one shard; extra columns
-are untouched by ``write_shards`` and dropped by ``place``. No shards is an error.
+are kept by ``write_shards`` and dropped by ``place``. No shards is an error.
 """
 
 from __future__ import annotations
@@ -71,12 +71,20 @@ def place(rows: DataFrame, shards: list[str], *, key_col: str = "doc_id", size:
 
 
 def write_shards(rows: DataFrame, shards: list[str], path: str, *, key_col: str = "doc_id",
-                 size: int = TABLE_SIZE, tasks_per_shard: int = 1) -> None:
-    """Write all columns of ``rows`` as Parquet, one folder ``shard=NAME`` for each shard."""
-    table = F.broadcast(table_frame(rows.sparkSession, shards, size).toDF("_slot", "_shard"))
-    out = rows.withColumn("_slot", slot_of(F.col(key_col), size)).join(table, "_slot").drop("_slot")
-    if "shard" in (c.lower() for c in rows.columns):
-        raise ValueError("a column named shard would clash with the folders'")
-    salt = F.pmod(F.xxhash64(F.col(key_col)), F.lit(tasks_per_shard))
-    (out.withColumnRenamed("_shard", "shard").repartition(len(shards) * tasks_per_shard, "shard", salt)
-     .write.partitionBy("shard").parquet(path))
+                 size: int = TABLE_SIZE, tasks_per_shard: int = 1) -> str:
+    """Write all columns of ``rows`` as Parquet, one folder ``shard=NAME`` for each shard.
+
+    Returns the folders' column name: ``shard``, with as many ``_`` added as it takes to be no column of ``rows``.
+    """
+    taken = {c.lower() for c in rows.columns}
+    folder = "shard"
+    while folder in taken:
+        folder += "_"
+    names = [f"c{i}" for i in range(len(rows.columns))]  # own names: the table's can't clash with ours
+    key = F.col(names[rows.columns.index(key_col)])
+    table = F.broadcast(table_frame(rows.sparkSession, shards, size))
+    out = rows.toDF(*names).withColumn("slot", slot_of(key, size)).join(table, "slot")
+    salt = F.pmod(F.xxhash64(key), F.lit(tasks_per_shard))
+    out = out.repartition(len(shards) * tasks_per_shard, "shard", salt).select(*names, "shard")
+    out.toDF(*rows.columns, folder).write.partitionBy(folder).parquet(path)
+    return folder

@@ -30,7 +30,7 @@ from ledgerlens.llm.linear import log_loss, minimise, sigmoid
 SAMPLE = 1500  # labelled rows of each class that the model is fitted on, at most
 ORDERS = (3, 4, 5)
 BITS = 20
-FEATURES = 5000  # buckets that the regression weighs
+FEATURES = 5000  # buckets that the regression weighs (at most 65,536: slots travel as 16 bits)
 SMOOTHING = 0.1  # added to a bucket's summed features in either class
 UNIT = 65535  # features are summed as whole numbers of this part, so sums don't depend on their order
 PER = 600  # characters for which an n-gram's occurrences are counted, about 100 words
@@ -159,13 +159,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             for part in slices(batch, "_text"):
                 got = [hasher.features(t, shared.value) for t in texts_of(part, "_text")]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(3)), pa.array([g[0].astype("<i4").tobytes() for g in got], pa.binary()),
-                     pa.array([g[1].astype("<f8").tobytes() for g in got], pa.binary())], names=["id", "y", "w", "at", "value"])
+                    [*(part.column(i) for i in range(3)), pa.array([g[0].astype("<u2").tobytes() for g in got], pa.binary()),
+                     pa.array([g[1].astype("<f4").tobytes() for g in got], pa.binary())], names=["id", "y", "w", "at", "value"])
 
     found = rows.mapInArrow(features, f"id {rows.schema['_id'].dataType.simpleString()}, y int, w double, at binary, value binary")
     table = found.toArrow().sort_by("id")
-    at = [np.frombuffer(x, "<i4") for x in table.column("at").to_pylist()]
-    value = [np.frombuffer(x, "<f8") for x in table.column("value").to_pylist()]
+    at = [np.frombuffer(x, "<u2") for x in table.column("at").to_pylist()]
+    value = [np.frombuffer(x, "<f4") for x in table.column("value").to_pylist()]
     weights, bias = fit_weights(at, value, ratios, table.column("y").to_numpy().astype(np.float64),
                                 table.column("w").to_numpy())
     return ToxicityModel(slot, weights, bias)
@@ -174,7 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def fit_weights(at: list[np.ndarray], value: list[np.ndarray], ratios: np.ndarray, y: np.ndarray,
                 w: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression on the kept features scaled by their ratios: (weights with the ratio in them, intercept)."""
-    col, row = np.concatenate(at), np.repeat(np.arange(len(at)), [len(a) for a in at])
+    col = np.concatenate(at).astype(np.int64)
+    row = np.repeat(np.arange(len(at)), [len(a) for a in at])
     val = ratios[col] * np.concatenate(value)
     wn, n, k = w / w.sum(), len(at), len(ratios)
     share = float(wn @ y)
