@@ -87,6 +87,18 @@ def confusion_pivot(df: DataFrame, labels: list | None = None, y_true: str = "y_
     return confusion_matrix(df, y_true, y_pred).groupBy("y_true").pivot("y_pred", labels).sum("n").fillna(0)
 
 
+def scores_of_counts(counts: dict[tuple, int]) -> tuple[float, float]:
+    """(accuracy, weighted F1) from collected confusion counts {(true, predicted): n} (classes squared at most)."""
+    total = sum(counts.values())
+    labels = {x for pair in counts for x in pair}
+    weighted = 0.0
+    for c in labels:
+        support = sum(n for (t, _), n in counts.items() if t == c)
+        predicted = sum(n for (_, p), n in counts.items() if p == c)
+        weighted += support * (2.0 * counts.get((c, c), 0) / (support + predicted))
+    return sum(n for (t, p), n in counts.items() if t == p) / max(total, 1), weighted / max(total, 1)
+
+
 def log_loss(df: DataFrame, prob_col: str, label_idx: str, eps: float = 1e-15) -> DataFrame:
     """Mean over rows of -ln(p[true class]), p clipped to [eps, 1 - eps]."""
     p = F.element_at(F.col(prob_col), F.col(label_idx).cast("int") + 1).cast("double")

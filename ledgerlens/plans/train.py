@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.evaluate import accuracy, f1_scores, log_loss
+from ..operators.evaluate import scores_of_counts
 from ..session import cut_lineage, spread
 
 
@@ -88,13 +88,13 @@ def train_epochs(train: DataFrame, val: DataFrame, features_col: str, label_col:
             mlp = mlp.setInitialWeights(weights)
         model = mlp.fit(train)
         weights = model.weights
-        scored = model.transform(val).select(F.col(label_col).alias("y_true"), F.col("prediction").alias("y_pred"),
-                                             vector_to_array("probability").alias("p"))
-        scored = cut_lineage(scored)
-        loss = log_loss(scored, "p", "y_true").first()[0]
-        acc = accuracy(scored).first()[0]
-        f1 = f1_scores(scored).first()["f1_weighted"]
-        rows.append((epoch, training_history(model)[-1][1], float(loss), float(acc), float(f1)))
+        p = F.element_at(vector_to_array("probability"), F.col(label_col).cast("int") + 1)
+        scored = model.transform(val).select(F.col(label_col).alias("t"), F.col("prediction").alias("p"),
+                                             (-F.log(F.greatest(p, F.lit(1e-15)))).alias("loss"))
+        got = scored.groupBy("t", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss")).collect()
+        acc, f1 = scores_of_counts({(r["t"], r["p"]): r["n"] for r in got})
+        loss = sum(r["loss"] for r in got) / max(1, sum(r["n"] for r in got))
+        rows.append((epoch, training_history(model)[-1][1], float(loss), acc, f1))
         if best is None or f1 > best[0]:
             best = (f1, model)
     return best[1], rows
