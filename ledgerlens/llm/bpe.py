@@ -216,17 +216,18 @@ class Merger:
                     heapq.heappush(heap, (q, p, ids[p], ids[nxt[p]]))
         return np.array([x for x, ok in zip(ids, alive, strict=True) if ok], "<u4").tobytes()
 
-    def merge(self, words: list[str]) -> None:
-        """Fill the cache with the ids of ``words``."""
+    def merge(self, words: list[str]) -> dict[str, bytes]:
+        """Put the ids of ``words`` into the cache; returns those of long slices, which aren't kept."""
         if len(self.cache) + len(words) > CACHE_LIMIT:
             self.cache.clear()
+        long: dict[str, bytes] = {}
         by_width: dict[int, list[tuple[str, bytes]]] = {}
         for w in words:
             b = w.encode()
             if (r := self.ranks.get(b)) is not None:
                 self.cache[w] = r.to_bytes(4, "little")
             elif len(b) > LONG_PIECE:
-                self.cache[w] = self._one(b)
+                long[w] = self._one(b)
             else:
                 by_width.setdefault(-(-len(b) // 4), []).append((w, b))
         for group in by_width.values():
@@ -234,6 +235,7 @@ class Merger:
                 part = group[i:i + 8192]
                 for (w, _), ids in zip(part, self._lockstep([b for _, b in part]), strict=True):
                     self.cache[w] = ids
+        return long
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """(ids, piece starts) of each text, both little-endian unsigned 32-bit."""
@@ -250,9 +252,9 @@ class Merger:
         pieces = [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
         found = list(map(self.cache.get, pieces))
         if None in found:
-            self.merge(list({p for p, f in zip(pieces, found, strict=True) if f is None}))
+            long = self.merge(list({p for p, f in zip(pieces, found, strict=True) if f is None}))
             look = self.cache.get
-            found = [f if f is not None else look(p) for p, f in zip(pieces, found, strict=True)]
+            found = [f if f is not None else look(p) or long[p] for p, f in zip(pieces, found, strict=True)]
         for a, b, at in zip(first.tolist(), last.tolist(), begins.tolist(), strict=True):
             yield b"".join(found[a:b]), (starts[a:b] - at).astype("<u4").tobytes()
 

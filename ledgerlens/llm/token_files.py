@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import slices
 
 CACHE_LIMIT = 500_000  # words of a generation of the cache; it has two
+LONG_WORD = 64  # bytes; longer words are not kept in the cache
 STRIPE_BYTES = 32 << 20
 _TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 ROW_GROUP = 1000  # rows of a row group, the unit that indexes and Bloom filters skip
@@ -57,8 +58,8 @@ class WordEncoder:
         self.cache: dict[bytes, bytes] = {}  # words met lately
         self.old: dict[bytes, bytes] = {}  # words met before; those met again move back
 
-    def _encode(self, words: list[bytes]) -> None:
-        """Put the ids of ``words`` into the cache."""
+    def _encode(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        """Put the ids of ``words`` into a table."""
         plain: list[tuple[bytes, str]] = []
         other: list[tuple[bytes, str]] = []
         for w in words:
@@ -73,14 +74,17 @@ class WordEncoder:
             got = tok.encode_batch_fast([t for _, t in pairs], add_special_tokens=False)
             for (w, _), e in zip(pairs, got, strict=True):
                 ids = e.ids
-                self.cache[w] = pack(f"<{len(ids)}I", *ids)
+                into[w] = pack(f"<{len(ids)}I", *ids)
 
-    def _add(self, missing: set[bytes]) -> None:
+    def _add(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        """Put the ids of ``missing`` into the cache; returns those of long words, which aren't kept."""
+        long: dict[bytes, bytes] = {}
+        self._encode([w for w in missing if len(w) > LONG_WORD], long)
         if len(self.cache) > CACHE_LIMIT:
             self.cache, self.old = {}, self.cache
         cache, old = self.cache, self.old
         cut, fresh = [], []
-        for w in missing:
+        for w in missing.difference(long):
             ids = old.get(w)
             if ids is not None:
                 cache[w] = ids
@@ -91,9 +95,10 @@ class WordEncoder:
             else:
                 fresh.append(w)
         parts = {c for _, c, _ in cut} | {t for _, _, t in cut}
-        self._encode([w for w in parts.union(fresh) if w not in cache])
+        self._encode([w for w in parts.union(fresh) if w not in cache], cache)
         for w, core, tail in cut:
             cache[w] = cache[core] + cache[tail]
+        return long
 
     def __call__(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of a text given as UTF-8, without special tokens added."""
@@ -105,10 +110,11 @@ class WordEncoder:
             return b"".join(found)
         except TypeError:  # a word that the cache lacks
             missing = {w for w, f in zip(words, found, strict=True) if f is None}
-        self._add(missing)
+        long = self._add(missing)
         look = self.cache.get
         # A new generation may have begun: then words found before are still at hand in ``found``.
-        return b"".join([look(w) if f is None else f for w, f in zip(words, found, strict=True)])
+        return b"".join([(long[w] if w in long else look(w)) if f is None else f
+                         for w, f in zip(words, found, strict=True)])
 
 
 _ENCODERS: dict[int, WordEncoder] = {}

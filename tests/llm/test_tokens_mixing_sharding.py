@@ -26,7 +26,7 @@ def test_random_texts_match_the_library(library):
         enc = token_files.WordEncoder(f.read())
     rnd = random.Random(3)
     parts = ["'", "s", "t", "re", " ", "  ", "\n", "\t", "\r\n", "　", "é", "É", "Σ", "ΑΣ", "İ", "A", "1", "²", "!", "#", "日", "'S",
-             "'ll", " 's", "́", "E", "<|endoftext|>", "<|ENDOFTEXT|>", "x" * 50, "\x1c", "\x0b", "\x0c", ",", "!!", "ç", "K", "ᆨ", "가"]
+             "'ll", " 's", "́", "E", "<|endoftext|>", "<|ENDOFTEXT|>", "x" * 50, "yz" * 40, "\x1c", "\x0b", "\x0c", ",", "!!", "ç", "K", "ᆨ", "가"]
     for _ in range(4000):
         t = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
         assert library.encode(t, add_special_tokens=False).ids == np.frombuffer(enc(t.encode()), "<u4").tolist(), t
