@@ -146,7 +146,10 @@ def term_stats(df: DataFrame, text_col: str, n_max: int = 2) -> DataFrame:
     terms = add_terms(df.select(text_col), text_col, "_terms", n_max)
     both = F.concat(F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"))),
                     F.transform(F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"))))
-    rows = terms.select(both.alias("_b")).select(F.explode("_b").alias("t")).select("t.term", "t.d")
+    # explode_outer: a plain explode lets the optimizer infer a filter on the array's size, with the whole
+    # expression inlined, and every text would be processed twice.
+    rows = terms.select(both.alias("_b")).select(F.explode_outer("_b").alias("t")).select("t.term", "t.d")
+    rows = rows.where(F.col("term").isNotNull())
     return rows.groupBy("term").agg(F.sum(1 - F.col("d")).alias("count"), F.sum("d").cast("long").alias("df"))
 
 
@@ -190,7 +193,8 @@ def vector_entries(df: DataFrame, vector_col: str, keep) -> DataFrame:
     x = df.select(*keep, F.unwrap_udt(F.col(vector_col)).alias("_u"))
     at = F.coalesce(F.col("_u.indices"), F.sequence(F.lit(0), F.size("_u.values") - 1))
     pairs = F.arrays_zip(at.alias("idx"), F.col("_u.values").alias("weight"))
-    return x.select(*keep, F.explode(pairs).alias("_e")).select(
+    # explode_outer for the same reason as in ``term_stats``; rows without entries go with the zeros.
+    return x.select(*keep, F.explode_outer(pairs).alias("_e")).select(
         *keep, F.col("_e.idx").alias("idx"), F.col("_e.weight").alias("weight")).where("weight <> 0")
 
 
@@ -210,8 +214,8 @@ def tfidf(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame, max_featu
             id_col, "term", "idx", "weight")
     rows = add_terms(cut_lineage(df.select(id_col, text_col).withColumn("_row", F.monotonically_increasing_id())),
                      text_col, "_terms", n_max)
-    tf = (rows.select("_row", id_col, F.explode("_terms").alias("term")).groupBy("_row", id_col, "term")
-          .agg(F.count(F.lit(1)).alias("tf")))
+    tf = (rows.select("_row", id_col, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
+          .groupBy("_row", id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     w = F.col("tf") * F.col("idf")
     j = tf.join(vocab.select("term", "idx", "idf"), "term")
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy("_row")))

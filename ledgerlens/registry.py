@@ -258,8 +258,8 @@ def d3_parties(spark, d):
 
 @query("d4_line_items")
 def d4_line_items(spark, d):
-    t = _itext(spark, d).select("o_orderkey", F.posexplode(fields.line_items("text")).alias("item_pos", "item"))
-    return t.select("o_orderkey", "item_pos", "item.description", "item.quantity", "item.total_price")
+    t = _itext(spark, d).select("o_orderkey", F.posexplode_outer(fields.line_items("text")).alias("item_pos", "item"))
+    return t.where("item IS NOT NULL").select("o_orderkey", "item_pos", "item.description", "item.quantity", "item.total_price")
 
 
 @query("d5_totals")
@@ -306,7 +306,7 @@ def _logits(spark, d):
 @query("w2_top_k_per_row")
 def w2_top_k_per_row(spark, d):
     p = arrays.softmax_frame(_logits(spark, d), "embedding", "prob")
-    e = p.select("vec_id", F.posexplode(arrays.top_k_per_row("prob", 3)).alias("rank", "p"))
+    e = p.select("vec_id", F.posexplode_outer(arrays.top_k_per_row("prob", 3)).alias("rank", "p"))
     return rnd(e.select("vec_id", "rank", F.col("p.idx").alias("idx"), F.col("p.prob").alias("prob")))
 
 
@@ -318,7 +318,7 @@ def w3_argmax(spark, d):
 @query("k7_softmax")
 def k7_softmax(spark, d):
     p = arrays.softmax_frame(_logits(spark, d), "embedding", "p")
-    return rnd(p.select("vec_id", F.posexplode("p").alias("idx", "prob")), 9)
+    return rnd(p.select("vec_id", F.posexplode_outer("p").alias("idx", "prob")), 9)
 
 
 # ---------------------------------------------------------------------------------------------------
