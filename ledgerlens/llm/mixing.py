@@ -38,8 +38,9 @@ def words(text: Column) -> Column:
 
 
 def _exploded(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    return docs.select(*keys, F.explode(words(F.col(text_col))).alias("_word")).select(
-        *keys, F.pmod(F.xxhash64("_word"), F.lit(BUCKETS)).cast("int").alias("_bucket"))
+    # explode_outer: a plain explode would have every text split twice (a filter on the array's size is inferred).
+    rows = docs.select(*keys, F.explode_outer(words(F.col(text_col))).alias("_word")).where("_word IS NOT NULL")
+    return rows.select(*keys, F.pmod(F.xxhash64("_word"), F.lit(BUCKETS)).cast("int").alias("_bucket"))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str, text_col: str, domain_col: str,
