@@ -168,9 +168,9 @@ def examples_per_group(df: DataFrame, cat: str, k: int, order_by: str, top: int
 
 def word_frequency(df: DataFrame, col: str, n: int | None = 30) -> DataFrame:
     """lower, keep [a-z whitespace], split, count; top n by count then word. Nulls are skipped."""
-    letters = F.regexp_replace(F.lower(F.col(col)), r"[^a-z\s]", " ")
+    letters = F.regexp_replace(F.lower(F.col(col)), r"[^a-z]+", " ")
     # explode_outer: a plain explode would have the words split twice (a filter on their number is inferred).
-    words = df.where(F.col(col).isNotNull()).select(F.explode_outer(F.split(F.trim(letters), r"\s+")).alias("word"))
+    words = df.where(F.col(col).isNotNull()).select(F.explode_outer(F.split(F.trim(letters), " ")).alias("word"))
     counts = words.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     ordered = counts.orderBy(F.desc("count"), F.asc("word"))
     return ordered.limit(n) if n else ordered
