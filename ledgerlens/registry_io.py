@@ -175,5 +175,6 @@ def k8_score_stream(spark, d):
             F.count(F.lit(1)).alias(side))
     keys = ["Inv_Id", "Vendor_Code", "GL_Code", "Predicted_Category", "c"]
     both = lines(streamed, "n").join(lines(batch, "m"), keys, "full")
-    return both.select("Inv_Id", "Vendor_Code", "GL_Code", F.coalesce("n", F.lit(0)).alias("n_rows"),
-                       F.coalesce(F.col("n") == F.col("m"), F.lit(False)).alias("same_as_batch"))
+    return both.groupBy("Inv_Id", "Vendor_Code", "GL_Code").agg(
+        F.sum(F.coalesce("n", F.lit(0))).alias("n_rows"),
+        F.bool_and(F.coalesce(F.col("n") == F.col("m"), F.lit(False))).alias("same_as_batch"))
