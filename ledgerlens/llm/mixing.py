@@ -4,9 +4,10 @@ A naive Bayes classifier of hashed words, fitted on a bounded sample of the
 labelled rows, gives every document a posterior over the domains: how much of
 it belongs to each. The rates r >= 0 minimise the squared differences between
 the domains' expected token totals sum(r * tokens * posterior) and their targets
-by projected gradient steps from r = 1, so that documents are changed as little
-as that needs. Each step is one aggregation over all documents; only the
-domains' totals (as many numbers as domains) reach the driver.
+and change documents as little as that needs: r is 1 + posterior * price, cut at
+its bound, for one price of each domain. The prices are found by safeguarded
+Newton steps on the (convex) dual. A step is one aggregation over all documents,
+or two; only sums over domains and pairs of domains reach the driver.
 
 All of it is DataFrame work. Null text counts as empty: no words, the prior as
 posterior and no weight in the totals; its rate comes from the same steps.
@@ -17,6 +18,8 @@ the fit; without any labelled row there is one domain and all rates are 1.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +31,13 @@ MAX_DOMAINS = 16  # the largest domains by labelled rows; all smaller ones are o
 OTHER = "other"
 BUCKETS = 4096  # word buckets
 SATURATION = 40.0  # words after which more words hardly sharpen a posterior
-STEPS = 25
+STEPS = 200
 TOLERANCE = 1e-6  # of the total, in each domain
+SETTLED = 1e-9  # of the total: the dual's gradient at which unreachable targets are as near as can be
+DAMPING = 1e-12  # of the total: weight of the change of rates beside the squared gaps
+CUTS = [0.5 ** i for i in range(1, 48)]  # shares of a step that is too long
+
+log = logging.getLogger(__name__)
 
 
 def words(text: Column) -> Column:
@@ -124,42 +132,85 @@ def weighted_targets(totals: list[float], weights: list[float]) -> list[float]:
     return [sum(totals) * w / sum(weights) for w in weights]
 
 
+def _step_share(row: DataFrame, move: Column, step: np.ndarray, want: np.ndarray, prices: np.ndarray, damp: float,
+                least: float) -> float:
+    """Share of ``step`` at which the dual is lowest along it; one aggregation of its slopes at ``CUTS``."""
+    w, z, d = F.col("_w"), F.col("_z"), F.col("_d")
+    got = row.withColumn("_d", move).agg(
+        *[F.sum(w * F.greatest(F.lit(least), z + F.lit(c) * d) * d) for c in CUTS]).first()
+    slope = [float(x or 0.0) - float(step @ want) + damp * float((prices + c * step) @ step)
+             for x, c in zip(got, CUTS, strict=True)]
+    at = next((i for i, v in enumerate(slope) if v <= 0.0), len(CUTS) - 1)
+    if at == 0 or slope[at] > 0.0:
+        return CUTS[at]
+    return CUTS[at] + (CUTS[at - 1] - CUTS[at]) * -slope[at] / (slope[at - 1] - slope[at])
+
+
 def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, least: float = 0.0, steps: int = STEPS,
               tolerance: float = TOLERANCE) -> tuple[DataFrame, list[float], list[float]]:
     """(``post`` with ``rate``, expected totals reached, targets) for a stored table of posteriors.
 
-    ``targets`` maps the totals at rate 1 to the wanted totals. Each step moves a
-    rate against posterior * residual in the metric of the domains' token masses
-    (those of documents whose rate is above ``least``) and cuts it at ``least``
-    (0 or more; 1 keeps every document). One aggregation gives the totals and the
-    masses; the step is an expression over the table. Steps end when the totals
-    match or come no closer.
+    ``targets`` maps the totals at rate 1 to the wanted totals. Rates are at least
+    ``least`` (0 or more; 1 keeps every document). A Newton step of the prices uses
+    the totals and the token masses of pairs of domains, taken of the documents whose
+    rate is not cut; a step after which the dual rises again is shortened to where
+    it is lowest. Steps end when the totals match, or when they are as near as the
+    bound lets them; a remaining gap is logged.
     """
     k = domains
-    p = [F.col("post")[i] for i in range(k)]
-    rate: Column = F.lit(max(1.0, least))
-    best = (float("inf"), rate, [0.0] * k)
-    want: list[float] = []
-    for i in range(steps):
-        # The first step moves all rates: each may rise from the bound it starts at.
-        live = F.when((F.col("_r") > least) | F.lit(i == 0), F.col("tokens")).otherwise(0)
-        row = post.withColumn("_r", rate).agg(
-            *[F.sum(F.col("_r") * F.col("tokens") * p[i]) for i in range(k)],
-            *[F.sum(live * p[i] * p[j]) for i in range(k) for j in range(i, k)]).first()
-        got = [float(x or 0.0) for x in row]
-        want = want or targets(got[:k])
-        gap = np.array(got[:k]) - np.array(want)
-        off, before = float(np.abs(gap).max()), best[0]
-        if off < before:
-            best = (off, rate, got[:k])
-        if off <= tolerance * max(sum(want), 1.0) or off > 0.95 * before:
+    base = max(1.0, least)
+    prices, step = np.zeros(k), np.zeros(k)
+    want = np.zeros(0)
+    pairs = F.flatten(F.transform("post", lambda p, i: F.transform(
+        F.slice("post", i + 1, k), lambda q, j: F.struct(i.alias("i"), (i + j).alias("j"), p.alias("p"), q.alias("q")))))
+
+    def along(weights: np.ndarray) -> Column:
+        per = F.zip_with("post", F.lit([float(x) for x in weights]), lambda p, x: p * x)
+        return F.aggregate(per, F.lit(0.0), lambda a, x: a + x)
+
+    def measure(at: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+        row = post.select(F.col("tokens").cast("double").alias("_w"), "post", (F.lit(base) + along(at)).alias("_z"))
+        # Rates at the bound may rise from it, so they count as not cut.
+        live = F.when(F.col("_z") >= least, F.col("_w")).otherwise(0.0)
+        sums = (row.select((F.greatest(F.lit(least), "_z") * F.col("_w")).alias("_m"), live.alias("_live"),
+                           F.explode(pairs).alias("_p"))
+                .groupBy("_p.i", "_p.j").agg(F.sum(F.col("_m") * F.col("_p.p")).alias("m"),
+                                             F.sum(F.col("_live") * F.col("_p.p") * F.col("_p.q")).alias("h")).collect())
+        totals, mass = np.zeros(k), np.zeros((k, k))
+        for r in sums:
+            mass[r["i"], r["j"]] = mass[r["j"], r["i"]] = r["h"] or 0.0
+            if r["i"] == r["j"]:
+                totals[r["i"]] = r["m"] or 0.0
+        return row, totals, mass
+
+    row, got, mass = measure(prices)
+    want = np.array(targets([float(x) for x in got]), dtype=float)
+    size = max(float(want.sum()), 1.0)
+    damp = DAMPING * size
+    best = (float("inf"), prices, got)
+    for i in range(steps + 1):
+        gap = got - want
+        slope = gap + damp * prices
+        if float(np.abs(gap).max()) < best[0]:
+            best = (float(np.abs(gap).max()), prices, got)
+        if np.abs(gap).max() <= tolerance * size or np.abs(slope).max() <= SETTLED * size:
+            best = (float(np.abs(gap).max()), prices, got)
+            break
+        if i == steps:
+            log.warning("rates: no end after %d steps", steps)
             break
-        mass = np.zeros((k, k))
-        mass[np.triu_indices(k)] = got[k:]
-        mass = np.triu(mass) + np.triu(mass, 1).T
-        step = np.linalg.lstsq(mass, gap, rcond=1e-9)[0]
-        rate = F.greatest(F.lit(least), rate - sum((p[i] * F.lit(float(step[i])) for i in range(k)), F.lit(0.0)))
-    return post.withColumn("rate", F.round(best[1], 6)), best[2], want
+        step = -np.linalg.solve(mass + damp * np.eye(k), slope)
+        there = measure(prices + step)
+        if float((there[1] - want + damp * (prices + step)) @ step) > 0.1 * abs(float(slope @ step)):
+            step = step * _step_share(row, along(step), step, want, prices, damp, least)
+            there = measure(prices + step)
+        prices = prices + step
+        row, got, mass = there
+    off, prices, have = best
+    if off > tolerance * size:
+        log.warning("rates: largest gap left %.3g of %.3g target tokens", off, size)
+    rate = F.greatest(F.lit(least), F.lit(base) + along(prices))
+    return post.withColumn("rate", F.round(rate, 6)), [float(x) for x in have], [float(x) for x in want]
 
 
 def copies(rate: Column, key: Column) -> Column:

@@ -81,6 +81,34 @@ def test_rates_meet_targets_and_stay_nonnegative(spark):
     assert kept.agg(F.min("rate")).first()[0] >= 1.0 and np.allclose(have, want, rtol=2e-2)
 
 
+def full_least_squares(p, t, want, least):
+    """Smallest norm of the gaps in share of the targets, by accelerated projected gradient with restarts."""
+    r = y = np.ones(len(t))
+    big, turn, before = np.linalg.eigvalsh((p * t[:, None]).T @ p).max(), 1.0, np.inf
+    for _ in range(6000):
+        new = np.maximum(least, y - p @ ((y * t) @ p - want) / big)
+        now = np.linalg.norm((new * t) @ p - want)
+        if now > before:
+            y, turn, before = r, 1.0, np.inf
+            continue
+        nxt = (1 + math.sqrt(1 + 4 * turn * turn)) / 2
+        r, y, turn, before = new, new + (turn - 1) / nxt * (new - r), nxt, now
+    return np.linalg.norm((r * t) @ p - want) / sum(want)
+
+
+@pytest.mark.parametrize("alpha", [[0.2] * 4, [0.05] * 16, [2.0, 0.5, 0.2, 0.1]])
+def test_bounded_rates_are_the_full_least_squares_solution(spark, alpha):
+    rng = np.random.default_rng(5)
+    p, t = rng.dirichlet(alpha, 600), rng.integers(1, 500, 600)
+    rows = [(i, int(n), [float(x) for x in v]) for i, (n, v) in enumerate(zip(t, p, strict=True))]
+    post = spark.createDataFrame(rows, "_key long, tokens long, post array<double>").cache()
+    rates, have, want = mixing.fit_rates(post, domains=len(alpha), least=1.0)
+    got = rates.orderBy("_key").toPandas().rate.to_numpy()
+    total = (got * t) @ p
+    assert got.min() >= 1.0 and np.allclose(total, have, atol=1e-5 * sum(want))
+    assert np.linalg.norm(total - want) / sum(want) <= full_least_squares(p, t, want, 1.0) + 1e-5
+
+
 def test_mixing_of_edge_rows(spark, docs):
     labelled = docs.select("doc_id", F.col("lang").alias("domain"))
     rates, domains, have, _ = mixing.mix(docs, labelled)
