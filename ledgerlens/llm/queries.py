@@ -85,9 +85,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), marks.alias("text"))
     rows = rows.unionByName(extra)
-    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
-    turns = chat.canonical_turns(rows.select("conv_id", "turn", record.alias("record")),
-                                 record_col="record", conv_col="conv_id", turn_col="turn")
+    turns = chat.column_turns(rows, record_cols=("role", "text"), conv_col="conv_id", turn_col="turn")
     back = chat.read_back(chat.format_turns(turns))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss_texts", "")
