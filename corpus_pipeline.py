@@ -39,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated by their rates; targets keep every language's rate at 1 or more."""
+    """Documents are repeated by their rates; targets flatten languages and sources; every rate is 1 or more."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id")
     rates, _, _, _ = mixing.mix(docs, labelled_domains(docs, labels), least=1.0)
     return mixing.apply_rates(docs, rates)

@@ -13,7 +13,10 @@ All of it is DataFrame work. Null text counts as empty: no words, the prior as
 posterior and no weight in the totals; its rate comes from the same steps.
 Repeated rows are documents of their own. Extra columns are never read by the
 classifier and are kept by ``apply_rates``. Rows without a label take no part in
-the fit; without any labelled row there is one domain and all rates are 1.
+the fit; without any labelled row there is one domain and, but for sources, all
+rates are 1. Every labelled domain has a target. Sources are known from the rows,
+so no posterior is fitted for them: where ``labelled`` has a ``source`` column, each
+source of the documents (null is one) has a target of its own beside the domains.
 """
 
 from __future__ import annotations
@@ -21,14 +24,13 @@ from __future__ import annotations
 import logging
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import staged
 
 SAMPLE = 500  # labelled documents of each domain that the classifier is fitted on, at most
-MAX_DOMAINS = 16  # the largest domains by labelled rows; all smaller ones are one domain, OTHER
-OTHER = "other"
+OTHER = "other"  # the one domain where no row has a label
 BUCKETS = 4096  # word buckets
 SATURATION = 40.0  # words after which more words hardly sharpen a posterior
 STEPS = 200
@@ -62,18 +64,13 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str, text_col:
     spark = docs.sparkSession
     rows = staged(labelled.select(F.col(id_col).alias("_id"), F.col(domain_col).cast("string").alias("_dom"))
                   .where("_dom IS NOT NULL AND _id IS NOT NULL").distinct())
-    sizes = rows.groupBy("_dom").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_dom")
-    kept = [r["_dom"] for r in sizes.limit(MAX_DOMAINS).collect()]
-    rows = rows.withColumn("_dom", F.when(F.col("_dom").isin(kept), F.col("_dom")).otherwise(F.lit(OTHER)))
     got = {r["_dom"]: r["n"] for r in rows.groupBy("_dom").agg(F.count("*").alias("n")).collect()}
     domains = sorted(got)
     if not domains:
         return [OTHER], spark.range(-1, BUCKETS).select(
             F.col("id").cast("int").alias("_bucket"), F.array(F.lit(0.0)).alias("_ll"))
-    chosen = None
-    for d in domains:
-        part = rows.where(F.col("_dom") == d).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    first = Window.partitionBy("_dom").orderBy(F.xxhash64("_id"), "_id")
+    chosen = rows.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= sample).drop("_at")
     texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
              .join(F.broadcast(chosen), "_id").dropDuplicates(["_id", "_dom"]))
     counts = _exploded(texts, ["_dom"], "_t").groupBy("_bucket").pivot("_dom", domains).count()
@@ -119,6 +116,18 @@ def posteriors(docs: DataFrame, domains: list[str], model: DataFrame, *, key_col
             .select("_key", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("post", even).alias("post")))
 
 
+def source_shares(docs: DataFrame, *, key: Column, source_col: str) -> tuple[list[str | None], DataFrame]:
+    """(sources, null last; table of ``_key`` and ``sources``: place and share of rows of each source with that key)."""
+    rows = staged(docs.select(key.alias("_key"), F.col(source_col).cast("string").alias("_src"))
+                  .groupBy("_key", "_src").agg(F.count("*").alias("n")))
+    names = [r["_src"] for r in rows.select("_src").distinct().orderBy(F.asc_nulls_last("_src")).collect()]
+    table = docs.sparkSession.createDataFrame(list(enumerate(names)), "at int, _name string")
+    found = rows.join(F.broadcast(table), F.col("_src").eqNullSafe(F.col("_name")))
+    lists = found.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("l"), F.sum("n").alias("all"))
+    return names, lists.select("_key", F.transform("l", lambda x: F.struct(
+        x["at"].alias("at"), (x["n"] / F.col("all")).alias("share"))).alias("sources"))
+
+
 def tempered_targets(totals: list[float], power: float = 0.7) -> list[float]:
     """Target totals with shares flattened by ``power``, as small as keeps every domain's rate at 1 or more."""
     have = [max(t, 1e-9) for t in totals]
@@ -146,30 +155,37 @@ def _step_share(row: DataFrame, move: Column, step: np.ndarray, want: np.ndarray
     return CUTS[at] + (CUTS[at - 1] - CUTS[at]) * -slope[at] / (slope[at - 1] - slope[at])
 
 
-def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, least: float = 0.0, steps: int = STEPS,
-              tolerance: float = TOLERANCE) -> tuple[DataFrame, list[float], list[float]]:
+def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, sources: int = 0, least: float = 0.0,
+              steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[DataFrame, list[float], list[float]]:
     """(``post`` with ``rate``, expected totals reached, targets) for a stored table of posteriors.
 
-    ``targets`` maps the totals at rate 1 to the wanted totals. Rates are at least
+    ``targets`` maps the totals at rate 1 to the wanted totals; with ``sources`` (then
+    ``post`` has a column ``sources``) those of the domains and, after them, those of
+    the sources, the smaller sum raised to the other. Rates are at least
     ``least`` (0 or more; 1 keeps every document). A Newton step of the prices uses
     the totals and the token masses of pairs of domains, taken of the documents whose
     rate is not cut; a step after which the dual rises again is shortened to where
     it is lowest. Steps end when the totals match, or when they are as near as the
     bound lets them; a remaining gap is logged.
     """
-    k = domains
+    k = domains + sources
     base = max(1.0, least)
     prices, step = np.zeros(k), np.zeros(k)
     want = np.zeros(0)
-    pairs = F.flatten(F.transform("post", lambda p, i: F.transform(
-        F.slice("post", i + 1, k), lambda q, j: F.struct(i.alias("i"), (i + j).alias("j"), p.alias("p"), q.alias("q")))))
+    vec = F.transform("post", lambda p, i: F.struct(i.alias("i"), p.alias("p")))
+    if sources:
+        vec = F.concat(vec, F.transform("sources", lambda x: F.struct(
+            (x["at"] + F.lit(domains)).alias("i"), x["share"].alias("p"))))
+    pairs = F.flatten(F.transform("_v", lambda a, n: F.transform(F.slice("_v", n + 1, k), lambda b: F.struct(
+        a["i"].alias("i"), b["i"].alias("j"), a["p"].alias("p"), b["p"].alias("q")))))
 
     def along(weights: np.ndarray) -> Column:
-        per = F.zip_with("post", F.lit([float(x) for x in weights]), lambda p, x: p * x)
-        return F.aggregate(per, F.lit(0.0), lambda a, x: a + x)
+        table = F.lit([float(x) for x in weights])
+        return F.aggregate("_v", F.lit(0.0), lambda a, x: a + x["p"] * F.get(table, x["i"]))
 
     def measure(at: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-        row = post.select(F.col("tokens").cast("double").alias("_w"), "post", (F.lit(base) + along(at)).alias("_z"))
+        row = post.select(F.col("tokens").cast("double").alias("_w"), vec.alias("_v"))
+        row = row.withColumn("_z", F.lit(base) + along(at))
         # Rates at the bound may rise from it, so they count as not cut.
         live = F.when(F.col("_z") >= least, F.col("_w")).otherwise(0.0)
         sums = (row.select((F.greatest(F.lit(least), "_z") * F.col("_w")).alias("_m"), live.alias("_live"),
@@ -184,7 +200,8 @@ def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, least:
         return row, totals, mass
 
     row, got, mass = measure(prices)
-    want = np.array(targets([float(x) for x in got]), dtype=float)
+    parts = [np.array(targets([float(x) for x in g]), dtype=float) for g in (got[:domains], got[domains:]) if len(g)]
+    want = np.concatenate([w * (max(x.sum() for x in parts) / max(w.sum(), 1e-300)) for w in parts])
     size = max(float(want.sum()), 1.0)
     damp = DAMPING * size
     best = (float("inf"), prices, got)
@@ -210,7 +227,7 @@ def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, least:
     if off > tolerance * size:
         log.warning("rates: largest gap left %.3g of %.3g target tokens", off, size)
     rate = F.greatest(F.lit(least), F.lit(base) + along(prices))
-    return post.withColumn("rate", F.round(rate, 6)), [float(x) for x in have], [float(x) for x in want]
+    return post.withColumn("_v", vec).withColumn("rate", F.round(rate, 6)).drop("_v"), [float(x) for x in have], [float(x) for x in want]
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -231,9 +248,17 @@ def apply_rates(docs: DataFrame, rates: DataFrame, *, id_col: str = "doc_id", te
 def mix(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         domain_col: str = "domain", targets=tempered_targets,
         least: float = 0.0) -> tuple[DataFrame, list[str], list[float], list[float]]:
-    """(rates, domains, totals reached, targets); rates: ``_key``, tokens, post, rate by document key."""
+    """(rates, domains, totals reached, targets); rates: ``_key``, tokens, post, rate by document key.
+
+    Where ``labelled`` has a column ``source``, the sources in ``docs`` have targets too: totals and targets of the
+    domains are followed by those of the sources, in order, null last.
+    """
     domains, model = fit_domains(docs, labelled, id_col=id_col, text_col=text_col, domain_col=domain_col)
     keyed = docs.select(row_key(id_col, text_col).alias("_k"), F.col(text_col).alias("_t"))
     post = staged(posteriors(keyed, domains, model, key_col="_k", text_col="_t"))
-    rates, have, want = fit_rates(post, targets, domains=len(domains), least=least)
+    names: list[str | None] = []
+    if "source" in labelled.columns:
+        names, shares = source_shares(docs, key=row_key(id_col, text_col), source_col="source")
+        post = staged(post.join(shares, "_key"))
+    rates, have, want = fit_rates(post, targets, domains=len(domains), sources=len(names), least=least)
     return rates, domains, have, want

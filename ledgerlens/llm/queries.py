@@ -36,8 +36,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Ids that the labels table covers, with their language as the domain."""
-    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id").distinct(), "doc_id")
+    """Ids that the labels table covers, with their language as the domain, and their source."""
+    return docs.select("doc_id", F.col("lang").alias("domain"), "source").join(labels.select("doc_id").distinct(), "doc_id")
 
 
 @_register
@@ -117,13 +117,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling rate and number of copies of every document for flattened language shares."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    """Sampling rate and number of copies of every document for flattened shares of languages and sources."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = read_table(spark, sf_dir, "labels").select("doc_id")
     rates, domains, _, _ = mixing.mix(docs, labelled_domains(docs, labels), least=1.0)
-    keyed = docs.select("doc_id", mixing.row_key("doc_id", "text").alias("_key"))
+    keyed = docs.select("doc_id", "source", mixing.row_key("doc_id", "text").alias("_key"))
     return keyed.join(rates, "_key").select(
-        "doc_id", F.col("tokens").cast("long").alias("n_tokens"),
+        "doc_id", "source", F.col("tokens").cast("long").alias("n_tokens"),
         *[F.round(F.col("post")[i], 6).alias(f"p_{d}") for i, d in enumerate(domains)],
         "rate", mixing.copies(F.col("rate"), F.col("_key")).alias("n_copies"))
 

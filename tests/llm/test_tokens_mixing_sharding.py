@@ -121,6 +121,28 @@ def test_mixing_of_edge_rows(spark, docs):
     assert mixing.mix(docs.limit(0), labelled)[0].count() == 0
 
 
+def test_every_labelled_domain_is_kept(spark):
+    rows = [(100 * d + i, f"word{d} " * (5 + i), "other" if d == 19 else f"d{d:02d}") for d in range(20) for i in range(20 - d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    rates, domains, have, want = mixing.mix(docs, docs, least=1.0)
+    assert domains == sorted({r[2] for r in rows}) and len(have) == len(want) == 20
+    assert all(len(r.post) == 20 and r.rate >= 1 for r in rates.collect())
+
+
+def test_sources_meet_targets(spark):
+    lang = {"x": "one two three", "y": "uno dos tres"}
+    rows = [(i, f"{lang['xy'[i % 2]]} " * 20, "xy"[i % 2], "hot" if i < 140 else "cold" if i < 180 else None) for i in range(200)]
+    rows.append((199, rows[199][1], "y", "cold"))  # the same document in two sources
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string, source string")
+    rates, domains, have, want = mixing.mix(docs, docs, least=1.0)
+    assert domains == ["x", "y"] and len(have) == len(want) == 5 and np.allclose(have, want, rtol=1e-4)
+    cold, hot, null = want[2:]
+    assert math.isclose(cold / hot, (41 / 140) ** 0.7, rel_tol=0.02) and math.isclose(null / hot, (20 / 140) ** 0.7, rel_tol=0.02)
+    rate = {r._key: r.rate for r in rates.collect()}
+    got = docs.select("source", mixing.row_key("doc_id", "text").alias("k")).collect()
+    assert math.isclose(sum(60 * rate[r.k] for r in got if r.source == "hot"), hot, rel_tol=1e-3)
+
+
 def test_applied_rates_repeat_rows(spark, docs):
     rates = docs.select(mixing.row_key("doc_id", "text").alias("_key")).distinct().withColumn("rate", F.lit(2.0))
     clash = docs.withColumn("_key", F.lit("a")).withColumn("_n", F.lit(7)).withColumn("rate", F.lit(0))
