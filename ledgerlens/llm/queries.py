@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, bpe, chat, embed_dedup, mixing, quality, sharding, simhash, token_files, toxicity
+from ledgerlens.llm import ann, bpe, centroids, chat, embed_dedup, mixing, ngram_lm, quality, sharding, simhash, token_files, toxicity
 from ledgerlens.llm.common import id_remainder, read_table, shared_path, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 TOXIC_AT = 0.7
 GOOD_AT = 0.3
+LM_ORDER = 2
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
 
 
@@ -140,3 +142,28 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document from the broadcast lookup table."""
     return sharding.place(read_table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+@_register
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and final centroid of every usable vector after ten rounds."""
+    vectors = staged(centroids.integer_vectors(read_table(spark, sf_dir, "embeddings"), id_col="vec_id", vec_col="embedding",
+                                               dims=64, scale=1024))
+    found = centroids.cluster(vectors, k=8, rounds=10, dims=64, salt="3:")
+    digest = spark.createDataFrame(
+        [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(found.centroids)],
+        "cluster int, centroid_sha256 string")
+    small = centroids.inertias(found.assigned).join(digest, "cluster")
+    return found.assigned.join(F.broadcast(small), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@_register
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document by the bigram model of nine tenths of them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 10) == 0
+    model = ngram_lm.fit(docs.where(~held_out), shared_path(spark), text_col="text", order=LM_ORDER)
+    scored = ngram_lm.score(docs, model, text_col="text", keep=("doc_id",))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

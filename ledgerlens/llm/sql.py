@@ -62,3 +62,36 @@ WITH RECURSIVE shard AS (
 SELECT d.doc_id, fill.slot, fill.name AS shard
 FROM documents d JOIN fill ON fill.slot = {_NUMBER.format(x="coalesce(CAST(d.doc_id AS VARCHAR), '')")} % 4093
 """
+
+# Ten rounds of assigning and averaging, unrolled; integer division rounds towards zero, so floors are mended.
+_FLOOR = "CAST(({s} - ((({s}) % {n} + {n}) % {n})) // {n} AS BIGINT)"
+_ASSIGN = """a{r} AS MATERIALIZED (
+  SELECT rid, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT k.rid, k.vec_id, k.v, m.c,
+      list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - m.v[i]) * (k.v[i] - m.v[i]))) AS d
+    FROM kept k, c{r} m) GROUP BY rid, vec_id, v
+)"""
+_AVERAGE = """c{next} AS MATERIALIZED (
+  SELECT m.c, coalesce(n.v, m.v) AS v FROM c{r} m LEFT JOIN (
+    SELECT c, list({floor} ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i) GROUP BY c) n ON n.c = m.c
+)"""
+_STEPS = []
+for _r in range(10):
+    _STEPS += [_ASSIGN.format(r=_r), _AVERAGE.format(r=_r, next=_r + 1, floor=_FLOOR.format(s="s", n="n"))]
+SQL["op13_centroid_clustering"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v FROM kept
+  ORDER BY c LIMIT 8
+), {", ".join(_STEPS)}, {_ASSIGN.format(r=10)}
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a10 a JOIN c10 m ON m.c = a.c
+"""
