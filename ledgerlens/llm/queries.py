@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, bpe, centroids, chat, embed_dedup, mixing, ngram_lm, quality, sharding, simhash, token_files, toxicity
+from ledgerlens.llm import (alignment, ann, bpe, centroids, chat, embed_dedup, mixing, ngram_lm, quality, sharding, simhash,
+                            token_files, toxicity)
 from ledgerlens.llm.common import id_remainder, read_table, shared_path, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +168,12 @@ def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ngram_lm.score(docs, model, text_col="text", keep=("doc_id",))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
                          F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@_register
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document under two tokenizers, scored by the documents that hold each linked pair."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    indexed = alignment.index(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                              id_col="doc_id", text_col="text")
+    return alignment.scores(indexed)
