@@ -226,3 +226,29 @@ def german_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("wird am "), F.date_format(F.date_add(day.cast("date"), 5), "dd.MM.yyyy"), F.lit(" eingezogen.")),
     ]
     return x.select("o_orderkey", F.concat_ws("\n", *lines).alias("text"))
+
+
+# Images: one 8 x 8 RGB picture for each embedding; some files are missing, some cut short.
+IMAGE_SIDE = 8
+
+
+def image_name(vec_id: Column) -> Column:
+    return F.concat(F.lit("vec-"), vec_id.cast("string"), F.lit(".png"))
+
+
+def image_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, file_name, height, width, data[RGB bytes], cut) of every embedding with 64 finite components.
+
+    A component x is a level of 128 + 200 x within 0 to 255; red, green and blue of a pixel are 21 components apart.
+    Ids with remainder 5 by 89 have no picture; those with remainder 3 by 97 are to be cut short.
+    """
+    finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    level = F.transform("e", lambda x: F.lpad(F.hex(
+        F.least(F.lit(255), F.greatest(F.lit(0), F.floor(F.lit(128.0) + F.lit(200.0) * x).cast("int")))), 2, "0"))
+    rows = rows.where((F.size("e") == 64) & finite & (F.col("vec_id") % 89 != 5)).select("vec_id", level.alias("p"))
+    pixel = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.concat(
+        F.get("p", j), F.get("p", (j + 21) % 64), F.get("p", (j + 42) % 64)))
+    return rows.select("vec_id", image_name(F.col("vec_id")).alias("file_name"), F.lit(IMAGE_SIDE).alias("height"),
+                       F.lit(IMAGE_SIDE).alias("width"), F.unhex(F.array_join(pixel, "")).alias("data"),
+                       (F.col("vec_id") % 97 == 3).alias("cut"))

@@ -128,14 +128,17 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
                     F.coalesce("count", F.lit(0).cast("long")).alias("count")))
 
 
-def box_stats(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+def box_stats(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000,
+              quartiles: DataFrame | None = None) -> DataFrame:
     """F8: quartiles, IQR, whiskers (furthest points within 1.5 IQR of the box) and outlier count; one row.
 
     The three quartiles come from one aggregate; that array enters the second
-    aggregate as a single scalar subquery (fences for the whiskers).
+    aggregate as a single scalar subquery (fences for the whiskers). ``quartiles``, one row of
+    ``sketches.describe_of``, stands in for that aggregate where stored sketches already hold them.
     """
     data = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    q = _quantiles(data, "x", (0.25, 0.5, 0.75), exact, accuracy).scalar()
+    q = (_quantiles(data, "x", (0.25, 0.5, 0.75), exact, accuracy) if quartiles is None
+         else quartiles.select(F.array("q25", "q50", "q75").alias("q"))).scalar()
     q1, q3 = q[0], q[2]
     lo_f, hi_f = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (F.col("x") >= lo_f) & (F.col("x") <= hi_f)

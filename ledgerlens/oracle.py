@@ -597,6 +597,7 @@ SQL["f4_value_counts_class_top10"] = _value_counts_sql(INVOICE_LINES, "invoice_l
 _PIVOT_COLS = ",\n  ".join(f"count(*) FILTER (WHERE y_pred = 'CLASS-{1200 + i}') AS CLASS_{1200 + i}" for i in range(36))
 SQL["j5_confusion_pivot"] = with_(FAKE_PREDICTIONS) + f"SELECT y_true,\n  {_PIVOT_COLS}\nFROM fake_predictions GROUP BY y_true"
 
-from . import oracle_models  # noqa: E402
+from . import oracle_images, oracle_models  # noqa: E402
 
 SQL.update(oracle_models.SQL)
+SQL.update(oracle_images.SQL)

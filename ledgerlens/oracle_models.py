@@ -153,6 +153,15 @@ SQL["k8_score_stream"] = with_(INVOICE_LINES_NULLS) + """SELECT Inv_Id, coalesce
   coalesce(GL_Code, 'GL-UNKNOWN') AS GL_Code, count(*) AS n_rows, TRUE AS same_as_batch
 FROM invoice_lines_nulls GROUP BY ALL"""
 
+_SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag"]
+SQL["f3_n_unique_sketch"] = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique, TRUE AS within_bound FROM lineitem" for c in _SKETCHED)
+SQL["f5_describe_sketch"] = "\nUNION ALL ".join(
+    f"""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, '{c}' AS column_name, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+  TRUE AS q25_within_bound, TRUE AS q50_within_bound, TRUE AS q75_within_bound FROM lineitem GROUP BY year(l_shipdate)"""
+    for c in _SKETCHED[:5])
+
 
 def _cents(x: str) -> str:
     return f"CAST({x} // 100 AS VARCHAR) || '.' || lpad(CAST({x} % 100 AS VARCHAR), 2, '0')"

@@ -9,11 +9,18 @@ inside a partition; Otsu's threshold is then chosen with window sums over the
 
 from __future__ import annotations
 
+import struct
+import zlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import packed
+
 # Per-channel normalisation of RGB images scaled to 0-1.
 IMAGE_MEAN = (0.485, 0.456, 0.406)
 IMAGE_STD = (0.229, 0.224, 0.225)
@@ -22,10 +29,35 @@ GRAY_WEIGHTS_Q14 = (4899, 9617, 1868)
 TENSOR_ROWS = 16  # tensors held by a task at once
 
 
+def png(data: bytes, height: int, width: int, level: int = 6) -> bytes:
+    """An 8-bit RGB picture (height * width * 3 bytes) as a PNG file."""
+    def chunk(tag: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + tag + body + struct.pack(">I", zlib.crc32(tag + body))
+
+    row = 3 * width
+    lines = b"".join(b"\0" + data[y * row:(y + 1) * row] for y in range(height))  # filter type 0 before each line
+    head = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines, level)) + chunk(b"IEND", b"")
+
+
+def encode_png(df: DataFrame, level: int = 6) -> DataFrame:
+    """(file_name, content): PNG files of (file_name, height, width, data[RGB bytes]), made in Arrow batches.
+
+    Rows whose bytes are missing or do not fill the picture get null content.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
+            content = [png(x, h, w, level) if x is not None and h and w and len(x) == 3 * h * w else None for h, w, x in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary())], names=["file_name", "content"])
+
+    return df.select("file_name", "height", "width", "data").mapInArrow(run, "file_name string, content binary")
+
+
 def read_images(spark: SparkSession, path: str, pattern: str = "*.{jpg,png}") -> DataFrame:
     """Decoded images with file names: (file_name, height, width, n_channels, data[BGR bytes])."""
-    raw = (spark.read.format("image").option("dropInvalid", "false").option("pathGlobFilter", pattern)
-           .load(path))
+    raw = packed(spark.read.format("image").option("dropInvalid", "false").option("pathGlobFilter", pattern)
+                 .load(path))
     return raw.select(
         F.element_at(F.split("image.origin", "/"), -1).alias("file_name"),
         F.col("image.height").alias("height"), F.col("image.width").alias("width"),

@@ -669,4 +669,4 @@ def j5_confusion_pivot(spark, d):
                                 for c in cols])
 
 
-from . import registry_io, registry_models  # noqa: E402, F401 - they register their queries above
+from . import registry_images, registry_io, registry_models  # noqa: E402, F401 - they register their queries above

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .functions import docs, fields
-from .operators import encode, evaluate
+from .operators import encode, evaluate, profile, sketches
 from .plans.score import predict_batch, predict_top3
 from .registry import query, rnd
 from .registry_models import logistic, prepared
@@ -103,6 +103,48 @@ def a7_write_predictions(spark, d):
                        (F.abs(top[0]["prob"] - F.col("Confidence").cast("double")) < 1e-9).alias("first_is_confidence"))
 
 
+SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag"]
+
+
+def stored_sketches(spark, d):
+    """Sketches of all lines by ship year, stored in two steps (odd and even orders) and read back."""
+    path = scratch(spark, "sketches")
+    li = table(spark, d, "lineitem").select(*SKETCHED, F.year("l_shipdate").alias("year"))
+    for odd in (0, 1):
+        sketches.column_sketches(li.where(F.col("l_orderkey") % 2 == odd), SKETCHED, by=["year"]).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("f3_n_unique_sketch")
+def f3_n_unique_sketch(spark, d):
+    """F3 from stored sketches united over years and steps, beside the exact counts: within four standard errors."""
+    stored = stored_sketches(spark, d)
+    guess = sketches.n_unique_of(sketches.unite(stored)).withColumnRenamed("n_unique", "guess")
+    exact = profile.n_unique(table(spark, d, "lineitem"), SKETCHED)
+    near = F.abs(F.col("guess") - F.col("n_unique")) <= 1 + 4 * sketches.distinct_error() * F.col("n_unique")
+    return exact.join(guess, "column_name").select("column_name", "n_unique", near.alias("within_bound"))
+
+
+@query("f5_describe_sketch")
+def f5_describe_sketch(spark, d):
+    """F5 by year from stored sketches: exact counts and moments, quartiles within twice the stated rank error."""
+    numbers = SKETCHED[:5]
+    got = sketches.describe_of(sketches.unite(stored_sketches(spark, d), by=["year"]), by=["year"]).where(F.col("column_name").isin(numbers))
+    li = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("year"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in numbers])).alias("v")).select("year", "v.*")
+    j = li.join(F.broadcast(got), ["year", "column_name"])  # a row for each year and column
+    most = 2 * sketches.rank_error()
+
+    def near(q, p):
+        """Whether the ranks of the value, from below and with its ties, reach within the error of p."""
+        n = F.count(F.lit(1))
+        return ((F.sum((F.col("x") < F.col(q)).cast("long")) / n <= p + most)
+                & (F.sum((F.col("x") <= F.col(q)).cast("long")) / n >= p - most)).alias(f"{q}_within_bound")
+    ranks = j.groupBy("year", "column_name").agg(*[near(q, p) for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))])
+    return rnd(got.join(ranks, ["year", "column_name"]).select(
+        "year", "column_name", "count", "mean", "std", "min", "max", "q25_within_bound", "q50_within_bound", "q75_within_bound"), 4)
+
+
 @query("a10_pipeline_round_trip")
 def a10_pipeline_round_trip(spark, d):
     """A10: the fitted pipeline saved and loaded gives the same vector for every line."""

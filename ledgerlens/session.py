@@ -100,6 +100,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
+def packed(df: DataFrame, at_most: int = 16) -> DataFrame:
+    """Fewer tasks for a scan of many small files: up to ``at_most`` splits go to one task, without a shuffle.
+
+    Spark counts every file as at least ``openCostInBytes``, so a folder of small files becomes
+    very many tasks. No task gets more than ``at_most`` times the split size, and eight tasks a core stay.
+    """
+    try:
+        have, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave partitioning to the server
+        return df
+    want = max(8 * cores, -(-have // at_most))
+    return df.coalesce(want) if want < have else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table as a DataFrame (Parquet; pruning and pushdown by Catalyst).
 

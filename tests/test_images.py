@@ -5,10 +5,13 @@ import struct
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import attach_images
-from ledgerlens.plans.images import image_quality, image_table
+from ledgerlens.operators.joins import attach_images, zero_filled
+from ledgerlens.plans.images import encode_png, image_quality, image_table, read_images
 from ledgerlens.sources.readers import scan_images
+from ledgerlens.sources.writers import write_files
 
 
 def write_png(path, pixels: np.ndarray):
@@ -67,3 +70,44 @@ def test_image_quality_otsu(spark, tmp):
     gray_dark, gray_light = 10, round(0.299 * 200 + 0.587 * 30 + 0.114 * 30)
     assert gray_dark <= a.threshold < gray_light
     assert a.n_pixels == 80 and abs(a.dark_share - 0.5) < 1e-9
+
+
+def test_written_files_are_whole_and_writing_again_changes_nothing(spark, tmp):
+    px = np.arange(4 * 5 * 3, dtype=np.uint8).reshape(4, 5, 3)
+    rows = [("p.png", 4, 5, px.tobytes()), ("short.png", 4, 5, b"abc"), ("none.png", None, None, None), (None, 4, 5, px.tobytes())]
+    df = spark.createDataFrame(rows, "file_name string, height int, width int, data binary").repartition(2)
+    assert write_files(encode_png(df), f"{tmp}/out") == 1 == write_files(encode_png(df), f"{tmp}/out")
+    assert os.listdir(f"{tmp}/out") == ["p.png"]
+    got = read_images(spark, f"{tmp}/out").first()
+    assert (got.height, got.width, got.n_channels) == (4, 5, 3)
+    assert (np.frombuffer(got.data, np.uint8).reshape(4, 5, 3)[:, :, ::-1] == px).all()  # BGR
+    with pytest.raises(Exception, match="must not hold a slash"):
+        write_files(spark.createDataFrame([("a/b", bytearray(b"x"))], "file_name string, content binary"), f"{tmp}/out")
+    assert write_files(df.limit(0).select("file_name", F.col("data").alias("content")), f"{tmp}/empty") == 0
+
+
+def test_missing_tensors_stay_null_until_used(spark, tmp):
+    make_images(f"{tmp}/img")
+    t = image_table(spark, f"{tmp}/img", size=2)
+    feats = spark.createDataFrame([("a.png", 1), ("missing.png", 2), ("broken.png", 3), (None, 4), ("a.png", 5)], "file_name string, image_id int")
+    j = attach_images(feats, t, height=2, width=2, fill=False)
+    rows = {r.image_id: r for r in j.collect()}
+    assert [rows[i].image_state for i in range(1, 6)] == ["found", "missing", "corrupt", "missing", "found"]
+    assert rows[2].image is None and rows[1].image == rows[5].image
+    used = {r.image_id: r.image for r in j.withColumn("image", zero_filled("image", 12)).collect()}
+    assert used[2] == used[3] == used[4] == [0.0] * 12 and used[1] == rows[1].image
+    plan = attach_images(feats, t)._jdf.queryExecution().optimizedPlan().toString()
+    assert "0.0,0.0,0.0" not in plan and len(plan) < 20_000  # the zeros are no literal
+
+
+def test_many_small_files_share_tasks(spark, tmp):
+    rows = [(f"f{i:04d}.png", bytearray(f"x{i}".encode())) for i in range(600)]
+    write_files(spark.createDataFrame(rows, "file_name string, content binary"), f"{tmp}/many")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        raw = spark.read.format("binaryFile").load(f"{tmp}/many")
+        df = scan_images(spark, f"{tmp}/many")
+        assert df.rdd.getNumPartitions() < raw.rdd.getNumPartitions() and df.count() == 600
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
