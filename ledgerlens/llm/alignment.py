@@ -21,8 +21,10 @@ documents of their own; null ids are kept. Extra columns are not carried. An emp
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +35,15 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import slices, staged
 from ledgerlens.llm.words import dictionary, text_bytes
 
-SLICE_BYTES = 2 << 20  # of text that a task holds as tokens at once
+SLICE_BYTES = 3 << 20  # of text that a task holds as tokens at once
 BLOCK_LINKS = 3_000_000  # (pair, document) entries after which a block ends
 BLOCK_DOCS = 1 << 16
 SHARD_BYTES = 32 << 20  # of text for each shard of pairs
 EXPAND = 4_000_000  # links of long groups expanded at once
-CACHE_LIMIT = 150_000  # chunks of a generation of the cache; it has two
-LONG_CHUNK = 64  # bytes; longer chunks are not kept
+LONG_CHUNK = 1000  # bytes; longer chunks are encoded apart
+# How a byte-level pre-tokenizer parts texts; control characters that some count as white space.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_CONTROL = "\x1c\x1d\x1e\x1f"
 INDEX = ("kind string, block long, pos int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, "
          "shard int, n long, pairs binary, postings binary")
 
@@ -75,65 +79,94 @@ def chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
 
 
 class Pair:
-    """The two tokenizers: A by the tokenizers library (byte-level BPE), B by sentencepiece."""
+    """The two tokenizers: A a byte-level BPE given as a tokenizers file, B by sentencepiece.
+
+    Where A's file is a plain byte-level BPE whose ids follow the order of its merges, tiktoken encodes by the same ids;
+    otherwise, and for long chunks, the tokenizers library does.
+    """
 
     def __init__(self, a_json: str, b_model: bytes):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
+        ranks = _merge_ranks(json.loads(a_json))
+        self.fast = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        self.b_space = self.b.piece_to_id("\u2581")
         self.a_bytes = pa.array([_byte_level(self.a.id_to_token(i)) for i in range(self.a.get_vocab_size())], pa.binary())
         self.b_bytes = pa.array([_piece_bytes(self.b, i) for i in range(self.b.get_piece_size())], pa.binary())
         size = max(len(self.a_bytes), len(self.b_bytes))
         # Decimal ids, each followed by one of the three separators.
         self.printed = pa.array([f"{i}{s}".encode() for i in range(size) for s in ",|;"], pa.binary())
-        self.cache: dict[bytes, tuple[bytes, bytes]] = {}  # chunks met lately; empty if a tokenizer changes them
-        self.old: dict[bytes, tuple[bytes, bytes]] = {}
-
-    def _fresh(self, missing: list[bytes]) -> list[tuple[bytes, bytes]]:
-        if not missing:
-            return []
-        texts = [m.decode() for m in missing]
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)  # which puts a space before every text but an empty one
-        b = [x if t != " " else [self.b.piece_to_id("\u2581")] for t, x in zip(texts, b, strict=True)]
-        same = _same(self.a_bytes, a, missing) & _same(self.b_bytes, b, missing)
-        return [(np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes()) if s else (b"", b"")
-                for x, y, s in zip(a, b, same.tolist(), strict=True)]
-
-    def encode(self, entries: pa.BinaryArray) -> list[tuple[bytes, bytes]]:
-        """Little-endian ids of each distinct chunk by A and by B."""
-        if len(self.cache) > CACHE_LIMIT:
-            self.cache, self.old = {}, self.cache
-        cache, old = self.cache, self.old
-        keys = entries.to_pylist()
-        found = list(map(cache.get, keys))
-        lost = [i for i, f in enumerate(found) if f is None]
-        missing = []
-        for i in lost:
-            f = old.get(keys[i])
-            if f is None:
-                missing.append(i)
-            else:
-                found[i] = cache[keys[i]] = f
-        for i, ids in zip(missing, self._fresh([keys[i] for i in missing]), strict=True):
-            found[i] = ids
-            if len(keys[i]) <= LONG_CHUNK:
-                cache[keys[i]] = ids
-        return found
+
+    def _encode_a(self, entries: pa.BinaryArray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, tokens of each). Chunks that end in no white space are encoded as one text: a space begins each."""
+        size = pc.binary_length(entries).to_numpy()
+        joined = np.array([self.fast is not None and n <= LONG_CHUNK and not t[-1].isspace() and t[-1] not in _CONTROL
+                           for n, t in zip(size.tolist(), texts, strict=True)], bool)
+        alone = np.flatnonzero(~joined)
+        other = [e.ids for e in self.a.encode_batch_fast([texts[i] for i in alone.tolist()], add_special_tokens=False)] if len(alone) else []
+        counts = np.zeros(len(texts), np.int64)
+        counts[alone] = [len(x) for x in other]
+        apart = np.fromiter(chain.from_iterable(other), np.uint32, int(counts.sum()))
+        if len(alone) == len(texts):
+            return apart, counts
+        ids = self.fast.encode_to_numpy("".join(compress(texts, joined)), disallowed_special=())
+        ends = np.cumsum(pc.binary_length(self.a_bytes).to_numpy()[ids])
+        counts[joined] = np.diff(np.searchsorted(ends, np.append(0, np.cumsum(size[joined])), side="right"))
+        flat = np.empty(int(counts.sum()), np.uint32)
+        mine = np.repeat(joined, counts)
+        flat[mine], flat[~mine] = ids, apart
+        return flat, counts
+
+    def encode(self, entries: pa.BinaryArray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of all distinct chunks by A and by B, and each chunk's number of them; none where one changes the bytes."""
+        texts = entries.cast(pa.string()).to_pylist()
+        a, n_a = self._encode_a(entries, texts)
+        got = self.b.encode([t[1:] for t in texts], num_threads=1)  # which puts a space before every text but an empty one
+        n_b = np.fromiter(map(len, got), np.int64, len(got))
+        b = np.fromiter(chain.from_iterable(got), np.uint32, int(n_b.sum()))
+        lone = np.flatnonzero(pc.binary_length(entries).to_numpy() == 1)
+        if len(lone):
+            b, n_b[lone] = np.insert(b, (np.cumsum(n_b) - n_b)[lone], self.b_space), 1
+        same = _same(self.a_bytes, a, n_a, entries) & _same(self.b_bytes, b, n_b, entries)
+        return [a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]], [n_a * same, n_b * same]
+
+
+def _merge_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Ids by bytes of a plain byte-level BPE whose merges make tokens of ascending ids; None for any other tokenizer."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model["type"] != "BPE" or spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space")
+            or not before.get("use_regex", True) or model.get("ignore_merges") or model.get("dropout")):
+        return None
+    vocab = model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocab[x + y] for x, y in pairs]
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    ranks = {_byte_level(t): i for t, i in vocab.items() if t not in special}
+    plain = made == sorted(set(made)) and len(ranks) == 256 + len(made) and all(bytes([b]) in ranks for b in range(256))
+    return ranks if plain else None
+
+
+def _byte_level_table() -> dict[str, int]:
+    """Byte by character of byte-level entries: printable bytes are themselves, the others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    moved = sorted(set(range(256)).difference(plain))
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(moved)}
+
+
+_BYTE = _byte_level_table()
 
 
 def _byte_level(token: str) -> bytes:
-    """The bytes that a byte-level entry stands for: printable ones are themselves, the others follow from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    moved = [b for b in range(256) if b not in set(plain)]
-    table = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(moved)}
-    return bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
+    """The bytes that a byte-level entry stands for."""
+    return bytes(_BYTE[c] for c in token) if all(c in _BYTE for c in token) else token.encode()
 
 
 def _piece_bytes(b, i: int) -> bytes:
@@ -141,14 +174,13 @@ def _piece_bytes(b, i: int) -> bytes:
     return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("\u2581", " ").encode()
 
 
-def _same(pieces: pa.BinaryArray, ids: list[list[int]], texts: list[bytes]) -> np.ndarray:
-    """Whether the joined bytes of each list of ids are the text."""
-    if not texts:
-        return np.empty(0, bool)
-    flat = pa.array(np.fromiter((i for x in ids for i in x), np.int32, sum(map(len, ids))))
-    joined = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in ids])), pa.int64()),
-                                           pc.take(pieces, flat).cast(pa.large_binary()))
-    return pc.equal(pc.binary_join(joined, pa.scalar(b"", pa.large_binary())), pa.array(texts, pa.large_binary())).to_numpy(zero_copy_only=False)
+def _same(pieces: pa.BinaryArray, ids: np.ndarray, counts: np.ndarray, entries: pa.BinaryArray) -> np.ndarray:
+    """Whether the joined bytes of each chunk's ids are the chunk."""
+    raw = pc.take(pieces, pa.array(ids)).cast(pa.large_binary())
+    offsets = np.frombuffer(raw.buffers()[1], np.int64)[:len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+    joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [
+        None, pa.py_buffer(offsets[np.append(0, np.cumsum(counts))]), raw.buffers()[2] or pa.py_buffer(b"")])
+    return pc.equal(joined, entries.cast(pa.large_binary())).to_numpy(zero_copy_only=False)
 
 
 # Groups and links of distinct chunks ------------------------------------------------------------------------------
@@ -181,10 +213,8 @@ def _weighed(keys: np.ndarray, more: np.ndarray, weight: np.ndarray) -> tuple[np
 
 
 def align(pair: Pair, entries: pa.BinaryArray) -> Aligned:
-    got = pair.encode(entries)
-    n = len(got)
-    sizes = [np.array([len(g[s]) // 4 for g in got], np.int64) for s in (0, 1)]
-    ids = [np.frombuffer(b"".join(g[s] for g in got), "<u4") for s in (0, 1)]
+    ids, sizes = pair.encode(entries)
+    n = len(entries)
     chunk = [np.repeat(np.arange(n), s) for s in sizes]
     same = sizes[0] > 0
     # Ends of all tokens in the joined bytes of the chunks that came back the same.

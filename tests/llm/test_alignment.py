@@ -1,6 +1,8 @@
 """Cross-tokenizer alignment against whole-text encoding and plain loops."""
 
 import hashlib
+import json
+from bisect import bisect
 from collections import Counter
 
 import numpy as np
@@ -39,7 +41,7 @@ def plain(rows):
         ea, eb = np.cumsum([len(x) for x in ba]).tolist(), np.cumsum([len(x) for x in bb]).tolist()
         shown, links, pa_, pb_ = [], Counter(), 0, 0
         for e in sorted(set(ea) & set(eb)):
-            qa, qb = ea.index(e, pa_) + 1, eb.index(e, pb_) + 1
+            qa, qb = bisect(ea, e), bisect(eb, e)
             ga, gb = ia[pa_:qa], ib[pb_:qb]
             shown.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
             links.update((x, y) for x in ga for y in gb)
@@ -99,6 +101,21 @@ def test_chunks_join_to_the_texts():
         assert b"".join(parts[c] for c in codes[first[i]:first[i + 1]]).decode() == " " + t
 
 
+def test_other_tokenizer_files_go_to_the_library():
+    with open(A_PATH, encoding="utf-8") as fa, open(B_PATH, "rb") as fb:
+        a_json, b_model = fa.read(), fb.read()
+    spec = json.loads(a_json)
+    assert len(alignment._merge_ranks(spec)) == 50_256
+    assert alignment._merge_ranks({**spec, "normalizer": {"type": "Lowercase"}}) is None
+    swapped = {**spec, "model": {**spec["model"], "merges": spec["model"]["merges"][::-1]}}
+    assert alignment._merge_ranks(swapped) is None
+    one, two = alignment.Pair(a_json, b_model), alignment.Pair(a_json, b_model)
+    two.fast = None
+    _, _, entries = alignment.chunks(pa.array(ODD))
+    for x, y in zip(one.encode(entries), two.encode(entries), strict=True):
+        assert all((p == q).all() for p, q in zip(x, y, strict=True))
+
+
 def test_empty_table(spark, docs):
     indexed = alignment.index(docs.limit(0), A_PATH, B_PATH, id_col="doc_id", text_col="text")
     assert alignment.scores(indexed).collect() == []
