@@ -117,6 +117,35 @@ SQL["k5_predict_from_text"] = with_(INVOICE_TEXT) + f"""SELECT o_orderkey,
   {o.first_match_sql('text', o.INVOICE_NUMBER_PATTERNS)} AS invoice_number,
   {o.first_match_sql('text', [o.TOTAL_PATTERN])} AS total, TRUE AS label_known, TRUE AS confidence_in_range FROM invoice_text"""
 
+SQL["i4_three_branches"] = """WITH lang AS (
+  SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS idx FROM (SELECT DISTINCT lang FROM documents))
+SELECT d.doc_id, d.lang, CAST(l.idx * 4 + CASE WHEN len(list_filter(regexp_split_to_array(d.text, '\\s+'), lambda w: w <> '')) > 400
+    THEN 2 ELSE 0 END + CASE WHEN e.embedding[1] > 0 THEN 1 ELSE 0 END AS INTEGER) AS class,
+  e.vec_id IS NULL AS no_vector, TRUE AS same_forward, TRUE AS mostly_right
+FROM documents d JOIN lang l ON l.lang = d.lang LEFT JOIN embeddings e ON e.vec_id = d.doc_id"""
+
+
+def _text_terms(key: str) -> str:
+    """Vocabulary of all documents' texts, and each (unbroken) document's number of distinct terms in it."""
+    text = "coalesce(s_name, '') || ' ' || coalesce(c_name, '') || ' ' || descs"
+    return f"""txt AS (SELECT o_orderkey, n_items, o_orderkey % 23 = 0 AS lost, {o.clean_text_sql(text)} AS t FROM order_docs),
+tok AS (SELECT o_orderkey, list_filter(string_split(t, ' '), lambda x: length(x) >= 2) AS t FROM txt),
+tf AS (SELECT o_orderkey, term, count(*) AS tf FROM (
+  SELECT o_orderkey, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM tok) GROUP BY ALL),
+vocab AS (SELECT term FROM (SELECT term, sum(tf) AS n, count(*) AS df FROM tf GROUP BY term)
+  WHERE df >= 2 AND df <= CAST(0.95 AS DOUBLE) * (SELECT count(*) FROM txt) ORDER BY n DESC, term LIMIT 1000),
+terms AS (SELECT o_orderkey, count(*) AS n FROM tf JOIN vocab USING (term) GROUP BY o_orderkey)
+SELECT {key}, CAST(CASE WHEN lost THEN 0 ELSE n_items END AS INTEGER) AS num_items,
+  CAST(CASE WHEN lost THEN 0 ELSE coalesce(n, 0) END AS INTEGER) AS n_terms, TRUE AS unit_length, TRUE AS label_known,
+  TRUE AS mostly_right FROM txt LEFT JOIN terms USING (o_orderkey)"""
+
+
+SQL["k4_json_text_branch"] = with_(ORDER_DOCS).rstrip() + ",\n" + _text_terms(
+    "'inv_' || CAST(o_orderkey AS VARCHAR) || '.png' AS file_name")
+SQL["k5_text_branch"] = """SELECT o_orderkey, TRUE AS has_terms, TRUE AS unit_length, TRUE AS label_known, TRUE AS mostly_right
+FROM orders"""
+SQL["k4_same_forward"] = "SELECT 'inv_' || CAST(o_orderkey AS VARCHAR) || '.png' AS file_name, TRUE AS same_forward FROM orders"
+
 SQL["k6_score_with"] = """SELECT vec_id, (SELECT max(label) + 1 FROM embeddings) AS n_scores, TRUE AS same_scores FROM embeddings"""
 
 # ---------------------------------------------------------------------------------------------------
@@ -162,6 +191,10 @@ SQL["f5_describe_sketch"] = "\nUNION ALL ".join(
   TRUE AS q25_within_bound, TRUE AS q50_within_bound, TRUE AS q75_within_bound FROM lineitem GROUP BY year(l_shipdate)"""
     for c in _SKETCHED[:5])
 
+SQL["k8_stream_restart"] = with_(INVOICE_LINES_NULLS) + """SELECT Inv_Id, coalesce(Vendor_Code, 'VENDOR-UNKNOWN') AS Vendor_Code,
+  coalesce(GL_Code, 'GL-UNKNOWN') AS GL_Code, count(*) AS n_rows, TRUE AS same_as_batch, TRUE AS same_in_both
+FROM invoice_lines_nulls GROUP BY ALL"""
+
 
 def _cents(x: str) -> str:
     return f"CAST({x} // 100 AS VARCHAR) || '.' || lpad(CAST({x} % 100 AS VARCHAR), 2, '0')"

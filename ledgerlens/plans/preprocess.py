@@ -162,6 +162,39 @@ class FeaturePipeline:
         )
 
 
+@dataclass
+class TextBranch:
+    """A fitted TF-IDF vectoriser of one text column, for models that score documents (K4, K5, I4)."""
+
+    vocabulary: list[str]
+    idf: list[float]
+    text_col: str = "combined_text"
+    out: str = "text_features"
+
+    @classmethod
+    def fit(cls, df: DataFrame, text_col: str = "combined_text", out: str = "text_features", max_features: int = 5000,
+            min_df: int = 2, max_df: float = 0.95) -> TextBranch:
+        """Learn the 1-2-gram vocabulary and idf of ``text_col``; nulls count as empty texts."""
+        n = df.agg(F.count(F.lit(1))).scalar()
+        vocab = encode.fit_vocabulary(encode.term_stats(df, text_col, 2), n, max_features, min_df, max_df)
+        terms, idf = encode.vocabulary_rows(vocab)  # <= max_features rows
+        return cls(terms, idf, text_col, out)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        """``df`` with the sparse vector ``out``; unknown terms are left out."""
+        x = add_terms(df, self.text_col, "_terms", 2)
+        x = PipelineModel(stages=encode.tfidf_stages(self.vocabulary, self.idf, "_terms", self.out)).transform(x)
+        return x.drop("_terms", "_tf", "_tfidf_raw")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        meta = {"vocabulary": self.vocabulary, "idf": self.idf, "text_col": self.text_col, "out": self.out}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TextBranch:
+        return cls(**json.loads(spark.read.text(path, wholetext=True).first()[0]))
+
+
 def prepare_train(df: DataFrame, pipeline: FeaturePipeline | None = None, test_size: float | None = None,
                   seed: int | None = None, label_col: str = "Product_Category", fit_on: str = "all"):
     """Fill, fit (on all rows by default, as the reference; ``fit_on='train'`` fits on training rows only),

@@ -8,7 +8,7 @@ feature plan (and survive executor loss).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
     LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
@@ -102,54 +102,119 @@ def train_epochs(train: DataFrame, val: DataFrame, features_col: str, label_col:
 
 @dataclass
 class FusedModel:
-    """I4/I5 result: the assembler inputs and the fitted perceptron."""
+    """I4/I5 result: the branches, their widths and the fitted perceptron."""
 
     inputs: list[str]
     model: object
+    widths: list[int] | None = None
+    scaling: dict[str, tuple[list[float], list[float]]] = field(default_factory=dict)  # means and deviations of a branch
 
     def assemble(self, df: DataFrame) -> DataFrame:
-        """Add the concatenated branch vector ``_fused`` (array branches become vectors)."""
-        x = df
-        for c in self.inputs:
-            x = _as_vector(x, c)
-        return VectorAssembler(inputCols=self.inputs, outputCol="_fused").transform(x)
+        """Add the concatenated branch vector ``_fused`` (array branches become vectors, null ones zeros)."""
+        lacking = [c for c in self.inputs if c not in df.columns]
+        if lacking:
+            raise ValueError(f"the model was fitted with branches that the table lacks: {', '.join(lacking)}")
+        return _assemble(df, self.inputs, self.widths, self.scaling)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.assemble(df)).drop("_fused")
 
 
-def _as_vector(df: DataFrame, col: str) -> DataFrame:
-    t = dict(df.dtypes)[col]
-    return df.withColumn(col, array_to_vector(F.col(col))) if t.startswith("array") else df
+def _assemble(df: DataFrame, inputs: list[str], widths: list[int] | None, scaling: dict) -> DataFrame:
+    x = df
+    for c, n in zip(inputs, widths or [None] * len(inputs)):
+        if c in scaling:
+            mean, std = (F.array(*[F.lit(float(v)) for v in part]) for part in scaling[c])
+            away = F.zip_with(F.col(c), mean, lambda v, m: v.cast("double") - m)
+            x = x.withColumn(c, F.zip_with(away, std, lambda v, d: v / d))
+        x = _as_vector(x, c, n)
+    return VectorAssembler(inputCols=inputs, outputCol="_fused").transform(x)
+
+
+def _as_vector(df: DataFrame, col: str, width: int | None = None) -> DataFrame:
+    """The branch as a vector column; with ``width`` a null becomes zeros."""
+    v = array_to_vector(F.col(col)) if dict(df.dtypes)[col].startswith("array") else F.col(col)
+    if width:
+        v = F.when(F.col(col).isNull(), array_to_vector(F.array_repeat(F.lit(0.0), width))).otherwise(v)
+    return df.withColumn(col, v)
+
+
+def _width(df: DataFrame, col: str) -> int:
+    """Entries of a branch, read from one row that has it."""
+    row = df.where(F.col(col).isNotNull()).select(col).first()
+    if row is None:
+        raise ValueError(f"branch {col} is null in every row")
+    return len(row[0])
+
+
+def _scaling(df: DataFrame, col: str, width: int) -> tuple[list[float], list[float]]:
+    """Mean and population deviation (0 -> 1) of every entry of an array branch, from one aggregate."""
+    row = df.agg(*[f(F.col(col)[i].cast("double")).alias(f"{n}{i}") for i in range(width)
+                   for n, f in (("m", F.avg), ("d", F.stddev_pop))]).first()
+    return [float(row[f"m{i}"] or 0.0) for i in range(width)], [float(row[f"d{i}"] or 1.0) for i in range(width)]
 
 
 def train_fused(df: DataFrame, label_col: str = "label", text_col: str | None = None,
-                numeric_col: str | None = None, embedding_col: str | None = None, use_text: bool = True,
-                use_numeric: bool = True, use_embedding: bool = True, hidden=(256, 128), max_iter: int = 100,
-                seed: int = 42, n_classes: int | None = None) -> FusedModel:
+                numeric_col: str | None = None, embedding_col: str | None = None, use_text: bool | None = None,
+                use_numeric: bool | None = None, use_embedding: bool | None = None, hidden=(256, 128), max_iter: int = 100,
+                seed: int = 42, n_classes: int | None = None, scale_numeric: bool = False) -> FusedModel:
     """I4: concatenate the chosen branches (text vector, numeric vector, embedding) into one perceptron.
 
-    Layers: [input, 256, 128, classes] (sigmoid hidden layers, softmax output).
-    Any non-empty subset of branches works; none is an error.
+    Layers: [input, 256, 128, classes] (sigmoid hidden layers, softmax output). A branch is used if it is named, unless
+    its switch is off; a switch that is on without a named column of the table is an error, and so is no branch at all.
+    Branches of several tables are joined by key first (see ``join_branches``); a row's null branch counts as zeros.
+    ``scale_numeric`` centres and scales the numeric branch (an array) by what the training rows hold.
     """
-    chosen = [c for c, use in ((text_col, use_text), (numeric_col, use_numeric), (embedding_col, use_embedding))
-              if use and c]
+    named = {"text": (text_col, use_text), "numeric": (numeric_col, use_numeric), "embedding": (embedding_col, use_embedding)}
+    for name, (c, use) in named.items():
+        if (use and not c) or (c and use is not False and c not in df.columns):
+            raise ValueError(f"the {name} branch is to be used, but the table has no column {c or 'for it'}")
+    chosen = [c for c, use in named.values() if c and use is not False]
     if not chosen:
         raise ValueError("at least one branch (text, numeric or embedding) must be used")
-    x = df
-    for c in chosen:
-        x = _as_vector(x, c)
-    asm = VectorAssembler(inputCols=chosen, outputCol="_fused")
-    x = spread(cut_lineage(asm.transform(x).select("_fused", label_col)))
-    dim = len(x.first()["_fused"])  # input width from one row
+    rows = spread(cut_lineage(df.select(*chosen, label_col)))
+    widths = [_width(rows, c) for c in chosen]
+    scaling = {numeric_col: _scaling(rows, numeric_col, widths[chosen.index(numeric_col)])} if scale_numeric and numeric_col in chosen else {}
+    x = spread(cut_lineage(_assemble(rows, chosen, widths, scaling).select("_fused", label_col)))
     k = n_classes or _n_classes(x, label_col)
-    mlp = MultilayerPerceptronClassifier(featuresCol="_fused", labelCol=label_col, layers=[dim, *hidden, k],
+    mlp = MultilayerPerceptronClassifier(featuresCol="_fused", labelCol=label_col, layers=[sum(widths), *hidden, k],
                                          maxIter=max_iter, seed=seed)
-    return FusedModel(chosen, mlp.fit(x))
+    return FusedModel(chosen, mlp.fit(x), widths, scaling)
+
+
+def join_branches(base: DataFrame, key: str, *branches: DataFrame) -> DataFrame:
+    """I4: ``base`` with the columns of each branch table of that key; a key that a branch lacks gets nulls.
+
+    Each branch must hold one row a key. Nothing is broadcast by force: a branch can be as large as the base.
+    """
+    out = base
+    for b in branches:
+        out = out.join(b, key, "left")
+    return out
+
+
+def forward(weights: list[float], layers: list[int]):
+    """A perceptron's class probabilities from its weights, as a batch model for ``score_with``."""
+    def make():
+        import numpy as np
+
+        w, parts, at = np.asarray(weights), [], 0
+        for n_in, n_out in zip(layers[:-1], layers[1:]):
+            parts.append((w[at:at + n_in * n_out].reshape(n_in, n_out), w[at + n_in * n_out:at + (n_in + 1) * n_out]))
+            at += (n_in + 1) * n_out
+
+        def predict(x):
+            x = np.asarray(x, dtype=np.float64)
+            for a, b in parts[:-1]:
+                x = 0.5 + 0.5 * np.tanh((x @ a + b) / 2)  # the logistic function, without overflow
+            z = x @ parts[-1][0] + parts[-1][1]
+            e = np.exp(z - z.max(axis=1, keepdims=True))
+            return (e / e.sum(axis=1, keepdims=True)).astype(np.float32)
+        return predict
+    return make
 
 
 def train_embedding_only(df: DataFrame, embedding_col: str = "embedding", label_col: str = "label",
                          hidden: int = 256, max_iter: int = 100, seed: int = 42) -> FusedModel:
     """Precomputed embedding -> 256 -> classes."""
-    return train_fused(df, label_col, embedding_col=embedding_col, use_text=False, use_numeric=False,
-                       use_embedding=True, hidden=(hidden,), max_iter=max_iter, seed=seed)
+    return train_fused(df, label_col, embedding_col=embedding_col, hidden=(hidden,), max_iter=max_iter, seed=seed)

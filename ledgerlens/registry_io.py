@@ -18,7 +18,7 @@ from .registry import query, rnd
 from .registry_models import logistic, prepared
 from .session import ensure_checkpoint_dir, table
 from .sources import persist, readers, writers
-from .streaming.score_stream import start_scoring
+from .streaming.score_stream import batch_sink, start_scoring
 
 
 def scratch(spark, name: str) -> str:
@@ -209,7 +209,37 @@ def k8_score_stream(spark, d):
     lr = logistic(spark, d)
     writers.write_table(fx.invoice_lines_nulls(spark, d).drop("Product_Category"), inp, "csv")
     start_scoring(spark, inp, out, ckpt, model, lr).awaitTermination()
-    streamed = spark.read.parquet(out)
+    return _against_batch(spark, spark.read.parquet(out), inp, model, lr)
+
+
+@query("k8_stream_restart")
+def k8_stream_restart(spark, d):
+    """K8 in four starts from one checkpoint: files arrive before each of the first three, none before the last.
+
+    Starts one and two go through the file sink in batches of two files; the same files also go through the batch sink, in other
+    steps. Each must hold every line once, as batch scoring gives it.
+    """
+    inp, out, out2, ckpt, ckpt2 = (scratch(spark, n) for n in ("k8r-in", "k8r-out", "k8r-out2", "k8r-ckpt", "k8r-ckpt2"))
+    model, _, _ = prepared(spark, d)
+    lr = logistic(spark, d)
+    lines = fx.invoice_lines_nulls(spark, d).drop("Product_Category")
+    part = F.pmod(F.xxhash64("Inv_Id"), F.lit(3))
+    for step in range(4):
+        if step < 3:
+            writers.write_table(lines.where(part == step).repartition(5), inp, "csv", mode="append")
+        start_scoring(spark, inp, out, ckpt, model, lr, max_files_per_trigger=2).awaitTermination()
+        if step != 1:  # the second sink sees the files of two steps at once
+            start_scoring(spark, inp, out2, ckpt2, model, lr, max_files_per_trigger=4, sink=batch_sink(out2)).awaitTermination()
+    one = _against_batch(spark, spark.read.parquet(out), inp, model, lr)
+    two = _against_batch(spark, spark.read.parquet(out2).drop("batch_id"), inp, model, lr).select(
+        "Inv_Id", "Vendor_Code", "GL_Code", F.col("n_rows").alias("n2"), F.col("same_as_batch").alias("s2"))
+    return one.join(two, ["Inv_Id", "Vendor_Code", "GL_Code"], "full").select(
+        "Inv_Id", "Vendor_Code", "GL_Code", "n_rows", (F.col("same_as_batch") & F.col("s2")).alias("same_as_batch"),
+        (F.col("n_rows") == F.col("n2")).alias("same_in_both"))
+
+
+def _against_batch(spark, streamed, inp, model, lr):
+    """Per line key, the streamed rows and whether they are those of batch scoring of the same files."""
     batch = predict_batch(readers.scan_invoice_lines(spark, inp, labelled=False), model, lr)
 
     def lines(df, side):

@@ -19,7 +19,8 @@ from .functions import docs, text
 from .operators import encode
 from .operators.split import random_split, split_hash
 from .plans import score, train
-from .plans.preprocess import FeaturePipeline, prepare_test, prepare_train
+from .plans.features import text_to_features
+from .plans.preprocess import FeaturePipeline, TextBranch, prepare_test, prepare_train
 from .registry import query, rnd
 from .session import cut_lineage, table
 
@@ -158,15 +159,56 @@ FIT_DOCS = 1000  # documents that the fused model is fitted on, at most
 def i4_train_fused(spark, d):
     """I4: text (5,000 terms) + numeric branches of the documents -> language, perceptron 256-128."""
     def make():
-        x, langs = _doc_branches(spark, d)
+        x, langs = fitted(spark, d, "doc_branches", lambda: _doc_branches(spark, d))
         rows = bounded(x.where(~F.col("is_val")), "doc_id", FIT_DOCS)
-        return x, langs, train.train_fused(rows, text_col="text_vec", numeric_col="numeric_vec", use_embedding=False,
-                                           max_iter=100)
+        return x, langs, train.train_fused(rows, text_col="text_vec", numeric_col="numeric_vec", max_iter=100)
     x, langs, fused = fitted(spark, d, "fused", make)
     val = score.scored(fused.assemble(x.where("is_val")), fused.model, langs, keep_probabilities=True)
     return _checked(val, langs, "doc_id", "lang")
 
 
+def _same_forward(x: DataFrame, fused, keep) -> DataFrame:
+    """Whether the model's probabilities are those that its weights give for the assembled branches."""
+    own = fused.model.transform(fused.assemble(x)).select(*keep, vector_to_array("_fused").alias("x"),
+                                                          vector_to_array("probability").alias("p"), "prediction")
+    layers = list(fused.model.getLayers())
+    again = score.score_with(own, train.forward(fused.model.weights.toArray().tolist(), layers), "x", n_outputs=layers[-1],
+                             out="q", input_dim=layers[0])
+    near = F.forall(F.zip_with("p", "q", lambda a, b: F.abs(a - b) < 1e-4), lambda ok: ok)
+    return again.select(*keep, "prediction", near.alias("same_forward"))
+
+
+def _three_branches(spark, d):
+    """Documents with text and numeric branches, joined by id with the embeddings (null where a document has none).
+
+    The class is language, whether the document has more than 400 words, and the sign of its vector's first component: each
+    branch holds a part of it that the others do not.
+    """
+    x, langs = fitted(spark, d, "doc_branches", lambda: _doc_branches(spark, d))
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    j = train.join_branches(x.withColumnRenamed("label", "lang_idx"), "doc_id", e)
+    wide = F.coalesce((F.get("embedding", F.lit(0)) > 0).cast("int"), F.lit(0))
+    long = (F.get("numeric_vec", F.lit(1)) > F.log1p(F.lit(400.0))).cast("int")
+    return j.withColumn("label", F.col("lang_idx") * 4 + long * 2 + wide), langs
+
+
+@query("i4_three_branches")
+def i4_three_branches(spark, d):
+    """I4: text, numeric and embedding branches in one model, joined by key; right on most held-out documents."""
+    def make():
+        x, _ = _three_branches(spark, d)
+        x = cut_lineage(x)
+        rows = bounded(x.where(~F.col("is_val") & F.col("embedding").isNotNull()), "doc_id", FIT_DOCS)
+        return x, train.train_fused(rows, text_col="text_vec", numeric_col="numeric_vec", embedding_col="embedding", max_iter=150,
+                                    n_classes=16, scale_numeric=True)
+    x, fused = fitted(spark, d, "three_branches", make)
+    got = _same_forward(x.withColumn("no_vector", F.col("embedding").isNull()), fused, ["doc_id", "lang", "label", "is_val", "no_vector"])
+    got = cut_lineage(got)
+    hits = got.where(F.col("is_val") & ~F.col("no_vector")).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).scalar()
+    return got.select("doc_id", "lang", F.col("label").cast("int").alias("class"), "no_vector", "same_forward",
+                      (hits > 0.6).alias("mostly_right"))
+
+
 def _embedding_rows(spark, d):
     e = fx.image_branch(spark, d).withColumn("label", F.col("label").cast("double"))
     return fitted(spark, d, "embeddings", lambda: cut_lineage(random_split(e, "vec_id", 0.2, 42)))
@@ -242,8 +284,7 @@ def _order_status_model(spark, d):
         classes = encode.fit_dictionary(status, "o_orderstatus")
         lab = encode.encode_lookup(f.join(status, "o_orderkey"), "o_orderstatus", classes, "label")
         lab = lab.withColumn("label", F.col("label").cast("double"))
-        return train.train_fused(bounded(lab, "o_orderkey"), numeric_col="numeric_features", use_text=False,
-                                 use_embedding=False, max_iter=100), classes
+        return train.train_fused(bounded(lab, "o_orderkey"), numeric_col="numeric_features", max_iter=100), classes
     return fitted(spark, d, "order_status", make)
 
 
@@ -267,6 +308,70 @@ def k5_predict_from_text(spark, d):
                       F.col("Confidence").between(1 / 3 - TINY, 1 + TINY).alias("confidence_in_range"))
 
 
+DOC_CLASSES = ["neither", "bolt", "ring", "bolt and ring"]
+
+
+def _item_words(f: DataFrame) -> DataFrame:
+    """Class index by the words that a document's items hold."""
+    has = [F.array_contains(F.split("item_descriptions", " "), w).cast("int") for w in ("bolt", "ring")]
+    return f.withColumn("label", (has[0] + 2 * has[1]).cast("double"))
+
+
+def _document_model(spark, d, name: str, features):
+    """(text branch, fused model of text and numbers, classes): which of two words a document's items hold."""
+    def make():
+        f = cut_lineage(_item_words(features()))
+        branch = TextBranch.fit(f, max_features=1000)
+        rows = bounded(f, "o_orderkey")
+        rows = branch(rows.withColumn("numeric_features", docs.numeric_vector(rows)))
+        fused = train.train_fused(rows, text_col="text_features", numeric_col="numeric_features", max_iter=100, n_classes=4,
+                                  scale_numeric=True)
+        return branch, fused, spark.createDataFrame(list(enumerate(DOC_CLASSES)), "idx int, value string")
+    return fitted(spark, d, name, make)
+
+
+def _json_model(spark, d):
+    return _document_model(spark, d, "json_model", lambda: docs.feature_table(fx.invoice_docs(spark, d), keep=("file_name", "o_orderkey")))
+
+
+def _text_scored(out: DataFrame, classes: DataFrame, *keep) -> DataFrame:
+    """What a wrong text branch or model fails: entries of the text vector, unit length, most classes right."""
+    u = F.unwrap_udt(F.col("text_features"))["values"]
+    norm = F.aggregate(u, F.lit(0.0), lambda a, x: a + x * x)
+    x = _item_words(out).select(*keep, F.size(F.filter(u, lambda w: w != 0)).alias("n_terms"),
+                                ((F.abs(norm - 1) < 1e-9) | (norm == 0)).alias("unit_length"),
+                                _known(classes, F.col("Predicted_Category")).alias("label_known"),
+                                (F.col("Predicted_Category") == F.element_at(F.array(*map(F.lit, DOC_CLASSES)), F.col("label").cast("int") + 1))
+                                .alias("_hit"))
+    x = cut_lineage(x)
+    return x.withColumn("mostly_right", x.agg(F.avg(F.col("_hit").cast("double"))).scalar() > 0.8).drop("_hit")
+
+
+@query("k4_json_text_branch")
+def k4_json_text_branch(spark, d):
+    """K4 with a fitted text branch: JSON documents (broken ones too) -> text and numeric vectors -> class."""
+    branch, fused, classes = _json_model(spark, d)
+    out = score.predict_from_json(fx.invoice_docs_broken(spark, d), fused, text_model=branch, class_dict=classes)
+    return _text_scored(out, classes, "file_name", "num_items")
+
+
+@query("k5_text_branch")
+def k5_text_branch(spark, d):
+    """K5 with a fitted text branch: invoice text -> document -> text and numeric vectors -> class."""
+    branch, fused, classes = _document_model(spark, d, "text_model", lambda: text_to_features(fx.invoice_text(spark, d), keep=("o_orderkey",)))
+    out = score.predict_from_text(fx.invoice_text(spark, d), fused, classes, keep=("o_orderkey",), text_model=branch)
+    return _text_scored(out, classes, "o_orderkey").withColumn("has_terms", F.col("n_terms") > 0).drop("n_terms")
+
+
+@query("k4_same_forward")
+def k4_same_forward(spark, d):
+    """K4: probabilities of every document are those that the fitted weights give for its assembled branches."""
+    branch, fused, _ = _json_model(spark, d)
+    f = docs.feature_table(fx.invoice_docs_broken(spark, d), keep=("file_name",))
+    f = branch(f.withColumn("numeric_features", docs.numeric_vector(f)))
+    return _same_forward(f, fused, ["file_name"]).select("file_name", "same_forward")
+
+
 def _linear_scores(weights, bias):
     """K6: the user's batch model is a fitted weight matrix."""
     def make():
