@@ -99,7 +99,7 @@ class Pair:
         self.fast = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         self.b_space = self.b.piece_to_id("\u2581")
-        self.a_bytes = pa.array([_byte_level(self.a.id_to_token(i)) for i in range(self.a.get_vocab_size())], pa.binary())
+        self.a_bytes = pa.array([byte_level(self.a.id_to_token(i)) for i in range(self.a.get_vocab_size())], pa.binary())
         self.b_bytes = pa.array([_piece_bytes(self.b, i) for i in range(self.b.get_piece_size())], pa.binary())
         size = max(len(self.a_bytes), len(self.b_bytes))
         # Decimal ids, each followed by one of the three separators.
@@ -149,7 +149,7 @@ def _merge_ranks(spec: dict) -> dict[bytes, int] | None:
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     made = [vocab[x + y] for x, y in pairs]
     special = {t["content"] for t in spec.get("added_tokens", [])}
-    ranks = {_byte_level(t): i for t, i in vocab.items() if t not in special}
+    ranks = {byte_level(t): i for t, i in vocab.items() if t not in special}
     plain = made == sorted(set(made)) and len(ranks) == 256 + len(made) and all(bytes([b]) in ranks for b in range(256))
     return ranks if plain else None
 
@@ -164,7 +164,7 @@ def _byte_level_table() -> dict[str, int]:
 _BYTE = _byte_level_table()
 
 
-def _byte_level(token: str) -> bytes:
+def byte_level(token: str) -> bytes:
     """The bytes that a byte-level entry stands for."""
     return bytes(_BYTE[c] for c in token) if all(c in _BYTE for c in token) else token.encode()
 

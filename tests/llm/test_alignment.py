@@ -33,7 +33,7 @@ def plain(rows):
             out.append(none)
             continue
         ia, ib = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
-        ba = [alignment._byte_level(a.id_to_token(i)) for i in ia]
+        ba = [alignment.byte_level(a.id_to_token(i)) for i in ia]
         bb = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ib]
         if not b"".join(ba) == b"".join(bb) == (" " + text).encode():
             out.append(none)
