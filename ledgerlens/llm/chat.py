@@ -22,7 +22,7 @@ by ``column_turns`` without JSON, whatever the length of their texts. Records of
 unknown layout, broken JSON or a string above 20,000,000 characters (Spark's JSON
 parsers give null there) come back with a null mapping from ``canonical_turns``
 (``unmapped`` lists them); ``format_turns`` fails on them, none is dropped without a
-word. Other columns are never read.
+word. Struct columns of several layouts go through the same fingerprints (``struct_turns``). Other columns are never read.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START, END = "<|im_start|>", "<|im_end|>"
 TURN = "array<struct<at:int,role:string,text:string>>"
@@ -161,6 +162,66 @@ def column_turns(rows: DataFrame, *, record_cols: tuple[str, ...], conv_col: str
     return out.select("conv", "turn", "at", "role", "text", F.lit(layout.name).alias("layout"))
 
 
+def _emptied(value: Column, kind: T.DataType) -> Column:
+    """A value's shape without its contents: texts are empty, arrays have one element at most."""
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[_emptied(value[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(F.slice(value, 1, 1), lambda x: _emptied(x, kind.elementType))
+    return F.lit("")
+
+
+def _has(kind: T.DataType, layout: Layout) -> bool:
+    """Whether a struct type has all fields of a layout."""
+    names = {f.name: f.dataType for f in kind.fields} if isinstance(kind, T.StructType) else {}
+    if layout.array is None:
+        return all(p in names for _, p in layout.fixed)
+    path, role, text = layout.array
+    if path:
+        inner = names[path].elementType if isinstance(names.get(path), T.ArrayType) else None
+        names = {f.name: f.dataType for f in inner.fields} if isinstance(inner, T.StructType) else {}
+    return role in names and text in names
+
+
+def _struct_turns(layout: Layout, record: Column) -> Column:
+    """``_turns`` of a struct column."""
+    if layout.array is None:
+        items = F.array(*[_turn(F.lit(i), F.lit(role), record[path].cast("string")) for i, (role, path) in enumerate(layout.fixed)])
+        must = [i for i, (_, path) in enumerate(layout.fixed) if path not in layout.optional]
+        return F.filter(items, lambda t: t["at"].isin(must) | (t["text"] != ""))
+    path, role, text = layout.array
+    if not path:
+        return F.array(_turn(F.lit(0), F.coalesce(record[role].cast("string"), F.lit("")), record[text].cast("string")))
+    return F.transform(record[path], lambda x, i: _turn(i, _role(x[role].cast("string")), x[text].cast("string")))
+
+
+def struct_turns(rows: DataFrame, *, record_cols: tuple[str, ...], conv_col: str, turn_col: str,
+                 layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """``canonical_turns`` of rows whose record is one of the struct columns ``record_cols`` (the first that is not null).
+
+    Each row's fingerprint is taken of its record's shape, in which every text is empty, so that texts of any length
+    stay out of the JSON; the fingerprint selects the mapping, which reads the texts from the struct.
+    """
+    kinds = {c: rows.schema[c].dataType for c in record_cols}
+    shape = F.coalesce(*[F.when(F.col(c).isNotNull(), F.to_json(_emptied(F.col(c), kinds[c]), {"ignoreNullFields": "false"}))
+                         for c in record_cols])
+    src = rows.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
+                      *[F.col(c).alias(f"r{i}") for i, c in enumerate(record_cols)], fingerprint(shape).alias("print"))
+    chosen, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
+    for lay in reversed(layouts):
+        for i, c in reversed(list(enumerate(record_cols))):
+            if _has(kinds[c], lay):
+                first = F.col(f"r{i}").isNotNull()
+                for j in range(i):
+                    first = first & F.col(f"r{j}").isNull()
+                hit = first & (F.col("print") == F.xxhash64(F.lit(expected_text(lay.paths))))
+                chosen = F.when(hit, F.lit(lay.name)).otherwise(chosen)
+                turns = F.when(hit, _struct_turns(lay, F.col(f"r{i}"))).otherwise(turns)
+    out = src.select("conv", "turn", chosen.alias("layout"), F.explode_outer(turns.cast(TURN)).alias("t"))
+    return out.select("conv", "turn", F.col("t.at").alias("at"), F.col("t.role").alias("role"),
+                      F.col("t.text").alias("text"), "layout")
+
+
 def unmapped(turns: DataFrame) -> DataFrame:
     """Rows of ``canonical_turns`` whose record no mapping fits."""
     return turns.where("layout IS NULL")
@@ -200,7 +261,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """(conv, turns, loss_texts): turns parsed from the text, and the unescaped texts under the mask.
 
     The marks can't occur inside roles or texts, so splitting at them finds the turns.
-    A turn's text is under the mask where its run's ``take`` covers it.
+    A turn's text is under the mask where its run's ``take`` covers it; a run that covers part of a turn is an error.
     """
     parts = F.slice(F.split("formatted", r"<\|im_start\|>"), 2, 1 << 30)
     role = F.transform(parts, lambda p: F.struct(F.substring_index(p, "\n", 1).alias("role"), p.alias("p")))
@@ -208,7 +269,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
         c["p"], F.length(c["role"]) + 2, F.length(c["p"]) - F.length(c["role"]) - 2 - len(END)).alias("text")))
     out = formatted.select("conv", "formatted", "loss_runs", body.alias("b"))
     turns = F.transform("b", lambda x: F.struct(unescape(x["role"]).alias("role"), unescape(x["text"]).alias("text")))
-    lost = F.filter(F.arrays_zip("b", "loss_runs"),
-                    lambda z: (z["loss_runs"]["take"] > 0) & (z["loss_runs"]["take"] == F.length(z["b"]["text"])))
+    odd = F.raise_error(F.concat(F.lit("a loss run covers no whole turn, conversation "),
+                                 F.coalesce(F.col("conv").cast("string"), F.lit("null")))).cast("boolean")
+    lost = F.filter(F.arrays_zip("b", "loss_runs"), lambda z: F.when(z["loss_runs"]["take"] == 0, False).when(
+        z["loss_runs"]["take"] == F.length(z["b"]["text"]), True).otherwise(odd))
     return out.select("conv", "formatted", turns.alias("turns"),
                       F.transform(lost, lambda z: unescape(z["b"]["text"])).alias("loss_texts"))

@@ -107,6 +107,36 @@ def test_columns_give_the_turns_of_their_json(spark):
         chat.column_turns(df, record_cols=("role",), conv_col="conv_id", turn_col="turn")
 
 
+def test_structs_of_several_layouts_go_through_their_fingerprints(spark):
+    records = [("p", {"prompt": "q <|", "completion": "a"}), ("m", {"messages": [{"role": "Human", "content": "q"}, {"role": "gpt", "content": "a"}]}),
+               ("s", {"system": None, "prompt": "q", "response": "a"}), ("r", {"role": None, "text": "x\n"}), ("m", {"messages": []}),
+               ("o", {"foo": "?"}), (None, None)]
+    kinds = {"p": "struct<prompt:string,completion:string>", "m": "struct<messages:array<struct<role:string,content:string>>>",
+             "s": "struct<system:string,prompt:string,response:string>", "r": "struct<role:string,text:string>", "o": "struct<foo:string>"}
+    rows = [(i, 0, *[r if k == kind else None for k in kinds]) for i, (kind, r) in enumerate(records)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, " + ", ".join(f"{k} {t}" for k, t in kinds.items()))
+    got = chat.struct_turns(df, record_cols=tuple(kinds), conv_col="conv_id", turn_col="turn")
+    js = df.withColumn("record", F.coalesce(*[F.when(F.col(k).isNotNull(), F.to_json(k, {"ignoreNullFields": "false"})) for k in kinds]))
+    want = chat.canonical_turns(js, record_col="record", conv_col="conv_id", turn_col="turn")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.conv: r.layout for r in got.collect()} == {0: "prompt_completion", 1: "messages", 2: "system_prompt_response", 3: "turn_row",
+                                                         4: None, 5: None, 6: None}
+
+
+def test_the_query_reads_mixed_layouts(spark, sf):
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = chat.struct_turns(queries.mixed_records(rows), record_cols=("row", "messages", "dialog"), conv_col="conv_id", turn_col="turn")
+    n = {r.layout: r.n for r in turns.groupBy("layout").agg(F.count("*").alias("n")).collect()}
+    assert set(n) == {"turn_row", "messages", "dialog"} and min(n.values()) > 0.2 * rows.count()
+
+
+def test_a_run_that_covers_part_of_a_turn_is_an_error(spark):
+    t = chat.format_turns(chat.canonical_turns(frame(spark, [{"prompt": "q", "completion": "abc"}]), record_col="record", conv_col="conv_id", turn_col="turn"))
+    short = t.withColumn("loss_runs", F.transform("loss_runs", lambda r: F.struct(r["skip"].alias("skip"), F.least(r["take"], F.lit(2)).alias("take"))))
+    with pytest.raises(Exception, match="covers no whole turn, conversation 0"):
+        chat.read_back(short).collect()
+
+
 def test_formatting_fails_on_unmapped_records(spark):
     t = chat.canonical_turns(frame(spark, [{"foo": 1}, {"prompt": "q", "completion": "a"}]),
                              record_col="record", conv_col="conv_id", turn_col="turn")
