@@ -87,6 +87,9 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, per_class: i
 
 
 def sample_rows(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame) -> DataFrame:
-    """Texts of the sampled ids (a bounded set, so broadcast): (_id, _y, _w, _text), one row per id."""
+    """Texts of the sampled ids (a bounded set, so broadcast): (_id, _y, _w, _text), one row per id.
+
+    Of the rows of a repeated id the smallest text counts, so that a fit does not depend on their order.
+    """
     d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return d.join(F.broadcast(sample), "_id").dropDuplicates(["_id"])
+    return d.join(F.broadcast(sample), "_id").groupBy("_id", "_y", "_w").agg(F.min("_text").alias("_text"))

@@ -72,7 +72,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str, text_col:
     first = Window.partitionBy("_dom").orderBy(F.xxhash64("_id"), "_id")
     chosen = rows.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= sample).drop("_at")
     texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-             .join(F.broadcast(chosen), "_id").dropDuplicates(["_id", "_dom"]))
+             .join(F.broadcast(chosen), "_id").groupBy("_id", "_dom").agg(F.min("_t").alias("_t")))  # of repeated ids the smallest text
     counts = _exploded(texts, ["_dom"], "_t").groupBy("_bucket").pivot("_dom", domains).count()
     # Positions instead of the names that pivot() makes from the domains.
     counts = counts.toDF("_bucket", *[f"c{i}" for i in range(len(domains))])
@@ -92,10 +92,10 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def posteriors(docs: DataFrame, domains: list[str], model: DataFrame, *, key_col: str, text_col: str) -> DataFrame:
-    """(key, tokens, post): words of each document and its posterior over ``domains`` as an array.
+    """(key, rows, tokens, post): rows of each key, words of one of them, and its posterior over ``domains`` as an array.
 
-    Rows that share a key are one document whose words add up. The mean log-likelihood of the words counts as
-    tokens / (1 + tokens / SATURATION) words, so long documents stay soft too.
+    The log-likelihood of the words counts as if there were tokens / (1 + tokens / SATURATION) of them, so long
+    documents stay soft too. Rows that share a key are the same document, each with these words and this posterior.
     """
     k = len(domains)
     prior = F.lit(list(model.where("_bucket = -1").first()["_ll"]))
@@ -103,17 +103,15 @@ def posteriors(docs: DataFrame, domains: list[str], model: DataFrame, *, key_col
     rows = _exploded(docs.select(F.col(key_col).alias("_key"), F.col(text_col).alias("_t")), ["_key"], "_t")
     sums = (rows.join(table, "_bucket").groupBy("_key")
             .agg(F.count("*").alias("tokens"), *[F.sum(f"_l{i}").alias(f"_s{i}") for i in range(k)]))
-    scale = 1.0 / (1.0 + F.col("tokens") / SATURATION)
-    logit = F.array(*[F.col(f"_s{i}") * scale + prior[i] for i in range(k)])
-    scored = sums.select("_key", "tokens", logit.alias("_z"))
+    wanted = docs.select(F.col(key_col).alias("_key")).groupBy("_key").agg(F.count("*").alias("rows"))
+    sums = wanted.join(sums, "_key", "left").withColumn("tokens", F.coalesce((F.col("tokens") / F.col("rows")).cast("long"), F.lit(0)))
+    scale = 1.0 / (1.0 + F.col("tokens") / SATURATION) / F.col("rows")
+    logit = F.array(*[F.coalesce(F.col(f"_s{i}") * scale, F.lit(0.0)) + prior[i] for i in range(k)])
+    scored = sums.select("_key", "rows", "tokens", logit.alias("_z"))
     soft = F.transform("_z", lambda z: F.exp(z - F.array_max("_z")))
-    scored = scored.select("_key", "tokens", soft.alias("_e"))
+    scored = scored.select("_key", "rows", "tokens", soft.alias("_e"))
     norm = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
-    scored = scored.select("_key", "tokens", F.transform("_e", lambda x: x / norm).alias("post"))
-    wanted = docs.select(F.col(key_col).alias("_key")).distinct()
-    even = F.transform(prior, lambda z: F.exp(z))
-    return (wanted.join(scored, "_key", "left")
-            .select("_key", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("post", even).alias("post")))
+    return scored.select("_key", "rows", "tokens", F.transform("_e", lambda x: x / norm).alias("post"))
 
 
 def source_shares(docs: DataFrame, *, key: Column, source_col: str) -> tuple[list[str | None], DataFrame]:
@@ -159,6 +157,7 @@ def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, source
               steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[DataFrame, list[float], list[float]]:
     """(``post`` with ``rate``, expected totals reached, targets) for a stored table of posteriors.
 
+    A document counts as many times as it has ``rows`` (1 where ``post`` lacks that column).
     ``targets`` maps the totals at rate 1 to the wanted totals; with ``sources`` (then
     ``post`` has a column ``sources``) those of the domains and, after them, those of
     the sources, the smaller sum raised to the other. Rates are at least
@@ -171,6 +170,7 @@ def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, source
     k = domains + sources
     base = max(1.0, least)
     prices, step = np.zeros(k), np.zeros(k)
+    times = F.col("rows") if "rows" in post.columns else F.lit(1)
     want = np.zeros(0)
     vec = F.transform("post", lambda p, i: F.struct(i.alias("i"), p.alias("p")))
     if sources:
@@ -184,7 +184,7 @@ def fit_rates(post: DataFrame, targets=tempered_targets, *, domains: int, source
         return F.aggregate("_v", F.lit(0.0), lambda a, x: a + x["p"] * F.get(table, x["i"]))
 
     def measure(at: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-        row = post.select(F.col("tokens").cast("double").alias("_w"), vec.alias("_v"))
+        row = post.select((F.col("tokens").cast("double") * times).alias("_w"), vec.alias("_v"))
         row = row.withColumn("_z", F.lit(base) + along(at))
         # Rates at the bound may rise from it, so they count as not cut.
         live = F.when(F.col("_z") >= least, F.col("_w")).otherwise(0.0)

@@ -80,6 +80,18 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+def mixed_records(rows: DataFrame) -> DataFrame:
+    """Conversation rows as records of three layouts, dealt by a hash; roles that a layout would rewrite stay turn rows."""
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    kind = F.when(F.col("role").isin("user", "assistant", "system"), F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))).otherwise(0)
+    message = F.array(F.struct(role.alias("role"), text.alias("content")))
+    said = F.array(F.struct(role.alias("speaker"), text.alias("text")))
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 0, F.struct("role", "text")).alias("row"),
+        F.when(kind == 1, F.struct(message.alias("messages"))).alias("messages"),
+        F.when(kind == 2, F.struct(said.alias("dialog"))).alias("dialog"))
+
+
 @_register
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as marked text, read back; one more conversation has the marks in its texts."""
@@ -88,7 +100,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), marks.alias("text"))
     rows = rows.unionByName(extra)
-    turns = chat.column_turns(rows, record_cols=("role", "text"), conv_col="conv_id", turn_col="turn")
+    turns = chat.struct_turns(mixed_records(rows), record_cols=("row", "messages", "dialog"), conv_col="conv_id", turn_col="turn")
     back = chat.read_back(chat.format_turns(turns))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss_texts", "")
@@ -141,8 +153,13 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard of every document from the broadcast lookup table."""
-    return sharding.place(read_table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+    """Every whole document written to its shard; placement of the rows read back, which must be the folder they lie in."""
+    path = shared_path(spark)
+    folder = sharding.write_shards(read_table(spark, sf_dir, "documents"), SHARDS, path, tasks_per_shard=4)
+    back = spark.read.parquet(path).select("doc_id", F.col(folder).alias("_folder"))
+    placed = sharding.place(back, SHARDS, keep=("_folder",))
+    wrong = F.raise_error(F.lit("a document lies in another shard than its own")).cast("string")
+    return placed.select("doc_id", "slot", F.when(F.col("shard") == F.col("_folder"), F.col("shard")).otherwise(wrong).alias("shard"))
 
 
 @_register

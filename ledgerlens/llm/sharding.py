@@ -63,11 +63,14 @@ def table_frame(spark: SparkSession, shards: list[str], size: int = TABLE_SIZE)
     return spark.createDataFrame(rows, "slot long, shard string")
 
 
-def place(rows: DataFrame, shards: list[str], *, key_col: str = "doc_id", size: int = TABLE_SIZE) -> DataFrame:
-    """(key, slot, shard) of every row; one broadcast hash join, no shuffle."""
-    keyed = rows.select(F.col(key_col).alias("_k")).select(F.col("_k"), slot_of(F.col("_k"), size).alias("slot"))
+def place(rows: DataFrame, shards: list[str], *, key_col: str = "doc_id", size: int = TABLE_SIZE,
+          keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, slot, shard) and the columns ``keep`` of every row; one broadcast hash join, no shuffle."""
+    keyed = rows.select(F.col(key_col).alias("_k"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)])
+    keyed = keyed.withColumn("slot", slot_of(F.col("_k"), size))
     table = F.broadcast(table_frame(rows.sparkSession, shards, size))
-    return keyed.join(table, "slot").select(F.col("_k").alias(key_col), "slot", "shard")
+    return keyed.join(table, "slot").select(F.col("_k").alias(key_col), "slot", "shard",
+                                            *[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)])
 
 
 def write_shards(rows: DataFrame, shards: list[str], path: str, *, key_col: str = "doc_id",
@@ -84,7 +87,9 @@ def write_shards(rows: DataFrame, shards: list[str], path: str, *, key_col: str
     key = F.col(names[rows.columns.index(key_col)])
     table = F.broadcast(table_frame(rows.sparkSession, shards, size))
     out = rows.toDF(*names).withColumn("slot", slot_of(key, size)).join(table, "slot")
-    salt = F.pmod(F.xxhash64(key), F.lit(tasks_per_shard))
+    # By the whole row, so that the rows of a repeated key are spread over the shard's tasks too.
+    hashable = [n for n, f in zip(names, rows.schema.fields, strict=True) if f.dataType.typeName() not in ("map", "variant")]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(tasks_per_shard))
     out = out.repartition(len(shards) * tasks_per_shard, "shard", salt).select(*names, "shard")
     out.toDF(*rows.columns, folder).write.partitionBy(folder).parquet(path)
     return folder

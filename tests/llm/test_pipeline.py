@@ -1,6 +1,7 @@
 """The pipeline against its stages done by hand, and the SQL of the queries that have it."""
 
 import base64
+import hashlib
 import os
 
 import duckdb
@@ -17,7 +18,7 @@ from ledgerlens.session import TABLES
 from tests.llm.test_simhash import brute_fingerprint, brute_groups
 from tools.oracle_check import _rows
 
-SQL_NAMES = ("op4_embedding_near_dedup", "op5_chat_format", "op10_sharding")
+SQL_NAMES = ("op4_embedding_near_dedup", "op5_chat_format", "op10_sharding", "op13_centroid_clustering")
 
 
 @pytest.mark.parametrize("name", SQL_NAMES)
@@ -33,9 +34,9 @@ def test_query_matches_its_sql(spark, sf, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, cur.fetchall())
 
 
-def test_all_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_stages_match_brute_force(spark, sf):
@@ -76,6 +77,7 @@ def test_stages_match_brute_force(spark, sf):
     for r in got:
         ids = lib.encode_ordinary(rows[r.doc_id].text)
         assert bytes(r.ids) == np.array(ids, "<u4").tobytes() and r.n_tokens == len(ids)
+        assert r.decoded_sha256 == hashlib.sha256(rows[r.doc_id].text.encode()).hexdigest()
 
 
 def test_stages_take_edge_rows_and_empty_tables(spark, sf, docs):
