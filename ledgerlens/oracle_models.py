@@ -72,6 +72,14 @@ _VAL = """r AS (
 SQL["g10_prepare_train"] = with_(INVOICE_LINES, _VAL) + """SELECT Inv_Id, rn < round(CAST(0.2 AS DOUBLE) * n) AS is_val,
   CAST(dense_rank() OVER (ORDER BY Product_Category) - 1 AS DOUBLE) AS label FROM r"""
 
+_TRAIN = """parted AS (
+  SELECT *, row_number() OVER (PARTITION BY Product_Category ORDER BY md5('42|' || Inv_Id)) - 1
+      < round(CAST(0.2 AS DOUBLE) * count(*) OVER (PARTITION BY Product_Category)) AS is_val FROM invoice_lines),
+train_lines AS (SELECT * FROM parted WHERE NOT is_val)"""
+SQL["g10_fit_on_train"] = with_(INVOICE_LINES, _TRAIN, *_vectors("train_lines", "parted", "")) + """
+SELECT r.Inv_Id, r.is_val, CAST(e.idx AS INTEGER) AS idx, round(e.weight, 6) AS weight
+FROM entries e JOIN a_rows r USING (rid) WHERE e.weight <> 0"""
+
 # ---------------------------------------------------------------------------------------------------
 # I, J7, K: what every fitted model must satisfy
 
@@ -81,6 +89,9 @@ for _name in ("i1_train_logistic", "i2_train_forest"):
   TRUE AS confidence_is_max, TRUE AS sums_to_one, {_CLASSES} AS n_classes, TRUE AS beats_majority
 FROM r WHERE rn < round(CAST(0.2 AS DOUBLE) * n)"""
 
+SQL["i1_recomputed"] = with_(INVOICE_LINES, _VAL) + """SELECT Inv_Id, TRUE AS same_probabilities, TRUE AS confidence_is_max
+FROM r WHERE rn < round(CAST(0.2 AS DOUBLE) * n)"""
+
 SQL["i3_top_importances"] = """SELECT CAST(i AS INTEGER) AS rank, TRUE AS name_known, TRUE AS positive, TRUE AS in_order
 FROM range(1, 11) t(i)"""
 
@@ -113,9 +124,9 @@ SQL["k4_predict_from_json"] = with_(ORDER_DOCS) + """SELECT 'inv_' || CAST(o_ord
   CAST(CASE WHEN o_orderkey % 23 = 0 THEN 0 ELSE n_items END AS INTEGER) AS num_items, TRUE AS label_known,
   TRUE AS confidence_in_range FROM order_docs"""
 
-SQL["k5_predict_from_text"] = with_(INVOICE_TEXT) + f"""SELECT o_orderkey,
-  {o.first_match_sql('text', o.INVOICE_NUMBER_PATTERNS)} AS invoice_number,
-  {o.first_match_sql('text', [o.TOTAL_PATTERN])} AS total, TRUE AS label_known, TRUE AS confidence_in_range FROM invoice_text"""
+SQL["k5_predict_from_text"] = with_(INVOICE_TEXT) + """SELECT o_orderkey,
+  CAST(o_orderkey AS VARCHAR) AS invoice_number, total_text AS total, TRUE AS label_known, TRUE AS confidence_in_range
+FROM invoice_text"""
 
 SQL["i4_three_branches"] = """WITH lang AS (
   SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS idx FROM (SELECT DISTINCT lang FROM documents))
@@ -157,6 +168,8 @@ SQL["a1_scan_invoice_lines"] = with_(INVOICE_LINES_NULLS) + """SELECT Inv_Id, Ve
 SQL["a2_scan_invoice_json_csv"] = o._features_sql(True, ["file_name", "seller_name", "client_name", "num_items",
                                                          "total_items_price", "total"])
 
+SQL["a2_land_invoice_json_csv"] = SQL["a2_scan_invoice_json_csv"]
+
 SQL["a3_scan_invoice_json_files"] = """WITH by_block AS (
   SELECT c_nationkey, c_custkey // 100 AS block, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS v, count(*) AS k
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)

@@ -70,7 +70,9 @@ INVOICE_TEXT = """text_items AS (
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY l.l_orderkey),
 invoice_text AS (
-  SELECT o.o_orderkey,
+  SELECT o.o_orderkey, s.s_name, c.c_name, ti.item_lines, strftime(o.o_orderdate, '%m/%d/%Y') AS date_text,
+         CAST(coalesce(ti.tax_dec, CAST(0 AS DECIMAL(15,2))) AS VARCHAR) AS tax_text,
+         CAST(CAST(o.o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS total_text,
          'Invoice no: ' || CAST(o.o_orderkey AS VARCHAR) || chr(10) ||
          'Date: ' || strftime(o.o_orderdate, '%m/%d/%Y') || chr(10) ||
          'Seller: ' || coalesce(s.s_name, '') || chr(10) ||

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import add_terms
 from ..operators import encode
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 
 # Defaults for missing line fields.
 LINE_DEFAULTS = {
@@ -134,13 +134,17 @@ class FeaturePipeline:
     test_size: float = 0.2
     seed: int = 42
 
-    def fit(self, df: DataFrame, label_col: str | None = "Product_Category") -> FeaturePipelineModel:
+    def fit(self, df: DataFrame, label_col: str | None = "Product_Category", materialise: bool = True) -> FeaturePipelineModel:
         """Fit dictionaries, vocabulary and scaler on ``df`` (after filling defaults).
 
         Three passes: term counts, distinct codes of all dictionaries, and one
-        aggregate for row count, mean and deviation.
+        aggregate for row count, mean and deviation. They read a checkpoint of the columns they need, so the plan behind
+        ``df`` runs once; switch ``materialise`` off where ``df`` is a stored table already.
         """
         x = fill_defaults(df)
+        if materialise:
+            needed = [self.text_col, "Inv_Amt", "Vendor_Code", "GL_Code", label_col]
+            x = spread(cut_lineage(x.select(*[c for c in dict.fromkeys(needed) if c in x.columns])))
         row = x.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("Inv_Amt").cast("double")).alias("m"),
                     F.stddev_pop(F.col("Inv_Amt").cast("double")).alias("s")).first()
         stats = encode.term_stats(x, self.text_col, 2)
@@ -198,20 +202,23 @@ class TextBranch:
 def prepare_train(df: DataFrame, pipeline: FeaturePipeline | None = None, test_size: float | None = None,
                   seed: int | None = None, label_col: str = "Product_Category", fit_on: str = "all"):
     """Fill, fit (on all rows by default, as the reference; ``fit_on='train'`` fits on training rows only),
-    encode the class, split (H1). Returns (model, features with ``is_val``, class dictionary)."""
+    encode the class, split (H1). The input's plan runs once: its checkpoint is split, fitted on and transformed.
+    Returns (model, features with ``is_val``, class dictionary)."""
     from ..operators.split import stratified_split
 
     pipeline = pipeline or FeaturePipeline()
     if test_size is not None or seed is not None:
         pipeline = replace(pipeline, test_size=pipeline.test_size if test_size is None else test_size,
                            seed=pipeline.seed if seed is None else seed)
-    x = fill_defaults(df)
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
+    x = spread(cut_lineage(fill_defaults(df)))
     split = stratified_split(x, label_col, pipeline.id_col, pipeline.test_size, pipeline.seed)
     if fit_on == "train":
         split = cut_lineage(split)
-        model = pipeline.fit(split.where(~F.col("is_val")), label_col)
+        model = pipeline.fit(split.where(~F.col("is_val")), label_col, materialise=False)
     else:
-        model = pipeline.fit(x, label_col)
+        model = pipeline.fit(x, label_col, materialise=False)
     feats = model.transform(split)
     return model, feats, model.class_dict
 

@@ -100,6 +100,14 @@ def g10_prepare_train(spark, d):
     return feats.select("Inv_Id", "is_val", "label")
 
 
+@query("g10_fit_on_train")
+def g10_fit_on_train(spark, d):
+    """G10 without leaks: vocabulary, dictionaries and scaler from the training rows alone, every line's vector entries."""
+    feats = fitted(spark, d, "fit_on_train", lambda: cut_lineage(prepare_train(
+        fx.invoice_lines(spark, d), FeaturePipeline(), 0.2, 42, fit_on="train")[1].select("Inv_Id", "is_val", "features")))
+    return rnd(encode.vector_entries(feats, "features", ["Inv_Id", "is_val"]))
+
+
 @query("g11_prepare_test")
 def g11_prepare_test(spark, d):
     """A pipeline fitted without the last suppliers, applied to all lines with nulls and unseen vendors."""
@@ -115,6 +123,27 @@ def i1_train_logistic(spark, d):
     return _validated(spark, d, logistic(spark, d))
 
 
+@query("i1_recomputed")
+def i1_recomputed(spark, d):
+    """Each validation line's class probabilities from its vector entries and the fitted weights, joined and summed in SQL."""
+    model, classes = logistic(spark, d), prepared(spark, d)[2]
+    feats = prepared(spark, d)[1].where("is_val").withColumn("_row", F.monotonically_increasing_id())
+    feats = cut_lineage(feats.select("_row", "Inv_Id", "features"))
+    weights = model.coefficientMatrix.toArray().T.tolist()  # features by classes: bounded by the vocabulary
+    table = F.broadcast(spark.createDataFrame(list(enumerate(weights)), "idx int, w array<double>"))
+    k = len(model.interceptVector)
+    per = encode.vector_entries(feats, "features", ["_row"]).join(table, "idx").groupBy("_row").agg(
+        *[F.sum(F.col("weight") * F.col("w")[i]).alias(f"z{i}") for i in range(k)])
+    logits = F.array(*[F.coalesce(F.col(f"z{i}"), F.lit(0.0)) + F.lit(float(b)) for i, b in enumerate(model.interceptVector)])
+    own = feats.join(per, "_row", "left").withColumn("z", logits).select("_row", "Inv_Id", "features", "z")
+    soft = F.transform("z", lambda x: F.exp(x - F.array_max("z")))
+    own = own.withColumn("e", soft).withColumn("p", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, y: a + y)))
+    got = score.scored(own.select("_row", "Inv_Id", "features", "p"), model, classes, keep_probabilities=True)
+    near = F.forall(F.zip_with("p", "probabilities", lambda a, b: F.abs(a - b) < 1e-6), lambda ok: ok)
+    best = F.abs(F.array_max("p") - F.col("Confidence")) < 1e-6
+    return got.select("Inv_Id", near.alias("same_probabilities"), best.alias("confidence_is_max"))
+
+
 @query("i2_train_forest")
 def i2_train_forest(spark, d):
     """100 trees of depth 20, scored on the validation lines."""
