@@ -10,8 +10,10 @@ A document's quality is the length-weighted mean of its lines' probabilities,
 turned into a probability of label 1 by a logistic curve fitted on the sample.
 
 The model is fitted on a bounded sample (``SAMPLE`` labelled rows of each class at
-most); each line of a sampled text carries its document's label. Whole texts are
-read. Null text counts as empty: one empty line. Repeated rows score alike.
+most, of each the middle ``SAMPLE_LINES`` lines at most); a line of a sampled text carries its document's label. So
+that the chain learns to change between good and bad within a text, each sampled text also enters with a block of
+lines of a text of the other class put inside, each line with the label of the text it comes from.
+Whole texts are read for scores. Null text counts as empty: one empty line. Repeated rows score alike.
 Without labelled rows of both classes all texts score that share (0.5 without
 any label). Other columns are never read.
 """
@@ -30,6 +32,8 @@ from ledgerlens.llm.common import codepoints, labelled_sample, sample_rows, slic
 from ledgerlens.llm.linear import log_loss, minimise, sigmoid
 
 SAMPLE = 1500  # labelled rows of each class that the model is fitted on, at most
+SAMPLE_LINES = 2000  # lines of a sampled text that the model is fitted on, at most
+BLOCK_LINES = 12  # lines of another text put into a sampled one, at most
 LEVELS = (0.01, 0.03, 0.08, 0.15, 0.3, 0.5, 0.8)
 LENGTHS = (1, 20, 60, 150, 400, 1000, 4000)
 # Character kinds.
@@ -207,16 +211,37 @@ def document_means(p: np.ndarray, length: np.ndarray, lines: np.ndarray) -> np.n
     return np.add.reduceat(p * w, at) / np.add.reduceat(w, at)
 
 
+def mixed_chains(lines: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every text as it is and with a block of the other class inside: (line of each place, lines, labels of places, weights)."""
+    rng = np.random.default_rng(5)
+    start = np.cumsum(lines) - lines
+    other = {c: np.flatnonzero(y != c) for c in (0.0, 1.0)}
+    at, n, label, weight = [np.arange(int(lines.sum()))], [lines], [np.repeat(y, lines)], [w]
+    for i in range(len(lines)):
+        j = int(rng.choice(other[float(y[i])]))
+        many = int(rng.integers(1, min(BLOCK_LINES, int(lines[j])) + 1))
+        put = int(rng.integers(0, int(lines[i]) + 1))
+        took = start[j] + int(rng.integers(0, int(lines[j]) - many + 1)) + np.arange(many)
+        mine = start[i] + np.arange(int(lines[i]))
+        at.append(np.concatenate([mine[:put], took, mine[put:]]))
+        label.append(np.concatenate([np.full(put, y[i]), np.full(many, 1.0 - y[i]), np.full(len(mine) - put, y[i])]))
+        n.append(np.array([len(mine) + many]))
+        weight.append(w[i:i + 1])
+    return tuple(np.concatenate(x) for x in (at, n, label, weight))
+
+
 def fit_sample(own: np.ndarray, length: np.ndarray, lines: np.ndarray, y: np.ndarray, w: np.ndarray) -> QualityModel:
     """Maximum likelihood of the line labels with a small penalty, then the documents' curve."""
     flat = np.zeros(3 * WIDTH + 1)
     share = float((w * y).sum() / w.sum()) if len(y) else 0.5
     if not len(y) or not 0.0 < share < 1.0:
         return QualityModel(flat, np.zeros((2, 2)), 0.0, 30.0 * (2.0 * share - 1.0))
+    place, chain, yl, wc = mixed_chains(lines, y, w)
+    plain = (own, lines)
+    own, lines = own[place], chain
     first, last = _edges(lines)
-    yl, wl = np.repeat(y, lines), np.repeat(w, lines)
-    # A text counts once, however many lines it has.
-    wl = wl / np.repeat(lines, lines)
+    # A chain counts once, however many lines it has.
+    wl = np.repeat(wc / lines, lines)
     wl /= wl.sum()
     inner = np.flatnonzero(~last)
     yi = yl.astype(int)
@@ -248,6 +273,7 @@ def fit_sample(own: np.ndarray, length: np.ndarray, lines: np.ndarray, y: np.nda
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         x = x - 0.08 * (m / (1 - 0.9 ** i)) / (np.sqrt(v / (1 - 0.99 ** i)) + 1e-8) * (1.0 if i < 80 else 0.3)
     weights, trans = x[:-4], x[-4:].reshape(2, 2)
+    own, lines = plain
     q = _logit(document_means(marginals(_node(own, lines, weights), trans, lines)[0], length, lines))
     wn = w / w.sum()
 
@@ -269,10 +295,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             for part in slices(batch, "_text"):
                 own, length, lines = line_features(texts_of(part, "_text"))
-                at = np.cumsum(lines)
                 bits = np.packbits(own.astype(bool), axis=1)
-                packed = [bits[b - n:b].tobytes() for b, n in zip(at, lines, strict=True)]
-                size = [length[b - n:b].astype("<i8").tobytes() for b, n in zip(at, lines, strict=True)]
+                spans = [(b - n + (n - m) // 2, b - n + (n - m) // 2 + m) for b, n, m in zip(
+                    np.cumsum(lines).tolist(), lines.tolist(), np.minimum(lines, SAMPLE_LINES).tolist(), strict=True)]
+                packed = [bits[a:b].tobytes() for a, b in spans]
+                size = [length[a:b].astype("<i8").tobytes() for a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(3)), pa.array(packed, pa.binary()), pa.array(size, pa.binary())],
                     names=["id", "y", "w", "bits", "size"])

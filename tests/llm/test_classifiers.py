@@ -107,3 +107,48 @@ def test_reject_keeps_columns_and_rows(spark, docs):
     kept = toxicity.reject(clash, model, 0.7)
     assert kept.schema == clash.schema and kept.count() == clash.count()
     assert toxicity.reject(clash, model, 0.0).count() == 0
+
+
+def test_mixed_chains_hold_a_block_of_the_other_class():
+    lines, y, w = np.array([3, 1, 30, 2]), np.array([1.0, 0.0, 0.0, 1.0]), np.array([1.0, 2.0, 3.0, 4.0])
+    at, n, label, weight = quality.mixed_chains(lines, y, w)
+    of = np.repeat(np.arange(4), lines)
+    assert n[:4].tolist() == lines.tolist() and at[:36].tolist() == list(range(36)) and weight.tolist() == [*w, *w]
+    assert len(at) == len(label) == n.sum() and (label == y[of[at]]).all()
+    begin = np.cumsum(n) - n
+    for i in range(4):
+        chain = at[begin[4 + i]:begin[4 + i] + n[4 + i]]
+        own = chain[of[chain] == i]
+        put = chain[of[chain] != i]
+        assert (np.diff(own) == 1).all() and len(own) == lines[i]  # the text itself, whole and in order
+        assert 1 <= len(put) <= quality.BLOCK_LINES and (np.diff(put) == 1).all() and set(y[of[put]]) == {1.0 - y[i]}
+        where = np.flatnonzero(of[chain] != i)
+        assert (np.diff(where) == 1).all()
+
+
+def test_bad_lines_inside_good_documents_are_found(spark):
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    model = queries.fit_quality(docs, labels.select("doc_id", "quality"))
+    held = docs.join(labels, "doc_id").where(queries.id_remainder("doc_id", 5) == 0).orderBy("doc_id").select("text", "quality").collect()
+    good = [r.text.split("\n") for r in held if r.quality == 1 and r.text.count("\n") >= 6]
+    bad = [r.text.split("\n")[:4] for r in held if r.quality == 0 and r.text.count("\n") >= 3]
+    assert len(good) > 100 and len(bad) > 50
+    hits = np.zeros((2, 2), int)
+    for i, g in enumerate(good):
+        b, k = bad[i % len(bad)], len(g) // 2
+        p, _, _ = quality.label_lines(model, ["\n".join(g[:k] + b + g[k:])])
+        truth = np.array([1] * k + [0] * len(b) + [1] * (len(g) - k))
+        np.add.at(hits, (truth, (p >= 0.5).astype(int)), 1)
+    assert hits[0, 0] / hits[0].sum() >= 0.85 and hits[1, 1] / hits[1].sum() >= 0.98
+
+
+def test_fit_takes_bounded_lines_of_a_text(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 5)
+    seen = []
+    real = quality.fit_sample
+    monkeypatch.setattr(quality, "fit_sample", lambda own, length, lines, y, w: seen.append(lines) or real(own, length, lines, y, w))
+    docs = spark.createDataFrame([(1, "a b c.\n" * 40), (2, "!!! |||\n" * 3), (3, "x")], "doc_id long, text string")
+    quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int"))
+    assert sorted(seen[0].tolist()) == [1, 4, 5]
