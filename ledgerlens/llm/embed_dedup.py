@@ -10,6 +10,9 @@ dimensions; what the rest can add is at most the product of the suffix norms, an
 a pair stops once that can't reach the threshold. What is left is decided by the
 cosine of the original vectors in double precision.
 
+Equal vectors are one vector with a number of copies, so a common vector is compared once; its copies count in the numbers
+of links and share its component.
+
 Vectors that are null, zero, hold null or non-finite components, or have another
 length than most, link with nothing. Of rows with one id but different vectors
 the smallest valid vector stands for the id. One row per input row; rows without
@@ -170,9 +173,12 @@ def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, axes: np.ndarray
 def links(vectors: DataFrame, *, threshold: float = 0.9, tile: int = TILE) -> DataFrame:
     """(kind, a, b) for valid vectors (id long, vec array): kind 0, id and direct links; kind 1, a link.
 
-    Links of kind 1 connect what all links connect: a spanning forest for each pair of tiles.
+    Links of kind 1 connect what all links connect: a spanning forest for each pair of tiles. With a column ``copies``
+    a link to a vector counts as many times as that has copies.
     """
     spark = vectors.sparkSession
+    if "copies" not in vectors.columns:
+        vectors = vectors.withColumn("copies", F.lit(1).cast("long"))
     head = vectors.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
     n, d = head["n"], head["d"] or 1
     most = max(64, min(SAMPLE, SAMPLE_BYTES // (8 * d)))
@@ -193,8 +199,7 @@ def links(vectors: DataFrame, *, threshold: float = 0.9, tile: int = TILE) -> Da
                 if len(rows):
                     part = batch.take(pa.array(rows))
                     fill = [pa.array(np.full(len(rows), v, np.int32)) for v in (lo, hi, mine)]
-                    yield pa.RecordBatch.from_arrays([*fill, part.column(0), part.column(1)],
-                                                     names=["lo", "hi", "mine", "id", "vec"])
+                    yield pa.RecordBatch.from_arrays([*fill, *part.columns], names=["lo", "hi", "mine", "id", "vec", "copies"])
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -204,10 +209,12 @@ def links(vectors: DataFrame, *, threshold: float = 0.9, tile: int = TILE) -> Da
         x = matrix(group.column("vec").combine_chunks())
         at = np.flatnonzero(mine == lo)
         to = at if lo == hi else np.flatnonzero(mine == hi)
+        copies = group.column("copies").to_numpy()
         degree, forest = np.zeros(len(ids), np.int64), Forest(len(ids))
         for p, q in close_pairs(x[at], x[to], threshold, tiles.value.axes, lo == hi):
             p, q = at[p], to[q]
-            degree += np.bincount(p, minlength=len(ids)) + np.bincount(q, minlength=len(ids))
+            np.add.at(degree, p, copies[q])
+            np.add.at(degree, q, copies[p])
             forest.link(p, q)
         has = np.flatnonzero(degree)
         pairs = np.array(forest.links, np.int64).reshape(-1, 2)
@@ -216,7 +223,7 @@ def links(vectors: DataFrame, *, threshold: float = 0.9, tile: int = TILE) -> Da
                          "b": np.concatenate([degree[has], ids[pairs[:, 1]]])})
 
     vec_type = vectors.schema["vec"].dataType.simpleString()
-    dealt = vectors.select("id", "vec").mapInArrow(deal, f"lo int, hi int, mine int, id long, vec {vec_type}")
+    dealt = vectors.select("id", "vec", "copies").mapInArrow(deal, f"lo int, hi int, mine int, id long, vec {vec_type}, copies long")
     return dealt.groupBy("lo", "hi").applyInArrow(compare, "kind int, a long, b long")
 
 
@@ -236,11 +243,17 @@ def usable(vectors: DataFrame, *, id_col: str, vec_col: str) -> DataFrame:
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding",
                     threshold: float = 0.9) -> DataFrame:
     """(id, n_links, component_id, kept): one row per input row."""
-    found = staged(links(usable(vectors, id_col=id_col, vec_col=vec_col), threshold=threshold))
+    use = staged(usable(vectors, id_col=id_col, vec_col=vec_col))
+    classes = staged(use.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")).select("id", "vec", "copies"))
+    found = staged(links(classes, threshold=threshold))
     degree = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("n"))
     parts = components(found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")))
-    ids = vectors.select(F.col(id_col).alias("id"))
-    out = ids.join(degree, F.col("id") == F.col("a"), "left").join(parts, F.col("id") == F.col("node"), "left")
-    comp = F.coalesce("component", "id")
-    return out.select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"),
+    # A class by its smallest id; only members of classes with copies need to look theirs up.
+    more = classes.where("copies > 1").select("vec", F.col("id").alias("_first"), "copies")
+    members = use.join(more, "vec").select(F.col("id").alias("_member"), "_first", "copies")
+    ids = vectors.select(F.col(id_col).alias("id")).join(members, F.col("id") == F.col("_member"), "left")
+    ids = ids.select("id", F.coalesce("_first", "id").alias("_first"), (F.coalesce("copies", F.lit(1)) - 1).alias("_twins"))
+    out = ids.join(degree, F.col("_first") == F.col("a"), "left").join(parts, F.col("_first") == F.col("node"), "left")
+    comp = F.coalesce("component", "_first")
+    return out.select("id", (F.coalesce("n", F.lit(0)) + F.col("_twins")).cast("long").alias("n_links"), comp.alias("component_id"),
                       F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))
