@@ -7,7 +7,9 @@ little. Its naive Bayes log-count ratio compares the summed features of toxic an
 other sampled texts. The buckets whose features are most clearly higher in toxic
 texts (by their t-statistic) are kept, scaled by their ratios, and weighed by a
 logistic regression. All that is fitted on a bounded sample (``SAMPLE`` rows of
-each class at most) of the labelled rows; scoring reads all rows and whole texts.
+each class at most) of the labelled rows; scoring reads all rows and whole texts. So that a toxic passage
+is not lost in a long text, the same weights also score every window of ``WINDOW`` characters (half overlapping) of a text
+longer than two of them; the text's score is its highest.
 
 Null text counts as empty; empty and very short texts score by the intercept.
 Repeated rows score alike. Without labelled rows of both classes every text
@@ -34,6 +36,7 @@ FEATURES = 5000  # buckets that the regression weighs (at most 65,536: slots tra
 SMOOTHING = 0.1  # added to a bucket's summed features in either class
 UNIT = 65535  # features are summed as whole numbers of this part, so sums don't depend on their order
 PER = 600  # characters for which an n-gram's occurrences are counted, about 100 words
+WINDOW = 2000  # characters of a window of a long text
 PENALTY = 0.02
 _MIX = np.uint32(0x9E3779B1)
 _BASE = np.uint32(0x01000193)
@@ -53,9 +56,9 @@ def _lower_table() -> np.ndarray:
 _LOWER = _lower_table()
 
 
-def _saturating(n: np.ndarray, text: str) -> np.ndarray:
-    """Occurrences per ``PER`` characters, r, as r / (1 + r)."""
-    rate = n * (PER / max(len(text), 1))
+def _saturating(n: np.ndarray, size: int) -> np.ndarray:
+    """Occurrences per ``PER`` characters, r, as r / (1 + r), in a text of ``size`` characters."""
+    rate = n * (PER / max(size, 1))
     return rate / (1.0 + rate)
 
 
@@ -67,6 +70,10 @@ class Hasher:
 
     def grams(self, text: str) -> np.ndarray:
         """Buckets of all n-grams, repeats included."""
+        return self._grams(text)[0]
+
+    def _grams(self, text: str) -> tuple[np.ndarray, list[int]]:
+        """(buckets of all n-grams, by n and place; their number for each n)."""
         cp = codepoints(text)
         cp = np.where(cp < 1 << 16, _LOWER[np.minimum(cp, 0xFFFF)], cp)
         space = cp == 32
@@ -80,7 +87,7 @@ class Hasher:
             h = h[:-1] * _BASE + cp[n - 1:]
             if n in ORDERS:
                 parts.append(((h ^ (h >> np.uint32(15))) * _MIX + np.uint32(n * 7919)) >> np.uint32(32 - BITS))
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), [len(p) for p in parts]
 
     def distinct(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(distinct buckets, their features)."""
@@ -89,13 +96,31 @@ class Hasher:
         self.marks[idx] = at
         own = self.marks[idx]
         found = idx[own == at]
-        return found, _saturating(np.bincount(own, minlength=len(idx))[self.marks[found]], text)
+        return found, _saturating(np.bincount(own, minlength=len(idx))[self.marks[found]], len(text))
 
     def features(self, text: str, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slots of the kept buckets that the text holds, their features)."""
         s = slot[self.grams(text)]
         found, n = np.unique(s[s >= 0], return_counts=True)
-        return found, _saturating(n, text)
+        return found, _saturating(n, len(text))
+
+    def margin(self, text: str, slot: np.ndarray, weights: np.ndarray) -> float:
+        """The highest weighted sum of features of the text and of its windows."""
+        idx, sizes = self._grams(text)
+        s = slot[idx]
+        kept = np.flatnonzero(s >= 0)
+        s = s[kept].astype(np.int64)
+        found, n = np.unique(s, return_counts=True)
+        whole = float((weights[found] * _saturating(n, len(text))).sum())
+        if len(text) <= 2 * WINDOW or not len(s):
+            return whole
+        # A window is two neighbouring halves; an n-gram belongs to the half that it begins in.
+        half = (kept - np.repeat(np.cumsum(sizes) - sizes, sizes)[kept]) // (WINDOW // 2)
+        many = int(half.max()) + 1
+        both = np.concatenate([half, half - 1]) * len(weights) + np.concatenate([s, s])
+        pair, n = np.unique(both[both >= 0], return_counts=True)
+        sums = np.bincount(pair // len(weights), weights=weights[pair % len(weights)] * _saturating(n, WINDOW), minlength=many)
+        return max(whole, float(sums.max()))
 
 
 @dataclass(frozen=True)
@@ -196,8 +221,7 @@ def score_texts(model: ToxicityModel, texts: list[str], hasher: Hasher | None =
     hasher = hasher or Hasher()
     z = np.empty(len(texts))
     for i, t in enumerate(texts):
-        at, value = hasher.features(t, model.slot)
-        z[i] = (model.weights[at] * value).sum()
+        z[i] = hasher.margin(t, model.slot, model.weights) if len(model.weights) else 0.0
     return sigmoid(z + model.bias)
 
 

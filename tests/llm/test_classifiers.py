@@ -152,3 +152,55 @@ def test_fit_takes_bounded_lines_of_a_text(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c.\n" * 40), (2, "!!! |||\n" * 3), (3, "x")], "doc_id long, text string")
     quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int"))
     assert sorted(seen[0].tolist()) == [1, 4, 5]
+
+
+def test_margin_is_the_highest_of_text_and_windows(monkeypatch):
+    monkeypatch.setattr(toxicity, "WINDOW", 40)
+    rng = np.random.default_rng(4)
+    h = toxicity.Hasher()
+    slot = np.full(1 << toxicity.BITS, -1, np.int32)
+    for size in (0, 3, 70, 81, 400):
+        text = "".join(rng.choice(list("abcd ef"), size)).strip()
+        seen = np.unique(h.grams(text))
+        slot[:] = -1
+        slot[seen[::2]] = np.arange(len(seen[::2]))
+        weights = rng.normal(size=max(1, len(seen[::2])))
+        at, value = h.features(text, slot)
+        best = float((weights[at] * value).sum())
+        if len(text) > 80:
+            cp = f" {' '.join(text.split())} "
+            halves = {}
+            for n in toxicity.ORDERS:
+                for i in range(len(cp) - n + 1):
+                    s = slot[h_one(h, cp[i:i + n], n)]
+                    if s >= 0:
+                        for w in (i // 20, i // 20 - 1):
+                            if w >= 0:
+                                halves.setdefault(w, {}).setdefault(int(s), 0)
+                                halves[w][int(s)] += 1
+            for counts in halves.values():
+                rate = {s: c * toxicity.PER / 40 for s, c in counts.items()}
+                best = max(best, sum(weights[s] * r / (1 + r) for s, r in rate.items()))
+        assert np.isclose(h.margin(text, slot, weights), best)
+
+
+def h_one(hasher, gram, n):
+    """Bucket of one n-gram of plain lower-case text."""
+    code = np.uint32(ord(gram[0]))
+    with np.errstate(over="ignore"):
+        for c in gram[1:]:
+            code = code * toxicity._BASE + np.uint32(ord(c))
+        return int(((code ^ (code >> np.uint32(15))) * toxicity._MIX + np.uint32(n * 7919)) >> np.uint32(32 - toxicity.BITS))
+
+
+def test_toxic_passage_inside_a_long_clean_text(spark):
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    model = queries.fit_toxicity(docs, labels.select("doc_id", "toxic"))
+    held = docs.join(labels, "doc_id").where(queries.id_remainder("doc_id", 3) == 1).orderBy("doc_id").select("text", "toxic").collect()
+    clean = [r.text for r in held if r.toxic == 0 and len(r.text) > 20_000]
+    toxic = [r.text[:1500] for r in held if r.toxic == 1][:40]
+    assert (toxicity.score_texts(model, clean) < queries.TOXIC_AT).all()
+    inside = [c[:len(c) // 2] + "\n" + t + "\n" + c[len(c) // 2:] for c, t in zip(clean * 40, toxic)]
+    assert (toxicity.score_texts(model, inside) >= queries.TOXIC_AT).mean() >= 0.5
