@@ -69,7 +69,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = staged(docs)
+        out = stage(spark, docs, sf_dir)
+        docs = staged(out, instead_of=docs) if i < len(STAGES) - 1 else out
     return docs
