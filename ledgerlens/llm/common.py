@@ -22,11 +22,27 @@ def shared_path(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it back (lineage ends there)."""
+def staged(df: DataFrame, *, instead_of: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back (lineage ends there).
+
+    ``instead_of``, a staged table that nothing will read any more, is deleted once ``df`` is written.
+    """
     path = shared_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    if instead_of is not None:
+        drop_staged(instead_of)
+    return out
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a table that ``staged`` returned; any other table is left alone."""
+    at = getattr(df, "_staged_at", None)
+    if at:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -66,7 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (u long, v long).
 
     Loops and repeated edges are harmless; nulls are dropped; an empty table gives
-    an empty one. Each round is written to the shared checkpoint folder; the
+    an empty one. Each round is written to the shared checkpoint folder in place of the last one; the
     driver sees only a count and a checksum of the edges.
     """
     cur = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -77,7 +77,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now[0] == 0 or now == before:
             break
         before = now
-        cur = staged(_small(_large(cur)))
+        cur = staged(_small(_large(cur)), instead_of=cur)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = cur.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))

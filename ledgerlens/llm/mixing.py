@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import staged
 
 SAMPLE = 500  # labelled documents of each domain that the classifier is fitted on, at most
+PARTS = 64  # of a domain, ranked apart before the domain
 OTHER = "other"  # the one domain where no row has a label
 BUCKETS = 4096  # word buckets
 SATURATION = 40.0  # words after which more words hardly sharpen a posterior
@@ -69,8 +70,12 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str, text_col:
     if not domains:
         return [OTHER], spark.range(-1, BUCKETS).select(
             F.col("id").cast("int").alias("_bucket"), F.array(F.lit(0.0)).alias("_ll"))
-    first = Window.partitionBy("_dom").orderBy(F.xxhash64("_id"), "_id")
-    chosen = rows.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= sample).drop("_at")
+    # Ranked within parts of a domain first, so that no task gets a domain that holds a third of all rows.
+    chosen = rows.withColumn("_part", F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(PARTS)).cast("int"))
+    for by in (("_dom", "_part"), ("_dom",)):
+        first = Window.partitionBy(*by).orderBy(F.xxhash64("_id"), "_id")
+        chosen = chosen.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= sample).drop("_at")
+    chosen = chosen.drop("_part")
     texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
              .join(F.broadcast(chosen), "_id").groupBy("_id", "_dom").agg(F.min("_t").alias("_t")))  # of repeated ids the smallest text
     counts = _exploded(texts, ["_dom"], "_t").groupBy("_bucket").pivot("_dom", domains).count()

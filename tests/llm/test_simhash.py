@@ -103,3 +103,17 @@ def test_components_of_paths_stars_and_loops(spark):
     assert {got[i] for i in range(41)} == {0} and {got[100 + i] for i in range(60)} == {100}
     assert got[300] == got[200] == 200
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_staged_tables_go_once_replaced(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from ledgerlens.llm.common import drop_staged, staged
+
+    one = staged(spark.range(5))
+    two = staged(one.where("id > 1"), instead_of=one)
+    assert not os.path.exists(urlparse(one._staged_at).path) and sorted(r.id for r in two.collect()) == [2, 3, 4]
+    drop_staged(spark.range(3))  # not a staged table
+    again = staged(two, instead_of=spark.range(1))
+    assert two.count() == again.count() == 3
