@@ -77,9 +77,9 @@ def codepoints(text: str) -> np.ndarray:
 
 
 def id_remainder(id_col: str | Column, modulus: int) -> Column:
-    """crc32 of the id written as text, modulo ``modulus`` (null ids: null)."""
+    """crc32 of the id written as text (null: the empty text), modulo ``modulus``."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod(F.crc32(F.encode(c.cast("string"), "UTF-8")), F.lit(modulus))
+    return F.pmod(F.crc32(F.encode(F.coalesce(c.cast("string"), F.lit("")), "UTF-8")), F.lit(modulus))
 
 
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, per_class: int) -> DataFrame:

@@ -180,7 +180,7 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of every document by the bigram model of nine tenths of them."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = id_remainder(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 10) == 0
+    held_out = id_remainder("doc_id", 10) == 0
     model = ngram_lm.fit(docs.where(~held_out), shared_path(spark), text_col="text", order=LM_ORDER)
     scored = ngram_lm.score(docs, model, text_col="text", keep=("doc_id",))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",

@@ -204,3 +204,9 @@ def test_toxic_passage_inside_a_long_clean_text(spark):
     assert (toxicity.score_texts(model, clean) < queries.TOXIC_AT).all()
     inside = [c[:len(c) // 2] + "\n" + t + "\n" + c[len(c) // 2:] for c, t in zip(clean * 40, toxic)]
     assert (toxicity.score_texts(model, inside) >= queries.TOXIC_AT).mean() >= 0.5
+
+
+def test_null_ids_count_as_the_empty_text(spark):
+    df = spark.createDataFrame([(None,), (7,)], "doc_id long")
+    got = [r[0] for r in df.select(queries.id_remainder("doc_id", 3)).collect()]
+    assert got[0] == 0 and got[1] is not None
