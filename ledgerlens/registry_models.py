@@ -31,9 +31,11 @@ _FITTED: dict = {}
 
 
 def fitted(spark, d: str, name: str, make):
-    """``make()`` once per Spark application, input folder and name."""
+    """``make()`` once per Spark application, input folder and name; what other folders left is let go."""
     key = (spark.sparkContext.applicationId, d, name)
     if key not in _FITTED:
+        for old in [k for k in _FITTED if k[:2] != key[:2]]:
+            del _FITTED[old]
         _FITTED[key] = make()
     return _FITTED[key]
 
