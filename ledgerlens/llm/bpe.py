@@ -18,6 +18,7 @@ by row; extra columns are dropped unless named in ``keep``.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import sys
 import unicodedata
@@ -259,6 +260,11 @@ class Merger:
             yield b"".join(found[a:b]), (starts[a:b] - at).astype("<u4").tobytes()
 
 
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes of little-endian unsigned 32-bit ids."""
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 _MERGERS: dict[int, Merger] = {}
 
 
@@ -275,16 +281,20 @@ def _ranks(df: DataFrame, rank_path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, rank_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+           digest: str | None = None) -> DataFrame:
     """One row per input row: the kept columns, ``ids`` and ``piece_starts``.
 
     Both are little-endian unsigned 32-bit integers in a binary: token ids, and
     for each slice its first code point in the text. The rank file (under a
-    megabyte, read on the driver) is broadcast; texts are never cut.
+    megabyte, read on the driver) is broadcast; texts are never cut. ``digest`` names one more column, the SHA-256 of
+    the ids decoded again by the same worker.
     """
     ranks = _ranks(docs, rank_path)
     src = docs.select(*keep, F.col(text_col).alias("_text"))
     schema = docs.select(*keep).schema.add("ids", "binary").add("piece_starts", "binary")
+    if digest:
+        schema = schema.add(digest, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _merger(ranks.value)
@@ -293,28 +303,55 @@ def encode(docs: DataFrame, rank_path: str, text_col: str = "text", keep: tuple[
                 for part in slices(batch, "_text"):
                     got = list(m.encode(texts_of(part, "_text")))
                     cols = [part.column(i) for i in range(len(keep))]
-                    yield pa.RecordBatch.from_arrays(
-                        [*cols, pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())],
-                        names=[*keep, "ids", "piece_starts"])
+                    cols += [pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())]
+                    if digest:
+                        cols.append(pa.array([hashlib.sha256(m.decode(g[0])).hexdigest() for g in got]))
+                    yield pa.RecordBatch.from_arrays(cols, names=schema.names)
         finally:
             m.cache.clear()  # the worker lives on; the next task may be another operator's
 
     return src.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per input row: the kept columns and ``decoded``, the bytes of the ids (null ids: empty)."""
+def slice_bytes(decoded: bytes, ids: np.ndarray, widths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """First byte of each slice in the decoded text, from its first code point; each must be the first byte of a token."""
+    raw = np.frombuffer(decoded, np.uint8)
+    first = np.flatnonzero((raw & 0xC0) != 0x80)[starts]  # of each code point: not a continuation byte
+    ends = np.cumsum(widths[ids])
+    if len(first) and not np.isin(first[1:], ends).all():
+        raise ValueError("a slice begins inside a token")
+    return first
+
+
+def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",),
+           starts_col: str | None = None) -> DataFrame:
+    """One row per input row: the kept columns and ``decoded``, the bytes of the ids (null ids: empty).
+
+    With ``starts_col`` (``encode``'s piece_starts) also ``slice_starts``: the first byte of each slice in ``decoded``, as
+    little-endian unsigned 32-bit integers, so that a slice's text and tokens can be cut out; a slice that does not begin
+    with a token is an error.
+    """
     ranks = _ranks(encoded, rank_path)
-    src = encoded.select(*keep, F.col(ids_col).alias("_ids"))
+    src = encoded.select(*keep, F.col(ids_col).alias("_ids"), *([F.col(starts_col).alias("_starts")] if starts_col else []))
     schema = encoded.select(*keep).schema.add("decoded", "binary")
+    if starts_col:
+        schema = schema.add("slice_starts", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _merger(ranks.value).tokens.__getitem__
+        m = _merger(ranks.value)
+        tokens = m.tokens
+        widths = np.zeros(max(tokens) + 1, np.int64)
+        widths[list(tokens)] = list(map(len, tokens.values()))
         for batch in batches:
             for part in slices(batch, "_ids"):
-                col = part.column(part.schema.get_field_index("_ids")).to_pylist()
-                out = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in col]
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(out, pa.binary())],
-                                                 names=[*keep, "decoded"])
+                raw = [x or b"" for x in part.column(len(keep)).to_pylist()]
+                out = list(map(m.decode, raw))
+                cols = [*(part.column(i) for i in range(len(keep))), pa.array(out, pa.binary())]
+                if starts_col:
+                    at = [np.frombuffer(x or b"", "<u4") for x in part.column(len(keep) + 1).to_pylist()]
+                    cols.append(pa.array([slice_bytes(d, np.frombuffer(x, "<u4"), widths, a).astype("<u4").tobytes()
+                                          for d, x, a in zip(out, raw, at, strict=True)],
+                                         pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return src.mapInArrow(run, schema)

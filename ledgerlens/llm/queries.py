@@ -66,11 +66,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, decoded again; digests of both."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     enc = bpe.encode(docs, rank_path())
-    enc = enc.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-                     (F.length("piece_starts") / 4).cast("long").alias("n_pieces"), F.sha2("ids", 256).alias("ids_sha256"))
-    kept = ("doc_id", "n_tokens", "n_pieces", "ids_sha256")
-    dec = bpe.decode(enc, rank_path(), keep=kept)
-    return dec.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_pieces")
+    enc = enc.select("doc_id", "ids", "piece_starts", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                     F.sha2("ids", 256).alias("ids_sha256"))
+    dec = bpe.decode(enc, rank_path(), keep=("doc_id", "n_tokens", "ids_sha256"), starts_col="piece_starts")
+    return dec.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"),
+                      (F.length("slice_starts") / 4).cast("long").alias("n_pieces"))
 
 
 @_register

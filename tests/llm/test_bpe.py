@@ -74,3 +74,23 @@ def test_query_matches_the_library(spark, sf, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
+
+
+def test_offsets_cut_the_decoded_text_into_the_slices(spark, docs, library):
+    import regex
+
+    enc = bpe.encode(docs, PATH)
+    for r in bpe.decode(enc, PATH, keep=("doc_id", "ids"), starts_col="piece_starts").collect():
+        at = np.frombuffer(r.slice_starts, "<u4").tolist()
+        parts = [bytes(r.decoded)[a:b].decode() for a, b in zip(at, [*at[1:], len(r.decoded)])]
+        assert parts == regex.findall(P.PATTERN, bytes(r.decoded).decode())
+        assert [i for p in parts for i in library.encode_ordinary(p)] == np.frombuffer(r.ids, "<u4").tolist()
+    moved = enc.where("doc_id = 1").withColumn("piece_starts", F.encode(F.lit("\x01\x00\x00\x00\x02\x00\x00\x00"), "UTF-8"))
+    with pytest.raises(Exception, match="begins inside a token"):
+        bpe.decode(moved, PATH, starts_col="piece_starts").collect()
+
+
+def test_digest_is_of_the_decoded_ids(spark, docs):
+    got = bpe.encode(docs, PATH, keep=("doc_id", "text"), digest="own_sha256")
+    assert got.columns == ["doc_id", "text", "ids", "piece_starts", "own_sha256"]
+    assert all(r.own_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in got.collect())
