@@ -48,12 +48,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and slice starts of every row, as little-endian unsigned 32-bit integers; the ids must decode to the text."""
     rows = docs.select("doc_id", "source", "lang", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
-    kept = ("doc_id", "source", "lang", "text_sha256")
-    back = bpe.decode(bpe.encode(rows, rank_path(), keep=kept), rank_path(), keep=(*kept, "ids", "piece_starts"))
+    # Encoded and decoded by the same worker: two workers at once would hold the tables twice.
+    back = bpe.encode(rows, rank_path(), keep=("doc_id", "source", "lang", "text_sha256"), digest="decoded_sha256")
     lost = F.raise_error(F.concat(F.lit("ids do not decode to the text of document "),
                                   F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).cast("string")
     return back.select("doc_id", "source", "lang", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", "piece_starts",
-                       F.when(F.sha2("decoded", 256) == F.col("text_sha256"), F.col("text_sha256")).otherwise(lost).alias("decoded_sha256"))
+                       F.when(F.col("decoded_sha256") == F.col("text_sha256"), F.col("decoded_sha256")).otherwise(lost)
+                       .alias("decoded_sha256"))
 
 
 STAGES = [
