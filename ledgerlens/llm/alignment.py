@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import slices, staged
 from ledgerlens.llm.words import dictionary, text_bytes
 
-SLICE_BYTES = 3 << 20  # of text that a task holds as tokens at once
-BLOCK_LINKS = 3_000_000  # (pair, document) entries after which a block ends
+SLICE_BYTES = 2 << 20  # of text that a task holds as tokens at once
+BLOCK_LINKS = 2_000_000  # (pair, document) entries after which a block ends
 BLOCK_DOCS = 1 << 16
 SHARD_BYTES = 32 << 20  # of text for each shard of pairs
 EXPAND = 4_000_000  # links of long groups expanded at once

@@ -64,7 +64,7 @@ def rows_of(df):
     return sorted(str((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256)) for r in df.collect())
 
 
-@pytest.mark.parametrize("limits", [(2 << 20, 3_000_000, 1 << 16, 32 << 20, 4_000_000), (3000, 500, 40, 5000, 7)])
+@pytest.mark.parametrize("limits", [(2 << 20, 2_000_000, 1 << 16, 32 << 20, 4_000_000), (3000, 500, 40, 5000, 7)])
 def test_odd_texts_equal_whole_text_encoding(spark, limits, monkeypatch):
     for name, v in zip(("SLICE_BYTES", "BLOCK_LINKS", "BLOCK_DOCS", "SHARD_BYTES", "EXPAND"), limits, strict=True):
         monkeypatch.setattr(alignment, name, v)
