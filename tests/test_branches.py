@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.encode import vector_entries
@@ -112,3 +112,26 @@ def test_text_branch_weights_unknown_terms_and_round_trip(spark, branch, tmp):
 def _saved(spark, branch, tmp):
     branch.save(spark, f"{tmp}/branch")
     return f"{tmp}/branch"
+
+
+def test_batched_scores_are_those_of_the_perceptron(joined):
+    """Sparse and dense vectors mixed in one batch, in batches of several matrices, and no row at all."""
+    from ledgerlens.plans import train
+
+    fused = fit(joined)
+    x = fused.assemble(joined.unionByName(joined.where("emb IS NULL")))
+    dense = array_to_vector(vector_to_array("_fused"))
+    x = x.withColumn("_fused", F.when(F.col("id") % 3 == 0, dense).otherwise(F.col("_fused"))).coalesce(1)
+    cols = ["id", *[vector_to_array(c).alias(c) for c in ("rawPrediction", "probability")], "prediction"]
+    want = sorted(map(tuple, fused.model.transform(x).select(*cols).collect()))
+    cells, train.BATCH_CELLS = train.BATCH_CELLS, 7 * fused.model.getLayers()[0]
+    try:
+        got = sorted(map(tuple, fused.classify(x).select(*cols).collect()))
+    finally:
+        train.BATCH_CELLS = cells
+    assert len(got) == len(want) > 240
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and a[3] == b[3] and np.allclose(a[1], b[1]) and np.allclose(a[2], b[2])
+    assert fused.classify(x.where("id < 0")).count() == 0
+    plan = fused.transform(joined)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan  # batches, not a row at a time
