@@ -6,8 +6,7 @@ import random
 import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import VectorAssembler
 
 from ledgerlens.functions.text import add_terms
 from ledgerlens.operators import encode
@@ -68,9 +67,14 @@ def test_vectors_are_those_of_the_ml_stages(spark):
     df = spark.createDataFrame(list(enumerate(texts())), "i int, t string").repartition(3)
     terms = sorted(by_hand(spark, df))[::2]
     idf = [1.0 + i / 7 for i in range(len(terms))]
-    stages = [CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="a"),
-              ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="a", outputCol="b"), Normalizer(p=2.0, inputCol="b", outputCol="c")]
-    x = PipelineModel(stages=stages).transform(add_terms(df, "t"))
+    x = PipelineModel(stages=encode.tfidf_stages(terms, idf, "terms", "c")).transform(add_terms(df, "t"))
     both = encode.add_tfidf(x, "t", terms, idf, "v").select("c", "v").collect()
     assert len(both) == len(texts()) and all(r["c"] == r["v"] for r in both)
     assert any(r["v"].numNonzeros() > 2 for r in both)
+
+
+def test_vectors_state_their_size(spark, tmp_path):
+    spark.createDataFrame([("red car",)], "t string").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("t string").parquet(f"{tmp_path}/in")
+    x = encode.add_tfidf(stream, "t", ["car", "red"], [1.0, 1.0], "v")
+    assert VectorAssembler(inputCols=["v"], outputCol="f").transform(x).isStreaming  # without a size it asks the first row
