@@ -5,8 +5,9 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from ledgerlens.plans.preprocess import FeaturePipeline, fit_split
-from ledgerlens.session import cut_lineage, swept
+from ledgerlens.session import cut_lineage, ensure_checkpoint_dir, swept
 from ledgerlens.sources.writers import write_predictions
 
 KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -37,3 +38,10 @@ def test_predictions_are_written_compressed(spark, tmp):
     assert glob.glob(f"{tmp}/out/*.csv.gz") and not glob.glob(f"{tmp}/out/*.csv")
     back = spark.read.option("header", "true").csv(f"{tmp}/out")
     assert sorted(r.t for r in back.collect()) == ["[0]", "[1]", "[2]"]
+
+
+def test_a_landed_csv_is_deleted(spark):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/a2-lines-*"))
+    got = E.queries()["a2_land_invoice_json_csv"](spark, "/root/testdata/sf0.001")
+    assert set(glob.glob(f"{folder}/a2-lines-*")) == before and got.count() == 1500
