@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from ledgerlens import fixtures as fx
 from ledgerlens.plans.preprocess import FeaturePipeline, fit_split
 from ledgerlens.session import cut_lineage, ensure_checkpoint_dir, swept
 from ledgerlens.sources.writers import write_predictions
@@ -33,6 +34,18 @@ def test_lines_are_stored_as_parquet(spark):
     assert split.count() == 40 and split.where("is_val").count() == 8
 
 
+def test_items_are_shuffled_by_order_only(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fx.invoice_docs_typed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        run = fx.invoice_docs_typed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(first_suppkey" not in run
+    assert plan.index("c_custkey") > plan.index("s_suppkey")
+
+
 def test_predictions_are_written_compressed(spark, tmp):
     write_predictions(spark.range(3).withColumn("t", F.array(F.col("id"))), f"{tmp}/out", compression="gzip")
     assert glob.glob(f"{tmp}/out/*.csv.gz") and not glob.glob(f"{tmp}/out/*.csv")
