@@ -69,8 +69,15 @@ def test_packed_rows_give_the_gradient_of_the_loss(spark):
         return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(20), np.arange(20) % 4]).sum())
     rows = df.select(F.unwrap_udt(F.col("_fused")).alias("v"), "_label").coalesce(2)
     sent = spark.sparkContext.broadcast(w)
-    blocks = rows.mapInArrow(train._blocks(5), "ends binary, idx binary, val binary, label binary")
+    blocks = rows.mapInArrow(train._blocks(5, 4), "ends binary, idx binary, val binary, label binary")
     got = blocks.mapInArrow(train._gradient(sent, layers), "loss double, n long, g binary").collect()
     g = sum(np.frombuffer(r["g"], np.float32).astype(float) for r in got)
     near = [(loss(w + h) - loss(w - h)) / 2e-5 for h in np.eye(len(w)) * 1e-5]
     assert sum(r["n"] for r in got) == 20 and abs(sum(r["loss"] for r in got) - loss(w)) < 1e-4 and np.allclose(g, near, atol=1e-4)
+
+
+@pytest.mark.parametrize("label", [None, float("nan"), -1.0, 2.0, 0.5])
+def test_labels_that_are_no_class_are_errors(spark, label):
+    df = spark.createDataFrame([([1.0], 0.0), ([2.0], label)], "v array<double>, label double")
+    with pytest.raises(Exception, match="labels must be whole numbers"):
+        train.train_fused(df, numeric_col="v", hidden=(2,), max_iter=2, n_classes=2)
